@@ -1,3 +1,10 @@
 """Single-cell count and lineage-barcode analytics on Spark DataFrames."""
 
+import sys
+
+from pyspark import cloudpickle
+
 __version__ = "0.1.0"
+
+# Functions used inside tasks travel with the job, so executors need no installed copy.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -23,6 +23,8 @@ from celltrace.session import cut
 MODEL_LIMIT = 1 << 26
 # Columns of one Gram matrix: at most this many (2 GB in one task).
 GRAM_LIMIT = 16_384
+# Numbers in the vectors of a group that one task may hold (128 MB).
+ROWS_LIMIT = 1 << 24
 _CHUNK = 1 << 21
 
 
@@ -67,17 +69,6 @@ def regression_coefficients(matrix: DataFrame, covariates: DataFrame, genes: Dat
     return solved.select("gene", ((F.col("_y") / s["n"]) - F.col("b1") * s["ma"] - F.col("b2") * s["mb"]).alias("b0"), "b1", "b2")
 
 
-def _sparse_rows(matrix: DataFrame, cells: DataFrame, index: DataFrame) -> DataFrame:
-    """Stored values of every cell as parallel arrays ``(idx, val)``; a cell has at most one entry per gene."""
-    entries = (
-        matrix.join(index, "gene")
-        .groupBy(*CELL)
-        .agg(F.collect_list(F.struct("idx", "x")).alias("_e"))
-        .select(*CELL, F.col("_e.idx").alias("idx"), F.col("_e.x").alias("val"))
-    )
-    return cells.join(entries, CELL, "left")
-
-
 def gene_axis(genes: DataFrame) -> list[str]:
     """Sorted gene names, the positions of a dense vector (bounded by ``GRAM_LIMIT``)."""
     names = [r[0] for r in genes.select("gene").distinct().limit(GRAM_LIMIT + 1).collect()]
@@ -86,30 +77,53 @@ def gene_axis(genes: DataFrame) -> list[str]:
     return sorted(names)
 
 
-def _dense_batches(matrix: DataFrame, cells: DataFrame, axis: list[str], base: np.ndarray, names: list[str]) -> DataFrame:
-    """Dense vector = stored values - (1, covariates) @ base, written in batches."""
-    spark = matrix.sparkSession
-    index = spark.createDataFrame([(g, i) for i, g in enumerate(axis)], "gene string, idx int")
-    width = len(axis)
-    step = max(1, _CHUNK // max(width, 1))
+def dense_vectors(
+    entries: DataFrame, cells: DataFrame, bases: dict[tuple, np.ndarray], names: list[str], group: list[str] | None = None
+) -> DataFrame:
+    """Dense vector of every cell: ``(1, covariates) @ base`` of its group plus its stored entries.
+
+    ``entries(sample, cell, idx, x)`` hold positions in the vector; a cell has at most one entry per
+    gene. The bases are sized by genes and groups and are checked before they are sent out.
+    """
+    group = group or []
+    check_model(sum(b.size for b in bases.values()), "dense vector bases")
+    shared = entries.sparkSession.sparkContext.broadcast(bases)
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for start in range(0, len(pdf), step):
-                part = pdf.iloc[start : start + step]
-                design = np.column_stack([np.ones(len(part)), *[part[c].to_numpy(float) for c in names]])
-                dense = -(design @ base)
-                for i, (idx, val) in enumerate(zip(part["idx"], part["val"])):
-                    if idx is not None:
-                        dense[i, idx] += val
-                yield pd.DataFrame({"sample": part["sample"].to_numpy(), "cell": part["cell"].to_numpy(), "v": list(dense)})
+            pieces = pdf.groupby(group, sort=False) if group else [((), pdf)]
+            for key, rows in pieces:
+                base = shared.value[key]
+                step = max(1, _CHUNK // max(base.shape[1], 1))
+                for start in range(0, len(rows), step):
+                    part = rows.iloc[start : start + step]
+                    design = np.column_stack([np.ones(len(part)), *[part[c].to_numpy(float) for c in names]])
+                    dense = design @ base
+                    for i, (idx, val) in enumerate(zip(part["idx"], part["val"])):
+                        if idx is not None:
+                            dense[i, idx] += val
+                    head = {c: part[c].to_numpy() for c in (*group, *CELL)}
+                    yield pd.DataFrame({**head, "v": list(dense)})
+
+    stored = (
+        entries.groupBy(*CELL)
+        .agg(F.collect_list(F.struct("idx", "x")).alias("_e"))
+        .select(*CELL, F.col("_e.idx").alias("idx"), F.col("_e.x").alias("val"))
+    )
+    extra = [g for g in group if g not in CELL]
+    rows = cells.select(*extra, *CELL, *names).join(stored, CELL, "left")
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    columns = list(dict.fromkeys([*group, *CELL]))
+    return rows.mapInPandas(emit, ", ".join(f"{c} {types[c]}" for c in columns) + ", v array<double>")
+
 
-    rows = _sparse_rows(matrix, cells.select(*CELL, *names), index)
-    return rows.mapInPandas(emit, "sample string, cell string, v array<double>")
+def _indexed(matrix: DataFrame, axis: list[str]) -> DataFrame:
+    index = matrix.sparkSession.createDataFrame([(g, i) for i, g in enumerate(axis)], "gene string, idx int")
+    return matrix.join(index, "gene").select(*CELL, "idx", "x")
 
 
 def densify(matrix: DataFrame, cells: DataFrame, axis: list[str]) -> DataFrame:
-    return _dense_batches(matrix, cells, axis, np.zeros((1, len(axis))), [])
+    return dense_vectors(_indexed(matrix, axis), cells, {(): np.zeros((1, len(axis)))}, [])
 
 
 def regress_out(
@@ -125,7 +139,7 @@ def regress_out(
         raise ValueError(f"residuals are limited to {GRAM_LIMIT} genes; select variable genes first")
     axis = [r["gene"] for r in rows]
     base = np.array([[r["b0"], r["b1"], r["b2"]] for r in rows], dtype=float).reshape(-1, 3).T
-    return _dense_batches(matrix, covariates, axis, base, list(names)), axis
+    return dense_vectors(_indexed(matrix, axis), covariates, {(): -base}, list(names)), axis
 
 
 def scale_vectors(vectors: DataFrame, max_value: float | None = 10.0, v: str = "v") -> DataFrame:
@@ -211,61 +225,89 @@ def _sum_rows(keys: list[str]):
     return run
 
 
+def _component_rows(group: list[str], pdf: pd.DataFrame, values: np.ndarray, basis: np.ndarray, mean: np.ndarray, spread: float) -> pd.DataFrame:
+    # Sign convention: the largest loading of a component is positive.
+    lead = basis[np.abs(basis).argmax(axis=0), np.arange(basis.shape[1])]
+    basis = basis * np.where(lead < 0, -1.0, 1.0)
+    variance = np.clip(values, 0.0, None)
+    return pd.DataFrame(
+        {
+            **{g: [pdf[g].iloc[0]] * len(values) for g in group},
+            "component": np.arange(1, len(values) + 1),
+            "variance": variance,
+            "ratio": variance / max(spread, 1e-300),
+            "loading": list(basis.T),
+            "mean": [mean] * len(values),
+        }
+    )
+
+
 def _eigen(group: list[str], k: int):
     """Components of one group from its summed Gram rows (genes x genes, not cells)."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("i")
-        rows = np.vstack(pdf["row"].to_numpy())
+        rows = np.vstack(pdf.sort_values("i")["row"].to_numpy())
         total, gram, n = rows[0], rows[1:], int(pdf["n"].iloc[0])
         mean = total / n
         cov = (gram - n * np.outer(mean, mean)) / max(n - 1, 1)
         values, basis = np.linalg.eigh(cov)
         pick = np.argsort(values)[::-1][:k]
-        basis = basis[:, pick]
-        # Sign convention: the largest loading of a component is positive.
-        lead = basis[np.abs(basis).argmax(axis=0), np.arange(basis.shape[1])]
-        basis = basis * np.where(lead < 0, -1.0, 1.0)
-        variance = np.clip(values[pick], 0.0, None)
-        spread = max(float(np.trace(cov)), 1e-300)
-        out = {g: pdf[g].iloc[0] for g in group}
-        return pd.DataFrame(
-            {
-                **{g: [value] * len(pick) for g, value in out.items()},
-                "component": np.arange(1, len(pick) + 1),
-                "variance": variance,
-                "ratio": variance / spread,
-                "loading": list(basis.T),
-                "mean": [mean] * len(pick),
-            }
-        )
+        return _component_rows(group, pdf, values[pick], basis[:, pick], mean, float(np.trace(cov)))
+
+    return run
+
+
+def _eigen_of_rows(group: list[str], k: int, v: str):
+    """Components of a group with few cells from the cells x cells products."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        x = np.vstack(pdf[v].to_numpy())
+        mean = x.mean(axis=0)
+        x = x - mean
+        values, left = np.linalg.eigh(x @ x.T)
+        pick = np.argsort(values)[::-1][:k]
+        pick = pick[values[pick] > 1e-12 * max(values.max(), 1e-300)]
+        if len(pick) == 0:
+            pick = np.array([int(values.argmax())])
+        basis = x.T @ left[:, pick] / np.sqrt(np.maximum(values[pick], 1e-300))
+        dof = max(len(x) - 1, 1)
+        return _component_rows(group, pdf, values[pick] / dof, basis, mean, float((x * x).sum()) / dof)
 
     return run
 
 
 def pca_fit(vectors: DataFrame, k: int = 50, group: list[str] | None = None, v: str = "v") -> DataFrame:
-    """Principal components per group from summed Gram matrices, one row per component.
+    """Principal components per group, one row per component.
 
-    Every sort partition adds its cells into one Gram matrix; the Gram rows are
-    summed by a streaming pass, so no task holds the cells of a group. The
-    eigenvalue step sees genes x genes numbers only.
+    Large groups: every sort partition adds its cells into one Gram matrix and a
+    streaming pass sums the Gram rows, so no task holds the cells of a group; the eigenvalue step
+    sees genes x genes numbers only. Groups whose cells fit ``ROWS_LIMIT`` numbers, and have
+    fewer cells than genes, go through the smaller cells x cells products.
     """
     group = group or []
-    width = vectors.select(F.max(F.size(v))).first()[0] or 0
+    sizes = vectors.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max(F.size(v)).alias("_d"))
+    width = sizes.agg(F.max("_d")).first()[0] or 0
     if width > GRAM_LIMIT:
         raise ValueError(f"principal components are limited to {GRAM_LIMIT} columns")
+    small = (F.col("_n") < F.col("_d")) & (F.col("_n") * F.col("_d") <= ROWS_LIMIT)
     types = {f.name: f.dataType.simpleString() for f in vectors.schema.fields}
     head = "".join(f"{g} {types[g]}, " for g in group)
-    rows = vectors.select(*group, v)
+    schema = head + "component int, variance double, ratio double, loading array<double>, mean array<double>"
+    few, many = sizes.filter(small), sizes.filter(~small)
     if group:
-        rows = rows.sortWithinPartitions(*group)
+        few_rows = vectors.join(few.select(*group), group, "left_semi").select(*group, v)
+        rows = vectors.join(many.select(*group), group, "left_semi").select(*group, v).sortWithinPartitions(*group)
+    else:
+        is_small = few.count() > 0
+        rows, few_rows = (vectors.select(v).limit(0), vectors.select(v)) if is_small else (vectors.select(v), vectors.select(v).limit(0))
+    by = group or [F.lit(0)]
     partial = rows.mapInPandas(_partial_grams(group, v), head + "i int, n long, row array<double>")
     keys = [*group, "i"]
     summed = (
         partial.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_sum_rows(keys), head + "i int, n long, row array<double>")
     )
-    schema = head + "component int, variance double, ratio double, loading array<double>, mean array<double>"
-    return summed.groupBy(*(group or [F.lit(0)])).applyInPandas(_eigen(group, k), schema)
+    large = summed.groupBy(*by).applyInPandas(_eigen(group, k), schema)
+    return large.unionByName(few_rows.groupBy(*by).applyInPandas(_eigen_of_rows(group, k, v), schema))
 
 
 def pca_project(vectors: DataFrame, model: DataFrame, group: list[str] | None = None, v: str = "v") -> DataFrame:
