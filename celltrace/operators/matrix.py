@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from celltrace.schema import CELL
-from celltrace.session import cut
+from celltrace.session import cut, shuffle_width
 
 # A model sent to every executor: at most this many numbers (512 MB).
 MODEL_LIMIT = 1 << 26
@@ -286,8 +286,7 @@ def pca_fit(vectors: DataFrame, k: int = 50, group: list[str] | None = None, v:
     """
     group = group or []
     sizes = vectors.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max(F.size(v)).alias("_d"))
-    width = sizes.agg(F.max("_d")).first()[0] or 0
-    if width > GRAM_LIMIT:
+    if (sizes.agg(F.max("_d")).first()[0] or 0) > GRAM_LIMIT:
         raise ValueError(f"principal components are limited to {GRAM_LIMIT} columns")
     small = (F.col("_n") < F.col("_d")) & (F.col("_n") * F.col("_d") <= ROWS_LIMIT)
     types = {f.name: f.dataType.simpleString() for f in vectors.schema.fields}
@@ -300,11 +299,14 @@ def pca_fit(vectors: DataFrame, k: int = 50, group: list[str] | None = None, v:
     else:
         is_small = few.count() > 0
         rows, few_rows = (vectors.select(v).limit(0), vectors.select(v)) if is_small else (vectors.select(v), vectors.select(v).limit(0))
-    by = group or [F.lit(0)]
+    by = group or [F.lit("all").alias("_all")]
+    width = shuffle_width(vectors.sparkSession)
+    if group:
+        few_rows = few_rows.repartition(width, *group)
     partial = rows.mapInPandas(_partial_grams(group, v), head + "i int, n long, row array<double>")
     keys = [*group, "i"]
     summed = (
-        partial.repartition(*keys).sortWithinPartitions(*keys).mapInPandas(_sum_rows(keys), head + "i int, n long, row array<double>")
+        partial.repartition(width, *keys).sortWithinPartitions(*keys).mapInPandas(_sum_rows(keys), head + "i int, n long, row array<double>")
     )
     large = summed.groupBy(*by).applyInPandas(_eigen(group, k), schema)
     return large.unionByName(few_rows.groupBy(*by).applyInPandas(_eigen_of_rows(group, k, v), schema))

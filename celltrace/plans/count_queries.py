@@ -111,7 +111,8 @@ def _(t: Tables):
                round(100.0 * (1 - count(*) / any_value(n)), 6) + 0.0 AS pct_dropout_by_counts FROM f3, n GROUP BY gene""",
 )
 def _(t: Tables):
-    m = qc.gene_metrics(t.filtered, t.metrics)
+    t.keep("filtered")
+    m = qc.gene_metrics(t.filtered, t.filtered.select(*CELL).distinct())
     return m.select("gene", "n_cells_by_counts", *[rounded(c).alias(c) for c in ("total_counts", "mean_counts", "pct_dropout_by_counts")])
 
 
@@ -142,8 +143,8 @@ def _(t: Tables):
         FROM top JOIN q USING (gene)""",
 )
 def _(t: Tables):
-    good = cut(t.good_counts)
-    top = qc.top_expressed_genes(good, good.select(*CELL).distinct())
+    t.keep("filtered", "good_counts")
+    top = qc.top_expressed_genes(t.good_counts, t.good_cells)
     return top.select("gene", "n", *[rounded(c).alias(c) for c in ("mean_pct", "max_pct", "q1", "median", "q3")])
 
 
@@ -153,18 +154,18 @@ def _(t: Tables):
         round(dispersion_norm, 6) + 0.0 AS dispersion_norm, highly_variable FROM flags""",
 )
 def _(t: Tables):
-    h = normalize.hvg_select(cut(t.lognorm), t.good_cells, t.genes, max_mean=HVG_MAX_MEAN)
+    t.keep("filtered")
+    h = normalize.hvg_select(t.lognorm, t.good_cells, t.genes, max_mean=HVG_MAX_MEAN)
     return h.select("gene", rounded("mean").alias("mean"), rounded("dispersion").alias("dispersion"), "bin",
                     rounded("dispersion_norm").alias("dispersion_norm"), "highly_variable")
 
 
 def variable_part(t: Tables):
     """Normalised values, covariates and the chosen genes, each written once: all are used several times."""
-    covariates = cut(t.good_cells.select(*CELL, F.col("total_counts"), "pct_counts_mt"))
-    lognorm = cut(t.lognorm)
-    flags = normalize.hvg_select(lognorm, covariates, t.genes, max_mean=HVG_MAX_MEAN)
+    t.keep("filtered", "good_cells", "lognorm")
+    flags = normalize.hvg_select(t.lognorm, t.good_cells, t.genes, max_mean=HVG_MAX_MEAN)
     chosen = cut(flags.filter("highly_variable").select("gene"))
-    return normalize.keep_genes(lognorm, chosen), covariates, chosen
+    return normalize.keep_genes(t.lognorm, chosen), t.good_cells, chosen
 
 
 RESIDUALS = """
@@ -238,7 +239,7 @@ def stats_sql(value: str) -> str:
         SELECT metric, n, {BOX} FROM s""",
 )
 def _(t: Tables):
-    return box(reports.qc_violin_stats(cut(t.metrics)), "metric")
+    return box(reports.qc_violin_stats(t.keep("metrics").metrics), "metric")
 
 
 WANTED = "(SELECT DISTINCT gene FROM f3 WHERE gene IN ({}))".format(", ".join(f"'{g}'" for g in MARKERS))
@@ -258,9 +259,9 @@ def present_markers(t: Tables, genes) -> list[str]:
         SELECT group_labels, gene, n, {BOX} FROM s""",
 )
 def _(t: Tables):
-    cells = cut(reports.group_labels(t.clusters).join(t.good_cells.select(*CELL), CELL, "left_semi"))
-    lognorm = cut(t.lognorm)
-    return box(reports.marker_violin_stats(lognorm, cells, present_markers(t, t.genes)), "group_labels", "gene")
+    t.keep("filtered", "good_cells")
+    cells = reports.group_labels(t.clusters).join(t.good_cells.select(*CELL), CELL, "left_semi")
+    return box(reports.marker_violin_stats(t.lognorm, cells, present_markers(t, t.genes)), "group_labels", "gene")
 
 
 @query(
@@ -271,6 +272,7 @@ def _(t: Tables):
         LEFT JOIN lognorm l ON l.sample = c.sample AND l.cell = c.cell AND l.gene = g.gene""",
 )
 def _(t: Tables):
+    t.keep("filtered", "good_cells")
     cells = t.clusters.join(t.good_cells.select(*CELL), CELL, "left_semi")
     return reports.marker_expression(t.lognorm, cells, present_markers(t, t.genes)).withColumn("x", rounded("x"))
 

@@ -104,14 +104,14 @@ def _(t: Tables):
     def parent(number, n, which):
         return (number * 7 + 3) % n if which == 1 else (number * 5 + 1) % n
 
-    good = cut(t.good_counts)
-    made = doublets.synthetic_doublets(good, good.select(*CELL).distinct(), group=["sample"], parent=parent, order=["cell"])
+    t.keep("filtered", "good_cells", "good_counts")
+    made = doublets.synthetic_doublets(t.good_counts, t.good_cells, group=["sample"], parent=parent, order=["cell"])
     return made.withColumn("x", rounded("x"))
 
 
 def scored(t: Tables, **options):
-    good = cut(t.good_counts)
-    return doublets.doublet_scores(good, cut(good.select(*CELL).distinct()), group=["sample"], max_mean=HVG_MAX_MEAN, **options)
+    t.keep("filtered", "good_cells", "good_counts")
+    return doublets.doublet_scores(t.good_counts, t.good_cells.select(*CELL), group=["sample"], max_mean=HVG_MAX_MEAN, **options)
 
 
 @query("doublet_scores")

@@ -31,8 +31,8 @@ UP_TO_ORA = UP_TO_LOGNORM + "," + ORA
 
 
 def ora(t: Tables):
-    good = cut(t.good_cells.select(*CELL))
-    return markers.ora_scores(cut(t.lognorm), good, t.genes, t.net)
+    t.keep("filtered", "good_cells")
+    return markers.ora_scores(t.lognorm, t.good_cells.select(*CELL), t.genes, t.net)
 
 
 @query("ora_scores", f"WITH {UP_TO_ORA} SELECT sample, cell, cell_type, overlap, set_size, round(score, 4) + 0.0 AS score FROM ora")
@@ -183,14 +183,14 @@ phases AS (SELECT s.sample, s.cell, s.score AS s_score, g.score AS g2m_score,
     f"WITH {UP_TO_LOGNORM}, {BINS}, {set_sql('s', 'SMALL', '50')} SELECT sample, cell, round(score, 6) + 0.0 AS score FROM s",
 )
 def _(t: Tables):
-    good = cut(t.good_cells.select(*CELL))
-    scored = cycle.gene_set_score(cut(t.lognorm), good, t.genes, t.gene_set("SMALL"), draw=F.col("gene"))
+    t.keep("filtered", "good_cells", "lognorm")
+    scored = cycle.gene_set_score(t.lognorm, t.good_cells.select(*CELL), t.genes, t.gene_set("SMALL"), draw=F.col("gene"))
     return scored.withColumn("score", rounded("score"))
 
 
 def phases(t: Tables):
-    good = cut(t.good_cells.select(*CELL))
-    return cycle.cell_cycle_phase(cut(t.lognorm), good, t.genes, t.gene_set("SMALL"), t.gene_set("LARGE"), draw=F.col("gene"))
+    t.keep("filtered", "good_cells", "lognorm")
+    return cycle.cell_cycle_phase(t.lognorm, t.good_cells.select(*CELL), t.genes, t.gene_set("SMALL"), t.gene_set("LARGE"), draw=F.col("gene"))
 
 
 @query(

@@ -12,8 +12,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltrace.operators import barcodes, cycle, normalize, qc
-from celltrace.schema import CELL
+from celltrace.operators import barcodes, normalize, qc
+from celltrace.session import cut
 
 QC_LIMITS = {"min_genes": 20, "min_counts": 500, "min_cells": 20, "max_genes": 60, "max_pct_mt": 20.0}
 HVG_MAX_MEAN = 5.0
@@ -34,6 +34,12 @@ class Tables:
     def read(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
+    def keep(self, *names: str) -> Tables:
+        """Write the named tables once; for queries that use them several times."""
+        for name in names:
+            self.__dict__[name] = cut(getattr(self, name))
+        return self
+
     # ---- barcode side ----
 
     @cached_property
@@ -176,8 +182,6 @@ class Tables:
 
     @cached_property
     def good_counts(self) -> DataFrame:
-        """Counts of the cells that pass everything, from one pass over the filtered rows:
-        the metrics are windows on the cell key that the filters already partition by."""
         return qc.keep_cells(self.filtered, self.good_cells)
 
     @cached_property

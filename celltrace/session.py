@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,6 +48,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder and continue from the written rows."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared checkpoint folder and go on from that table.
+
+    Later steps read only the columns they need, survive lost executors, and plan
+    with the table's true size. Unlike ``checkpoint()``, a written table carries no
+    inferred constraints into the next round of a loop, where they would pile up.
+    """
+    folder = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """Partitions for steps whose cost is computing, not bytes: adaptive execution sizes partitions by
+    bytes and would put a small but heavy table into one task."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
