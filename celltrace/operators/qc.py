@@ -30,31 +30,33 @@ def merge_gene_metadata(parts: list[DataFrame], column: str) -> DataFrame:
     return rows.groupBy("gene").agg(F.when(low == high, low).alias(column))
 
 
-def unique_names(names: DataFrame, name: str = "name", order: str = "idx") -> DataFrame:
+def unique_names(names: DataFrame, name: str = "name", order: str = "idx", group: list[str] | None = None) -> DataFrame:
     """First holder keeps a name; later ones get ``-1``, ``-2``, ... skipping texts already in use.
 
     The i-th free number of a name is i plus the count of used numbers before
     it. Merging repeats (key i) with used numbers (key t - rank) in one sorted list
-    gives that number as the place of the repeat.
+    gives that number as the place of the repeat. ``group`` keeps lists apart.
     """
-    ranked = rank_in_group(names.select(order, name), [name], [order], "_nth")
-    first = ranked.filter("_nth = 1").select(order, name, F.col(name).alias("unique_name"))
-    repeats = ranked.filter("_nth > 1").select(order, F.col(name).alias("_base"), (F.col("_nth") - 1).alias("_key"))
-    suffix = F.regexp_extract(name, r"^(?s)(.*)-([1-9][0-9]{0,17})$", 2)
+    g = group or []
+    ranked = rank_in_group(names.select(*g, order, name), [*g, name], [order], "_nth")
+    first = ranked.filter("_nth = 1").select(*g, order, name, F.col(name).alias("unique_name"))
+    repeats = ranked.filter("_nth > 1").select(*g, order, F.col(name).alias("_base"), (F.col("_nth") - 1).alias("_key"))
+    numbered = r"^(?s)(.*)-([1-9][0-9]{0,17})$"
+    suffix = F.regexp_extract(name, numbered, 2)
     used = (
         ranked.filter("_nth = 1")
         .filter(suffix != "")
-        .select(F.regexp_extract(name, r"^(?s)(.*)-([1-9][0-9]{0,17})$", 1).alias("_base"), suffix.cast("long").alias("_t"))
-        .join(repeats.select("_base").distinct(), "_base", "left_semi")
+        .select(*g, F.regexp_extract(name, numbered, 1).alias("_base"), suffix.cast("long").alias("_t"))
+        .join(repeats.select(*g, "_base").distinct(), [*g, "_base"], "left_semi")
     )
-    used = rank_in_group(used, ["_base"], ["_t"], "_r").select(
-        F.lit(None).cast(names.schema[order].dataType).alias(order), "_base", (F.col("_t") - F.col("_r")).alias("_key"), F.lit(1).alias("_kind"), "_t"
+    used = rank_in_group(used, [*g, "_base"], ["_t"], "_r").select(
+        *g, F.lit(None).cast(names.schema[order].dataType).alias(order), "_base", (F.col("_t") - F.col("_r")).alias("_key"), F.lit(1).alias("_kind"), "_t"
     )
     repeats = repeats.withColumn("_kind", F.lit(0)).withColumn("_t", F.lit(None).cast("long"))
-    merged = rank_in_group(repeats.unionByName(used), ["_base"], ["_key", "_kind", "_t"], "_no")
-    # A used number counts only when its key is below the repeat's: equal keys sort the repeat first.
+    # A used number counts only when its key is below the repeat's: with equal keys the repeat comes first.
+    merged = rank_in_group(repeats.unionByName(used), [*g, "_base"], ["_key", "_kind", "_t"], "_no")
     renamed = merged.filter("_kind = 0").select(
-        order, F.col("_base").alias(name), F.concat_ws("-", "_base", F.col("_no").cast("string")).alias("unique_name")
+        *g, order, F.col("_base").alias(name), F.concat_ws("-", "_base", F.col("_no").cast("string")).alias("unique_name")
     )
     return first.unionByName(renamed)
 
