@@ -18,14 +18,17 @@ FASTQ_NAME = r"^(.+?)_S\d+_L\d{3}_R[12]_\d{3}\.(?:fastq|fq)\.gz$"
 # Texts that a table reader treats as missing.
 NA_TEXT = ["", "#N/A", "#NA", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null", "-nan", "-NaN"]
 
+# All characters that count as white space.
+BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+
 
 def col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
 def strip_text(c: Column | str) -> Column:
-    """Remove white space of any kind at both ends (``trim`` removes blanks only)."""
-    return F.regexp_replace(col(c), r"^\s+|\s+$", "")
+    """Remove white space of any kind at both ends (plain ``trim`` removes blanks only)."""
+    return F.btrim(col(c), F.lit(BLANKS))
 
 
 def normal_key(c: Column | str) -> Column:

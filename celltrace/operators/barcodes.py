@@ -85,22 +85,26 @@ def rare_key_column(rare: DataFrame) -> str:
 
 
 def rare_pgen_long(rare: DataFrame, key: str | None = None) -> DataFrame:
-    """Wide rare-pGen table (one column per sample) to ``(barcode, sample, pgen text)``,
-    first filled line per barcode and sample."""
+    """Wide rare-pGen table (one column per sample) to ``(barcode, sample, pgen)``, first filled
+    line per barcode and sample; pGen is null where that line holds no number.
+
+    The value is parsed first: a number and its line fit a hash aggregate, so each map
+    task sends one row per barcode and sample.
+    """
     key = key or rare_key_column(rare)
     samples = [c for c in rare.columns if c not in RARE_KEYS and c != "line_no"]
     long = (
         rare.select("line_no", normal_key(key).alias("barcode"), *[F.col(f"`{c}`").cast("string") for c in samples])
         .unpivot(["line_no", "barcode"], samples, "sample", "pgen")
-        .withColumn("pgen", missing_to_null("pgen"))
-        .filter(F.col("pgen").isNotNull() & F.col("barcode").isNotNull())
+        .filter(missing_to_null("pgen").isNotNull() & F.col("barcode").isNotNull())
     )
-    return top_per_key(long, ["sample", "barcode"], ["line_no"]).select("barcode", "sample", "pgen")
+    return long.groupBy("barcode", "sample").agg(F.min_by(lenient_double("pgen"), "line_no").alias("pgen"))
 
 
 def normalized_assemblies(assemblies: DataFrame) -> DataFrame:
     """Keys without blanks and in upper case; a row lacking one can match nothing."""
-    return assemblies.withColumn("cb", normal_key("cb")).withColumn("polylox", normal_key("polylox")).dropna(subset=["cb", "polylox"])
+    rows = assemblies.dropna(subset=["cb", "polylox"])
+    return rows.withColumn("cb", normal_key("cb")).withColumn("polylox", normal_key("polylox"))
 
 
 def assembly_library_join(
@@ -121,11 +125,11 @@ def assembly_library_join(
 def pgen_override(candidates: DataFrame, rare: DataFrame) -> DataFrame:
     """A filled rare value of the same sample replaces the base pGen, also for barcodes outside
     the library. A filled value that is no number leaves pGen missing."""
-    value = rare.select("sample", F.col("barcode").alias("polylox"), F.col("pgen").alias("_rare"))
+    value = rare.select("sample", F.col("barcode").alias("polylox"), F.col("pgen").alias("_rare"), F.lit(True).alias("_filled"))
     return (
         candidates.join(value, ["sample", "polylox"], "left")
-        .withColumn("pgen", F.when(F.col("_rare").isNotNull(), lenient_double("_rare")).otherwise(F.col("pgen")))
-        .drop("_rare")
+        .withColumn("pgen", F.when(F.col("_filled"), F.col("_rare")).otherwise(F.col("pgen")))
+        .drop("_rare", "_filled")
     )
 
 

@@ -11,6 +11,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame
@@ -89,21 +91,32 @@ def dense_vectors(
     check_model(sum(b.size for b in bases.values()), "dense vector bases")
     shared = entries.sparkSession.sparkContext.broadcast(bases)
 
-    def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            pieces = pdf.groupby(group, sort=False) if group else [((), pdf)]
+    columns = list(dict.fromkeys([*group, *CELL]))
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places: dict[tuple, list[int]] = {}
+            if group:
+                for i, key in enumerate(zip(*[batch.column(g).to_pylist() for g in group])):
+                    places.setdefault(key, []).append(i)
+            pieces = [(key, batch.take(pa.array(at))) for key, at in places.items()] if group else [((), batch)]
             for key, rows in pieces:
                 base = shared.value[key]
-                step = max(1, _CHUNK // max(base.shape[1], 1))
-                for start in range(0, len(rows), step):
-                    part = rows.iloc[start : start + step]
-                    design = np.column_stack([np.ones(len(part)), *[part[c].to_numpy(float) for c in names]])
+                width = base.shape[1]
+                step = max(1, _CHUNK // max(width, 1))
+                for start in range(0, rows.num_rows, step):
+                    part = rows.slice(start, step)
+                    design = np.column_stack(
+                        [np.ones(part.num_rows), *[part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names]]
+                    )
                     dense = design @ base
-                    for i, (idx, val) in enumerate(zip(part["idx"], part["val"])):
-                        if idx is not None:
-                            dense[i, idx] += val
-                    head = {c: part[c].to_numpy() for c in (*group, *CELL)}
-                    yield pd.DataFrame({**head, "v": list(dense)})
+                    counts = pc.fill_null(pc.list_value_length(part.column("idx")), 0).to_numpy(zero_copy_only=False)
+                    row = np.repeat(np.arange(part.num_rows), counts)
+                    idx, val = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("idx", "val"))
+                    dense[row, idx.astype(int)] += val
+                    ends = pa.array(np.arange(part.num_rows + 1, dtype="int32") * width)
+                    v = pa.ListArray.from_arrays(ends, pa.array(dense.ravel()))
+                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], v], names=[*columns, "v"])
 
     stored = (
         entries.groupBy(*CELL)
@@ -111,10 +124,9 @@ def dense_vectors(
         .select(*CELL, F.col("_e.idx").alias("idx"), F.col("_e.x").alias("val"))
     )
     extra = [g for g in group if g not in CELL]
-    rows = cells.select(*extra, *CELL, *names).join(stored, CELL, "left")
+    rows = cells.select(*extra, *CELL, *names).join(stored, CELL, "left").repartition(shuffle_width(entries.sparkSession), *CELL)
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    columns = list(dict.fromkeys([*group, *CELL]))
-    return rows.mapInPandas(emit, ", ".join(f"{c} {types[c]}" for c in columns) + ", v array<double>")
+    return rows.mapInArrow(emit, ", ".join(f"{c} {types[c]}" for c in columns) + ", v array<double>")
 
 
 def _indexed(matrix: DataFrame, axis: list[str]) -> DataFrame:
@@ -160,12 +172,10 @@ def scale_vectors(vectors: DataFrame, max_value: float | None = 10.0, v: str = "
 
 
 def vectors_to_long(vectors: DataFrame, axis: list[str], value: str) -> DataFrame:
-    names = F.array(*[F.lit(g) for g in axis]) if len(axis) <= 64 else None
-    long = vectors.select(*CELL, F.posexplode("v").alias("_i", value))
-    if names is not None:
-        return long.withColumn("gene", names[F.col("_i")]).drop("_i")
-    index = vectors.sparkSession.createDataFrame([(g, i) for i, g in enumerate(axis)], "gene string, _i int")
-    return long.join(index, "_i").drop("_i")
+    """Long rows of dense vectors; names come from one shared array, not from a join per value."""
+    names = vectors.sparkSession.createDataFrame([(list(axis),)], "a array<string>").scalar()
+    long = vectors.withColumn("_names", names).select(*CELL, "_names", F.posexplode("v").alias("_i", value))
+    return long.select(*CELL, F.get("_names", F.col("_i")).alias("gene"), value)
 
 
 # ---- principal components -------------------------------------------------------------------

@@ -142,9 +142,9 @@ def _(t: Tables):
     return scored.select("sample", "mouse", "cb", "polylox", log_pgen(), long("mincut").alias("mincut"))
 
 
-@query("rare_pgen_long", f"WITH {KEYS}, {RARE} SELECT barcode, sample, pgen FROM rare")
+@query("rare_pgen_long", f"WITH {KEYS}, {RARE} SELECT barcode, sample, round(log10(TRY_CAST(pgen AS DOUBLE)), 6) + 0.0 AS log_pgen FROM rare")
 def _(t: Tables):
-    return t.rare
+    return t.rare.select("barcode", "sample", log_pgen())
 
 
 @query(

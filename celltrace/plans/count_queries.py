@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from celltrace.operators import matrix, normalize, qc, reports
 from celltrace.plans.proxies import HVG_MAX_MEAN, MARKERS, QC_LIMITS, Tables, text
-from celltrace.plans.registry import long, query, rounded
+from celltrace.plans.registry import long, query, quick_rounded, rounded
 from celltrace.schema import CELL
 from celltrace.session import cut
 
@@ -178,21 +178,21 @@ beta AS (SELECT gene, my, ma, mb, (ya * bb - yb * ab) / (aa * bb - ab * ab) AS b
 res AS (SELECT y.sample, y.cell, y.gene, y.x - (my + b1 * (a - ma) + b2 * (b - mb)) AS residual FROM y JOIN beta USING (gene))"""
 
 
-@query("regress_out", f"WITH {UP_TO_HVG}, {RESIDUALS} SELECT sample, cell, gene, round(residual, 4) + 0.0 AS residual FROM res")
+@query("regress_out", f"WITH {UP_TO_HVG}, {RESIDUALS} SELECT sample, cell, gene, floor(residual * 10000.0::DOUBLE + 0.5) / 10000.0::DOUBLE AS residual FROM res")
 def _(t: Tables):
     vectors, axis = matrix.regress_out(*variable_part(t))
-    return matrix.vectors_to_long(vectors, axis, "residual").withColumn("residual", rounded("residual", 4))
+    return matrix.vectors_to_long(vectors, axis, "residual").withColumn("residual", quick_rounded("residual"))
 
 
 @query(
     "scale_genes",
     f"""WITH {UP_TO_HVG}, {RESIDUALS},
         sd AS (SELECT gene, avg(residual) AS m, stddev_samp(residual) AS s FROM res GROUP BY gene)
-        SELECT sample, cell, gene, round(greatest(-10, least(10, (residual - m) / CASE WHEN s = 0 THEN 1 ELSE s END)), 4) + 0.0 AS z FROM res JOIN sd USING (gene)""",
+        SELECT sample, cell, gene, floor(greatest(-10, least(10, (residual - m) / CASE WHEN s = 0 THEN 1 ELSE s END)) * 10000.0::DOUBLE + 0.5) / 10000.0::DOUBLE AS z FROM res JOIN sd USING (gene)""",
 )
 def _(t: Tables):
     vectors, axis = matrix.regress_out(*variable_part(t))
-    return matrix.vectors_to_long(matrix.scale_vectors(cut(vectors)), axis, "z").withColumn("z", rounded("z", 4))
+    return matrix.vectors_to_long(matrix.scale_vectors(cut(vectors)), axis, "z").withColumn("z", quick_rounded("z"))
 
 
 CLUSTERS = """

@@ -97,17 +97,9 @@ class Tables:
     def rare_wide(self) -> DataFrame:
         """One line per part and one pGen column per sample; some are empty, some are no numbers."""
         samples = [r[0] for r in self.read("nation").select("n_nationkey").orderBy("n_nationkey").limit(1000).collect()]
-        shift = {j: F.col("p_partkey") + j for j in samples}
-        value = {
-            j: F.when(k % 11 == 0, F.lit(None).cast("string")).when(k % 17 == 0, "bad").otherwise(F.concat(F.lit("5e-"), text(k % 12)))
-            for j, k in shift.items()
-        }
-        return self.read("part").select(
-            F.col("p_partkey").alias("line_no"),
-            F.lit(None).cast("string").alias("PolyloxBC"),
-            F.lower(self.barcode_text()).alias("Barcode"),
-            *[c.alias(str(j)) for j, c in value.items()],
-        )
+        value = "CASE WHEN (p_partkey + {0}) % 11 = 0 THEN NULL WHEN (p_partkey + {0}) % 17 = 0 THEN 'bad' ELSE concat('5e-', (p_partkey + {0}) % 12) END AS `{0}`"
+        key = "lower(concat_ws('_', p_brand, p_type, p_size % 10)) AS Barcode"
+        return self.read("part").selectExpr("p_partkey AS line_no", "CAST(NULL AS STRING) AS PolyloxBC", key, *[value.format(j) for j in samples])
 
     @cached_property
     def rare(self) -> DataFrame:

@@ -5,7 +5,7 @@ FEATURES = "gene_id string, symbol string, feature_type string"
 ASSEMBLIES = "sample string, row_no long, cb string, polylox string"
 LIBRARY_LINES = "line_no long, barcode string"
 MINCUT_LINES = "line_no long, mincut string"
-RARE_PGEN = "line_no long, barcode string, sample string, pgen string"
+RARE_PGEN = "barcode string, sample string, pgen double"
 SAMPLE_MOUSE = "sample string, mouse string"
 MARKERS = "cell_type string, genesymbol string, mouse boolean"
 ORTHOLOGS = "human_symbol string, mouse_symbol string"

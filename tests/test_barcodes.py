@@ -36,7 +36,7 @@ def test_assignment(spark, inputs):
     assert sorted(skipped) == ["S3", "S7"]
     lib = b.barcode_library(library, mincuts)
     long = b.rare_pgen_long(rare)
-    assert rows(long) == [("CCC", "S1", "1e-9"), ("GGT", "S1", "1e-7")]
+    assert rows(long) == [("CCC", "S1", 1e-9), ("GGT", "S1", 1e-7)]
     candidates = b.candidate_barcodes(assemblies, mouse, lib, long)
     assert rows(candidates.select("sample", "cb", "polylox", "pgen", "mincut").distinct()) == [
         ("S1", "C1", "AAC", 1.0, 3), ("S1", "C1", "GGT", 1e-7, 2), ("S1", "C2", "CCC", 1e-9, 2),
@@ -67,7 +67,7 @@ def test_choice_among_candidates(spark):
 
 def test_rare_value_that_is_no_number_leaves_pgen_missing(spark):
     df = spark.createDataFrame([("S", "A", 1.0)], "sample string, polylox string, pgen double")
-    rare = spark.createDataFrame([("A", "S", "bad")], "barcode string, sample string, pgen string")
+    rare = b.rare_pgen_long(spark.createDataFrame([(1, "a", "bad"), (2, "a", "0.5")], "line_no long, barcode string, S string"))
     assert rows(b.pgen_override(df, rare), "pgen") == [(None,)]
 
 
