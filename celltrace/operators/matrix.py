@@ -218,15 +218,15 @@ def _sum_rows(keys: list[str]):
         key, row, n = None, None, 0
         for pdf in batches:
             out = []
-            for rec in pdf.itertuples(index=False):
-                now = tuple(getattr(rec, k) for k in keys)
+            for *now, size, values in pdf[[*keys, "n", "row"]].itertuples(index=False, name=None):
+                now = tuple(now)
                 if now != key:
                     if key is not None:
                         out.append((*key, n, row))
-                    key, row, n = now, np.array(rec.row, dtype=float), int(rec.n)
+                    key, row, n = now, np.array(values, dtype=float), int(size)
                 else:
-                    row += rec.row
-                    n += int(rec.n)
+                    row += values
+                    n += int(size)
             if out:
                 yield pd.DataFrame(out, columns=[*keys, "n", "row"])
         if key is not None:

@@ -195,7 +195,7 @@ def read_10x(spark: SparkSession, root: str, samples: list[str]) -> tuple[DataFr
 
 
 def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Files below ``root``: path relative to it and full path; file contents are not read."""
+    """Files below ``root`` that are not empty: path relative to it and full path; contents are not read."""
     base = _qualified(spark, root).rstrip("/") + "/"
     listed = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", pattern).load(root)
     return listed.select(F.col("path").substr(F.lit(len(base) + 1), F.length("path")).alias("path"), F.col("path").alias("full_path"))

@@ -1,0 +1,164 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from celltrace.operators import doublets, graph, normalize
+from tests.conftest import rows
+from tests.test_counts import all_cells, to_long
+
+
+def brute(x, ids, k):
+    out = {}
+    for i in ids:
+        near = sorted((float(np.sqrt(((x[i] - x[j]) ** 2).sum())), j) for j in ids if j != i)[:k]
+        out[i] = [j for _, j in near]
+    return out
+
+
+def lists(df):
+    out = {}
+    for r in df.orderBy("src", "rank").collect():
+        out.setdefault(r.src, []).append(r.dst)
+    return out
+
+
+@pytest.fixture(scope="module")
+def points(spark):
+    rng = np.random.default_rng(0)
+    x = rng.integers(-40, 40, size=(450, 3)).astype(float)
+    x[100:250] = x[100]  # a third of the points are copies of one
+    data = [(i, "ab"[i % 3 == 0], [float(t) for t in x[i]]) for i in range(len(x))]
+    return x, spark.createDataFrame(data, "id long, g string, v array<double>").cache()
+
+
+def test_neighbours_are_exact(points):
+    x, df = points
+    assert lists(graph.knn_graph(df, 7, block_rows=32)) == brute(x, range(len(x)), 7)
+
+
+def test_neighbours_stay_in_their_group(points):
+    x, df = points
+    parts = [[i for i in range(len(x)) if (i % 3 == 0) == flag] for flag in (False, True)]
+    want = {**brute(x, parts[0], 5), **brute(x, parts[1], 5)}
+    assert lists(graph.knn_graph(df, 5, ["g"], block_rows=32)) == want
+
+
+def test_fewer_points_than_neighbours(spark):
+    df = spark.createDataFrame([("a", [0.0]), ("b", [1.0])], "id string, v array<double>")
+    assert rows(graph.knn_graph(df, 5), "src", "dst", "dist", "rank") == [("a", "b", 1.0, 1), ("b", "a", 1.0, 1)]
+
+
+def test_fuzzy_weights(points):
+    x, df = points
+    near = graph.knn_graph(df.filter("id < 100"), 9).cache()
+    edges = graph.fuzzy_graph(near, 10).collect()
+    w = {}
+    for src, part in near.toPandas().groupby("src"):
+        d = part.sort_values("rank")["dist"].to_numpy()
+        rho, lo, hi, sigma = d[d > 0].min(), 0.0, np.inf, 1.0
+        for _ in range(200):
+            mass = np.exp(-np.maximum(d - rho, 0) / sigma).sum()
+            lo, hi = (lo, sigma) if mass > np.log2(10) else (sigma, hi)
+            sigma = sigma * 2 if np.isinf(hi) else (lo + hi) / 2
+        sigma = max(sigma, 1e-3 * d.mean())
+        w.update({(src, dst): np.exp(-max(t - rho, 0) / sigma) for dst, t in zip(part["dst"], part["dist"])})
+    assert {(e.src, e.dst) for e in edges} == {tuple(sorted(p)) for p in w}
+    for e in edges:
+        a, b = w.get((e.src, e.dst), 0.0), w.get((e.dst, e.src), 0.0)
+        assert e.weight == pytest.approx(a + b - a * b, rel=1e-6)
+
+
+def cliques(spark):
+    pairs = [(i, j) for base in (0, 8) for i in range(base, base + 8) for j in range(i + 1, base + 8)] + [(0, 8)]
+    return spark.createDataFrame([(f"n{i:02d}", f"n{j:02d}", 1.0) for i, j in pairs], "src string, dst string, weight double")
+
+
+def test_communities(spark):
+    edges = cliques(spark).cache()
+    labels = graph.communities(edges).cache()
+    split = {r.id: r.label for r in labels.collect()}
+    assert len(split) == 16 and set(split.values()) == {"0", "1"}
+    assert len({split[f"n{i:02d}"] for i in range(8)}) == 1
+    alone = labels.withColumn("label", F.col("id"))
+    q, q0 = (graph.modularity(edges, part).first()[0] for part in (labels, alone))
+    m = 57.0
+    assert q == pytest.approx(56 / m - 0.8 * 2 * 57**2 / (4 * m * m)) and q > q0
+
+
+def test_layout_separates_cliques(spark):
+    got = {r.id: (r.x, r.y) for r in graph.graph_layout(cliques(spark), rounds=20).collect()}
+    sides = {i: np.sign([got[f"n{j:02d}"] for j in range(i, i + 8)]) for i in (0, 8)}
+    assert max(abs(v) for p in got.values() for v in p) == pytest.approx(10)
+    assert any((sides[0][:, c] == -sides[8][:, c]).all() and len(set(sides[0][:, c])) == 1 for c in (0, 1))
+
+
+def parent(number, n, which):
+    return (number * 7 + 3) % n if which == 1 else (number * 5 + 1) % n
+
+
+@pytest.fixture(scope="module")
+def cells_matrix():
+    rng = np.random.default_rng(9)
+    rates = np.vstack([np.r_[np.full(20, 4.0), np.full(20, 0.2), np.full(10, 1.0)], np.r_[np.full(20, 0.2), np.full(20, 4.0), np.full(10, 1.0)]])
+    return rng.poisson(rates[np.arange(40) % 2]).astype(float)
+
+
+def test_synthetic_sums(spark, cells_matrix):
+    x = cells_matrix
+    made = doublets.synthetic_doublets(to_long(spark, x), all_cells(spark, x), parent=parent, order=["cell"])
+    got = np.zeros((80, x.shape[1]))
+    for r in made.collect():
+        got[r.syn, int(r.gene[1:])] = r.x
+    want = np.array([x[(7 * s + 3) % 40] + x[(5 * s + 1) % 40] for s in range(80)])
+    assert np.array_equal(got, want)
+
+
+def test_doublet_scores_against_brute_force(spark, cells_matrix):
+    x = cells_matrix
+    long, cells = to_long(spark, x).cache(), all_cells(spark, x)
+    scored = doublets.doublet_scores(long, cells, n_components=5, parent=parent, max_mean=9.0, min_disp=-0.5, simulated=True).toPandas()
+    assert (scored["is_syn"].sum(), (~scored["is_syn"]).sum()) == (80, 40)
+    # The place of a cell in the pair list follows the default hashed order.
+    place = [r.cell for r in cells.orderBy(F.xxhash64("cell"), "sample", "cell").collect()]
+    at = [int(c[1:]) for c in place]
+    syn = np.array([x[at[(7 * s + 3) % 40]] + x[at[(5 * s + 1) % 40]] for s in range(80)])
+
+    def log(m):
+        return np.log1p(m / m.sum(axis=1, keepdims=True) * 1e4)
+
+    flags = normalize.hvg_select(to_long(spark, log(x)), cells, max_mean=9.0, min_disp=-0.5).filter("highly_variable").collect()
+    cols = sorted(int(r.gene[1:]) for r in flags)
+    a, b = log(x)[:, cols], log(syn)[:, cols]
+    mean, std = a.mean(axis=0), a.std(axis=0, ddof=1)
+    a, b = (a - mean) / std, (b - mean) / std
+    basis = np.linalg.svd(a - a.mean(axis=0), full_matrices=False)[2][:5].T
+    low = np.vstack([a, b]) @ basis
+    k = round(round(0.5 * np.sqrt(40)) * 3)
+    names = [f"c{i:03d}" for i in range(40)] + [f"syn-{s}" for s in range(80)]
+    dist = np.sqrt(((low[:, None] - low[None]) ** 2).sum(axis=2))
+    want = {}
+    for i in range(120):
+        near = [j for j in np.argsort(dist[i], kind="stable") if j != i][:k]
+        q = (sum(j >= 40 for j in near) + 1) / (k + 2)
+        want[names[i]] = q * 0.05 / 2 / (1 - 0.05 - q * (1 - 0.05 - 0.05 / 2))
+    got = dict(zip(scored["cell"], scored["doublet_score"]))
+    assert got == pytest.approx(want)
+
+
+def test_batches_and_calls(spark, cells_matrix):
+    x = cells_matrix
+    two = to_long(spark, x).withColumn("sample", F.when(F.col("cell") < "c020", "s").otherwise("t"))
+    cells = two.select("sample", "cell").distinct()
+    scored = doublets.doublet_scores(two, cells, group=["sample"], max_mean=9.0, min_disp=-0.5, n_components=4, simulated=True).cache()
+    assert rows(scored.groupBy("sample", "is_syn").count()) == [("s", False, 20), ("s", True, 40), ("t", False, 20), ("t", True, 40)]
+    called = doublets.doublet_calls(scored, ["sample"], threshold=0.0)
+    report = doublets.doublet_report(called).first()
+    assert (report.n_cells, report.n_doublets, report.pct_doublets) == (40, 40, 100.0)
+    assert doublets.doublet_calls(scored, ["sample"]).count() == 40
+
+
+def test_valley():
+    counts = np.zeros(64)
+    counts[8:16], counts[40:50] = 20, 30
+    assert 16 <= doublets._valley(counts) < 40
+    assert doublets._valley(np.full(64, 3.0)) is None
