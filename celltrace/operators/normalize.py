@@ -2,17 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from celltrace.schema import CELL
 
 
 def normalize_log1p(counts: DataFrame, target_sum: float = 1e4, log: bool = True) -> DataFrame:
-    """Scale every cell to ``target_sum``, then ``log1p``. A cell with total 0 stays as it is."""
-    total = F.sum("x").over(Window.partitionBy(*CELL))
+    """Scale every cell to ``target_sum``, then ``log1p``. A cell with total 0 stays as it is.
+
+    Totals are summed on the map side and joined back: no task sees all rows of a hot cell.
+    """
+    totals = counts.groupBy(*CELL).agg(F.sum("x").alias("_total"))
     scaled = F.when(F.col("_total") == 0, F.col("x")).otherwise(F.col("x") * F.lit(float(target_sum)) / F.col("_total"))
-    return counts.withColumn("_total", total).withColumn("x", F.log1p(scaled) if log else scaled).drop("_total")
+    return counts.join(totals, CELL).withColumn("x", F.log1p(scaled) if log else scaled).drop("_total")
 
 
 def hvg_select(

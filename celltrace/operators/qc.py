@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from celltrace.functions.scalars import is_mitochondrial
@@ -62,18 +62,19 @@ def unique_names(names: DataFrame, name: str = "name", order: str = "idx", group
 
 
 def with_cell_totals(counts: DataFrame) -> DataFrame:
-    """Adds genes and counts per cell with one shuffle on the cell key. A cell holds
-    at most one row per gene, so its window stays small."""
-    w = Window.partitionBy(*CELL)
-    return counts.withColumn("n_genes", F.count_if(F.col("x") > 0).over(w)).withColumn("n_counts", F.sum("x").over(w))
+    """Adds genes and counts per cell. The totals are summed before the shuffle and joined
+    back, so that a cell holding a large share of the rows is split like any skewed join key."""
+    totals = counts.groupBy(*CELL).agg(F.count_if(F.col("x") > 0).alias("n_genes"), F.sum("x").alias("n_counts"))
+    return counts.join(totals, CELL)
 
 
 def filter_cells(counts: DataFrame, min_genes: int = 200, min_counts: float | None = None) -> DataFrame:
     """Both cell floors see the same unfiltered genes, so one pass serves the two."""
-    kept = with_cell_totals(counts).filter(F.col("n_genes") >= min_genes)
+    totals = counts.groupBy(*CELL).agg(F.count_if(F.col("x") > 0).alias("n_genes"), F.sum("x").alias("n_counts"))
+    kept = totals.filter(F.col("n_genes") >= min_genes)
     if min_counts is not None:
         kept = kept.filter(F.col("n_counts") >= min_counts)
-    return kept.drop("n_genes", "n_counts")
+    return keep_cells(counts, kept)
 
 
 def filter_genes(counts: DataFrame, min_cells: int = 3) -> DataFrame:
@@ -124,8 +125,7 @@ def keep_cells(counts: DataFrame, cells: DataFrame) -> DataFrame:
 def top_expressed_genes(counts: DataFrame, cells: DataFrame, n_top: int = 20) -> DataFrame:
     """Genes with the highest mean share of a cell's counts, with the box of that share over all cells."""
     n_cells = cells.agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("x").over(Window.partitionBy(*CELL))
-    shares = counts.withColumn("pct", F.try_divide(F.col("x") * 100.0, total))
+    shares = with_cell_totals(counts).select(*CELL, "gene", F.try_divide(F.col("x") * 100.0, F.col("n_counts")).alias("pct"))
     means = shares.groupBy("gene").agg((F.sum("pct") / n_cells.scalar()).alias("mean_pct"), F.max("pct").alias("max_pct"))
     top = means.orderBy(F.desc("mean_pct"), "gene").limit(n_top)
     top = top.withColumn("n", n_cells.scalar())

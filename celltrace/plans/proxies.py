@@ -30,9 +30,12 @@ class Tables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self.opened: dict[str, DataFrame] = {}
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        if name not in self.opened:
+            self.opened[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.opened[name]
 
     def keep(self, *names: str) -> Tables:
         """Write the named tables once; for queries that use them several times."""
