@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from celltrace.llm import neardup
+from celltrace.llm import contain, neardup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -30,3 +30,29 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near duplicates among all documents, on two-word shingles."""
     return neardup.near_duplicates(table(spark, folder, "documents"), width=2, percent=80)
+
+
+@query(
+    "op7_minhash_containment",
+    """
+    WITH item_words AS (
+        SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM benchmark),
+    item_shingles AS MATERIALIZED (
+        SELECT DISTINCT item_id, unnest(list_transform(generate_series(1, greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+        FROM item_words WHERE len(w) > 0),
+    doc_words AS (
+        SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
+        FROM documents),
+    doc_shingles AS (
+        SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+        FROM doc_words WHERE len(w) > 4),
+    sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id),
+    shared AS (SELECT doc_id, item_id, count(*) AS k FROM doc_shingles JOIN item_shingles USING (s) GROUP BY doc_id, item_id)
+    SELECT doc_id, item_id, n AS n_shingles, k AS n_shared, k::DOUBLE / n AS containment
+    FROM shared JOIN sizes USING (item_id) WHERE 100 * k >= 80 * n
+    """,
+)
+def minhash_containment(spark: SparkSession, folder: str) -> DataFrame:
+    """Benchmark items held by documents, on five-word shingles."""
+    return contain.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
