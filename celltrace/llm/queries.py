@@ -5,8 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from celltrace.llm import contain, neardup
+from celltrace.llm import contain, neardup, quality
+from celltrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,3 +58,15 @@ def circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
 def minhash_containment(spark: SparkSession, folder: str) -> DataFrame:
     """Benchmark items held by documents, on five-word shingles."""
     return contain.contained_items(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op2_empirical_bayes")
+def empirical_bayes(spark: SparkSession, folder: str) -> DataFrame:
+    """Posterior quality of every document; its source is the site, the language its section."""
+    docs = table(spark, folder, "documents")
+    model = quality.train(docs, table(spark, folder, "labels"))
+    if model is None:
+        return docs.select("doc_id", "source", "lang", F.lit(0.0).alias("evidence"), F.lit(0.5).alias("posterior"), F.lit(True).alias("kept"))
+    scored = quality.with_evidence(docs.select("doc_id", "source", "lang", "text"), model).drop("text")
+    judged = quality.with_posterior(Scratch(spark).cut(scored, "scored"), model, "source", "lang")
+    return judged.withColumn("kept", F.col("posterior") >= 0.5)
