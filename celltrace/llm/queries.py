@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltrace.llm import contain, neardup, quality
+from celltrace.llm import contain, mixing, neardup, quality
 from celltrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -70,3 +70,9 @@ def empirical_bayes(spark: SparkSession, folder: str) -> DataFrame:
     scored = quality.with_evidence(docs.select("doc_id", "source", "lang", "text"), model).drop("text")
     judged = quality.with_posterior(Scratch(spark).cut(scored, "scored"), model, "source", "lang")
     return judged.withColumn("kept", F.col("posterior") >= 0.5)
+
+
+@query("op9_block_mix")
+def block_mix(spark: SparkSession, folder: str) -> DataFrame:
+    """What a mix of all sources to their target weights takes from every document."""
+    return mixing.mix_report(table(spark, folder, "documents"))
