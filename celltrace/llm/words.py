@@ -7,6 +7,8 @@ Slices are cut at white space and bound the memory that a text of any length nee
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 
@@ -15,7 +17,8 @@ _MULTIPLIER = 0x9E3779B97F4A7C15
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_BYTE_VALUES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)
+EXACT_VALUES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)
+_BYTE_VALUES = EXACT_VALUES.copy()
 _BYTE_VALUES[ord("A") : ord("Z") + 1] = _BYTE_VALUES[ord("a") : ord("z") + 1]
 
 
@@ -61,52 +64,61 @@ def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def _slice_words(raw: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Start and hash of every word of one slice; ``firsts`` are the places where a text begins."""
+def slices(raw: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Begin and end of slices that are cut at white space or between texts, and the places inside where a text begins.
+
+    A slice is longer than ``_SLICE`` bytes only for a single word that is.
+    """
+    at, size = 0, len(raw)
+    while at < size:
+        end = min(size, at + _SLICE)
+        if end < size and end not in offsets[[np.searchsorted(offsets, end)]]:
+            blanks = np.flatnonzero(_BREAKS[raw[at:end]])
+            cut = max(offsets[np.searchsorted(offsets, end, "right") - 1], at + blanks[-1] + 1 if len(blanks) else at)
+            if cut <= at:  # one long word: up to its end
+                cut, limit = end, offsets[np.searchsorted(offsets, end, "right")]
+                while cut < limit and not (stop := np.flatnonzero(_BREAKS[raw[cut : min(limit, cut + _SLICE)]])).size:
+                    cut = min(limit, cut + _SLICE)
+                cut += stop[0] if cut < limit else 0
+            end = int(cut)
+        inner = offsets[np.searchsorted(offsets, at, "left") : np.searchsorted(offsets, end, "left")]
+        yield at, end, np.unique(inner) - at
+        at = end
+
+
+def bounds(raw: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of every word of one slice."""
     inside = ~_BREAKS[raw]
     before = np.empty(len(raw), bool)
     before[0] = False
     before[1:] = inside[:-1]
     before[firsts] = False
-    starts = np.flatnonzero(inside & ~before)
     closes = np.empty(len(raw), bool)
     closes[-1] = True
     closes[:-1] = ~inside[1:]
     closes[firsts[firsts > 0] - 1] = True
-    ends = np.flatnonzero(inside & closes) + 1
-    powers, inverses = _tables(len(raw))
+    return np.flatnonzero(inside & ~before), np.flatnonzero(inside & closes) + 1
+
+
+def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE_VALUES) -> np.ndarray:
+    """Hash of every byte range of a slice; ``values`` are the numbers of the bytes."""
+    powers, inverses = _tables(len(raw) + 1)
     sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(_BYTE_VALUES[raw] * powers[: len(raw)], out=sums[1:])
-    values = (sums[ends] - sums[starts]) * inverses[starts]
-    values += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return starts, mix(values)
+    np.cumsum(values[raw] * powers[: len(raw)], out=sums[1:])
+    out = (sums[ends] - sums[starts]) * inverses[starts]
+    out += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+    return mix(out)
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every word of all rows, and the offset of every row's first word."""
-    places, values, at, size = [], [], 0, len(raw)
-    while at < size:
-        end = min(size, at + _SLICE)
-        if end < size:
-            # back to the last white space or text start, on to the next one if a word is longer than a slice
-            here = offsets[np.searchsorted(offsets, end, "right") - 1]
-            blanks = np.flatnonzero(_BREAKS[raw[at:end]])
-            cut = max(here, at + blanks[-1] + 1 if len(blanks) else at)
-            while cut <= at:
-                nexts = np.flatnonzero(_BREAKS[raw[end : end + _SLICE]])
-                limit = offsets[np.searchsorted(offsets, end, "left")]
-                cut = min(limit, end + nexts[0] + 1 if len(nexts) else size if end + _SLICE >= size else limit)
-                if not len(nexts) and cut > end + _SLICE:
-                    end, cut = end + _SLICE, at
-            end = int(cut)
-        inner = offsets[np.searchsorted(offsets, at, "left") : np.searchsorted(offsets, end, "left")]
-        starts, found = _slice_words(raw[at:end], np.unique(inner) - at)
+    places, values = [np.empty(0, np.int64)], [np.empty(0, np.uint64)]
+    for at, end, firsts in slices(raw, offsets):
+        starts, ends = bounds(raw[at:end], firsts)
         places.append(starts + at)
-        values.append(found)
-        at = end
-    places = np.concatenate(places) if places else np.empty(0, np.int64)
-    values = np.concatenate(values) if values else np.empty(0, np.uint64)
-    return values, np.searchsorted(places, offsets, "left")
+        values.append(range_hashes(raw[at:end], starts, ends))
+    places = np.concatenate(places)
+    return np.concatenate(values), np.searchsorted(places, offsets, "left")
 
 
 def shingles(words: np.ndarray, width: int) -> np.ndarray:
