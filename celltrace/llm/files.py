@@ -43,7 +43,7 @@ class FrameWriter:
     def __init__(self, path: str, level: int = 3):
         system, name = place(path)
         system.create_dir(name.rsplit("/", 1)[0], recursive=True)
-        self.out, self.table = system.open_output_stream(name), []
+        self.out, self.table = system.open_output_stream(name, compression=None), []
         self.packer = zstandard.ZstdCompressor(level=level)
 
     def frame(self, data: bytes) -> int:

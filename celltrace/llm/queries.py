@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltrace.llm import contain, mixing, neardup, quality
+from celltrace.llm import contain, mixing, neardup, quality, tokenfiles
 from celltrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,16 @@ def empirical_bayes(spark: SparkSession, folder: str) -> DataFrame:
 def block_mix(spark: SparkSession, folder: str) -> DataFrame:
     """What a mix of all sources to their target weights takes from every document."""
     return mixing.mix_report(table(spark, folder, "documents"))
+
+
+def tokenizer(name: str) -> str:
+    """Path of a public tokenizer file."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
+
+
+@query("op8_token_files")
+def token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """Token ids of all documents, written as files and read back."""
+    return tokenfiles.token_table(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
