@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltrace.llm import contain, mixing, neardup, quality, tokenfiles
+from celltrace.llm import contain, mixing, neardup, quality, tokenfiles, warc
 from celltrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -89,3 +89,22 @@ def tokenizer(name: str) -> str:
 def token_files(spark: SparkSession, folder: str) -> DataFrame:
     """Token ids of all documents, written as files and read back."""
     return tokenfiles.token_table(table(spark, folder, "documents"), tokenizer("word_bpe_49k.json"))
+
+
+@query(
+    "op1_seekable_warc",
+    """
+    WITH p AS (SELECT page_id, strlen(coalesce(html, ''))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+    g AS (SELECT hex, max(page_id) AS first FROM p GROUP BY hex)
+    SELECT page_id, payload_bytes,
+        array_to_string(list_transform(generate_series(0, 31), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            ((((instr('0123456789abcdef', substr(hex, (5 * i // 4)::INT + 1, 1)) - 1) * 16
+              + instr('0123456789abcdef', substr(hex, (5 * i // 4)::INT + 2, 1)) - 1) >> (3 - (5 * i) % 4)::INT) & 31)::INT + 1, 1)), '') AS payload_digest,
+        CASE WHEN page_id IS NOT DISTINCT FROM first THEN 'response' ELSE 'revisit' END AS record_type,
+        CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+    FROM p JOIN g USING (hex)
+    """,
+)
+def seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages as WARC records in seekable bundles, read back."""
+    return warc.archive_report(table(spark, folder, "pages"))
