@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltrace.llm import contain, mixing, neardup, quality, tokenfiles, warc
+from celltrace.llm import contain, mixing, neardup, quality, secret_scan, tokenfiles, warc
 from celltrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -108,3 +108,9 @@ def token_files(spark: SparkSession, folder: str) -> DataFrame:
 def seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
     """All pages as WARC records in seekable bundles, read back."""
     return warc.archive_report(table(spark, folder, "pages"))
+
+
+@query("op4_randomness_scan")
+def randomness_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Secrets in all documents, by patterns and by randomness."""
+    return secret_scan.scan(table(spark, folder, "documents"))
