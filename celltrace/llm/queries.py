@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltrace.llm import contain, mixing, neardup, quality, secret_scan, tokenfiles, warc
+from celltrace.llm import contain, mixing, neardup, quality, secret_scan, token_counts, tokenfiles, warc
 from celltrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,3 +114,10 @@ def seekable_warc(spark: SparkSession, folder: str) -> DataFrame:
 def randomness_scan(spark: SparkSession, folder: str) -> DataFrame:
     """Secrets in all documents, by patterns and by randomness."""
     return secret_scan.scan(table(spark, folder, "documents"))
+
+
+@query("op5_digest_cache")
+def digest_cache(spark: SparkSession, folder: str) -> DataFrame:
+    """Token counts of all documents through a cache that starts empty."""
+    cache = Scratch(spark).path("token-counts")
+    return token_counts.count_tokens(table(spark, folder, "documents"), cache, tokenizer("piece_bpe_32k.model"))
