@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltrace.llm import contain, mixing, neardup, quality, secret_scan, token_counts, tokenfiles, warc
+from celltrace.llm import contain, hash_forest, mixing, neardup, quality, secret_scan, token_counts, tokenfiles, warc
 from celltrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -121,3 +121,9 @@ def digest_cache(spark: SparkSession, folder: str) -> DataFrame:
     """Token counts of all documents through a cache that starts empty."""
     cache = Scratch(spark).path("token-counts")
     return token_counts.count_tokens(table(spark, folder, "documents"), cache, tokenizer("piece_bpe_32k.model"))
+
+
+@query("op6_hash_forest")
+def forest_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The ten nearest vectors of every hundredth one."""
+    return hash_forest.search(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
