@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltrace.llm import contain, hash_forest, mixing, neardup, quality, secret_scan, token_counts, tokenfiles, warc
+from celltrace.llm import contain, hash_forest, mixing, neardup, page_text, quality, secret_scan, token_counts, tokenfiles, warc
 from celltrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -127,3 +127,9 @@ def digest_cache(spark: SparkSession, folder: str) -> DataFrame:
 def forest_search(spark: SparkSession, folder: str) -> DataFrame:
     """The ten nearest vectors of every hundredth one."""
     return hash_forest.search(table(spark, folder, "embeddings"), F.col("id") % 100 == 0)
+
+
+@query("op10_site_templates")
+def site_templates(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return page_text.extract(table(spark, folder, "pages"))
