@@ -8,16 +8,18 @@ The search keeps every link between different shingle sets that share a band, wi
 1. Documents with equal sets form one class; only classes go on.
 2. Every band bucket is compared with its most central class, the one that shares most buckets with others. Large groups
    of near copies fall into one component here.
-3. Classes of a bucket that are still in different components are compared with the blocks of the larger component.
+3. Classes of a bucket that are still in different components are compared by their whole signatures; where these agree
+   well enough for the threshold, the class of the smaller component is compared with the blocks of the larger one.
 
-Comparisons run on full shingle sets, in sorted streams: a block holds a bounded number of shingles in memory, and
-the sets to compare pass by. With 32 bands of 4 rows a pair at the threshold of 0.8 shares no band with
-probability 5e-8.
+Comparisons run in sorted streams: a block holds a bounded part in memory, and the others pass by. Links are
+confirmed on full shingle sets. With 32 bands of 4 rows a pair at the threshold of 0.8 shares no band with
+probability 5e-8; step 3 misses one that does with probability 1e-7 at most.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +35,10 @@ from celltrace.llm.scratch import Scratch
 #: Shingles of one comparison block, and members of a bucket that one block compares with its central class.
 BLOCK_SHINGLES = 1 << 19
 BLOCK_MEMBERS = 512
+#: Classes of one signature block, and others that pass by it.
+SKETCH_ANCHORS, SKETCH_STREAM = 1024, 1 << 16
+#: Chance that a pair at the threshold agrees in fewer coordinates than step 3 asks for.
+MISS = 1e-7
 _CELLS = 1 << 16
 
 
@@ -62,12 +68,13 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_column: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
-    """``(id, n_shingles, set_key, bands)`` per row; a text without words has no key and no bands."""
+    """``(id, n_shingles, set_key, bands, sketch)`` per row; a text without words has no key, bands and sketch.
+    The sketch holds the low byte of every coordinate."""
     kind = docs.schema[id_column].dataType
     schema = T.StructType(
         [
             T.StructField("id", kind), T.StructField("n_shingles", T.LongType()),
-            T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())),
+            T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType()),
         ]
     )
 
@@ -77,18 +84,20 @@ def signatures(docs: DataFrame, id_column: str, text: str, width: int, bands: in
                 part = batch.slice(at, 512)
                 raw, offsets = words.text_buffers(part.column(1))
                 hashes, firsts = words.word_hashes(raw, offsets)
-                counts, keys, found, ends = [], [], [], [0]
+                counts, keys, found, sketches, ends = [], [], [], [], [0]
                 for first, last in zip(firsts[:-1], firsts[1:]):
                     items = np.unique(words.shingles(hashes[first:last], width))
                     counts.append(len(items))
                     keys.append(hashlib.blake2b(items.tobytes(), digest_size=16).digest() if len(items) else None)
+                    signature = circulant_signature(items, bands * rows) if len(items) else None
+                    sketches.append(None if signature is None else signature.astype(np.uint8).tobytes())
                     if len(items):
-                        found.append(band_keys(circulant_signature(items, bands * rows), bands))
+                        found.append(band_keys(signature, bands))
                     ends.append(ends[-1] + bands * bool(len(items)))
                 flat = np.concatenate(found) if found else np.empty(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
-                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), lists]
-                yield pa.RecordBatch.from_arrays(columns, ["id", "n_shingles", "set_key", "bands"])
+                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), lists, pa.array(sketches, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, schema.names)
 
     return docs.select(F.col(id_column), F.col(text).cast("string")).mapInArrow(run, schema)
 
@@ -153,6 +162,59 @@ def compare(blocks: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return rows.repartition("block", "part").sortWithinPartitions("block", "part", "role").mapInArrow(run, "a long, b long")
 
 
+def least_agreement(size: int, percent: int) -> int:
+    """Equal coordinates of ``size`` below which a pair at the threshold falls with probability ``MISS`` at most."""
+    p, below = percent / 100, 0.0
+    for k in range(size + 1):
+        below += math.comb(size, k) * p**k * (1 - p) ** (size - k)
+        if below > MISS:
+            return k
+    return size
+
+
+def candidates(rows: DataFrame, agreement: int) -> DataFrame:
+    """``(cid, block)``: classes of smaller components that may be linked with the larger component ``block``.
+
+    ``rows(bucket, part, sub, role, cid, component, weight, bands, sketch)``: the anchors (role 0) of a block are held, the
+    others pass by. A pair counts in the first band that it shares.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, held, index, seen = None, [], None, set()
+        for batch in batches:
+            out = []
+            flat = np.asarray(batch.column(7).flatten())
+            bands = flat.reshape(batch.num_rows, -1) if batch.num_rows else flat.reshape(0, 1)
+            sketches = batch.column(8)
+            for i, (bucket, part, sub, role, cid, component, weight) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(7)))):
+                if (bucket, part, sub) != current:
+                    current, held, index, seen = (bucket, part, sub), [], None, set()
+                sketch = np.frombuffer(sketches[i].as_buffer(), np.uint8)
+                if role == 0:
+                    held.append((cid, component, weight, bands[i], sketch))
+                    continue
+                if not held:
+                    continue
+                if index is None:
+                    cids, components_, weights = (np.array([h[k] for h in held]) for k in range(3))
+                    index = cids, components_, weights, np.stack([h[3] for h in held]), np.stack([h[4] for h in held])
+                cids, components_, weights, held_bands, held_sketches = index
+                smaller = np.flatnonzero((weights < weight) | ((weights == weight) & (components_ < component)))
+                if not len(smaller):
+                    continue
+                smaller = smaller[(held_sketches[smaller] == sketch).sum(axis=1) >= agreement]
+                before = int(np.argmax(bands[i] == bucket))
+                smaller = smaller[~(held_bands[smaller, :before] == bands[i, :before]).any(axis=1)]
+                for x in cids[smaller].tolist():
+                    if (x, component) not in seen:
+                        seen.add((x, component))
+                        out.append((x, component))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], ["cid", "block"])
+
+    keys = ["bucket", "part", "sub"]
+    return rows.repartition(*keys).sortWithinPartitions(*keys, "role").mapInArrow(run, "cid long, block long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -174,7 +236,7 @@ def near_duplicates(
     signed = scratch.cut(signatures(docs, id_column, text, width, bands, rows), "signed")
     classes = (
         signed.filter("n_shingles > 0").groupBy("set_key")
-        .agg(F.min("id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
+        .agg(F.min("id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
         .withColumn("cid", F.monotonically_increasing_id())
     )
     classes = scratch.cut(classes, "classes")  # from here on the numbers stand
@@ -207,10 +269,22 @@ def near_duplicates(
     everyone = classes.select("cid", "n").join(first.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     weights = everyone.groupBy("component").agg(F.sum("n").alias("weight")).join(grouped.select("component").distinct(), "component")
     weights = scratch.cut(weights.withColumn("parts", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")), "weights")
-    rank = F.struct("weight", "component")
-    sides = grouped.join(weights, "component").select("bucket", "cid", "component", rank.alias("rank"), "parts")
-    groups = sides.select("bucket", F.col("component").alias("block"), F.col("rank").alias("block_rank"), "parts").distinct()
-    pairs = sides.drop("parts").join(groups, "bucket").filter("rank < block_rank").select("block", "parts", "cid").distinct()
+    grouped = grouped.join(weights.drop("parts"), "component")
+    inside = grouped.groupBy("bucket", "component").agg(F.first("weight").alias("weight"), F.count(F.lit(1)).alias("n"))
+    tops = inside.groupBy("bucket").agg(F.max(F.struct("weight", "component", "n")).alias("top"), F.sum("n").alias("n"))
+    tops = tops.select(
+        "bucket", F.col("top.component").alias("top"),
+        F.ceil((F.col("n") - F.col("top.n")) / SKETCH_ANCHORS).cast("int").alias("parts"), F.ceil(F.col("n") / SKETCH_STREAM).cast("int").alias("subs"),
+    )
+    rows_ = grouped.join(tops, "bucket").join(classes.select("cid", "bands", "sketch"), "cid")
+    chosen = ["bucket", "part", "sub", "role", "cid", "component", "weight", "bands", "sketch"]
+    place = F.xxhash64("cid")
+    held = rows_.filter("component != top").withColumn("role", F.lit(0)).withColumn("part", F.pmod(place, "parts").cast("int"))
+    held = held.withColumn("sub", F.explode(F.sequence(F.lit(0), F.col("subs") - 1))).select(*chosen)
+    passing = rows_.withColumn("role", F.lit(1)).withColumn("sub", F.pmod(place, "subs").cast("int"))
+    passing = passing.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(*chosen)
+    pairs = candidates(held.unionByName(passing), least_agreement(bands * rows, percent))
+    pairs = scratch.cut(pairs.join(weights.select(F.col("component").alias("block"), "parts"), "block"), "pairs")
     others = pairs.select("block", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), "cid", F.lit(1).alias("role"))
     held = everyone.join(pairs.select(F.col("block").alias("component"), "parts").distinct(), "component")
     held = held.select(F.col("component").alias("block"), F.pmod(F.xxhash64("cid"), "parts").cast("int").alias("part"), "cid", F.lit(0).alias("role"))
@@ -225,7 +299,7 @@ def near_duplicates(
     final = final.select("cid", F.coalesce("last", "component").alias("component")).join(classes.select("cid", "set_key", "first_id"), "cid")
     names = final.groupBy("component").agg(F.min("first_id").alias("component_id"))
     final = scratch.cut(final.join(names, "component").select("set_key", "component_id"), "final")
-    scratch.drop("members", "sets", "links-1", "links-2", "first-components", "grouped", "weights", "classes")
+    scratch.drop("members", "sets", "pairs", "links-1", "links-2", "first-components", "grouped", "weights", "classes")
     out = signed.select("id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
