@@ -21,11 +21,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from celltrace.llm.scratch import Scratch
+from celltrace.llm.scratch import Scratch, numbered
 
 #: A mixture is one weight per source; its rows are sent to every draw.
 MAX_SOURCES = 100_000
 WORD = r"[^\x20\x09-\x0D]+"
+SLOTS_PER_TASK = 1 << 17
 WEIGHTS = (3.0, 1.0, 2.0)
 
 
@@ -112,7 +113,7 @@ def slots(scratch: Scratch, plan: Mixture, seed: int, shard_blocks: int) -> Data
     sums = drawn.groupBy("place").agg(F.sum("drawn").alias("first"))
     settled = wanted.join(sums, "place", "left").select(F.lit(shards).alias("shard"), "place", F.coalesce("first", F.lit(0)).alias("first"), "quota")
     settled = settled.select("shard", "place", "first", (F.col("quota") - F.col("first")).alias("n"))
-    takes = numbered.unionByName(settled).filter("n > 0").repartition("shard", "place")
+    takes = numbered.unionByName(settled).filter("n > 0").repartition(total // SLOTS_PER_TASK + 1, "shard", "place")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,7 +125,8 @@ def slots(scratch: Scratch, plan: Mixture, seed: int, shard_blocks: int) -> Data
                     block = permute(index % size, size, (turn * 1_000_003 + place) * 1_000_003 + seed)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(index), shard)), pa.array(np.full(len(index), place)), pa.array(block), pa.array(turn)], ["shard", "place", "block", "pass_no"])
 
-    return takes.mapInArrow(spread, "shard long, place long, block long, pass_no long")
+    # written, so that joins are planned with the true size and not with that of the few rows it comes from
+    return scratch.cut(takes.mapInArrow(spread, "shard long, place long, block long, pass_no long"), "slots")
 
 
 def stream_offsets(scratch: Scratch, sized: DataFrame, order: list[str]) -> DataFrame:
@@ -216,12 +218,14 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", text
     """The mix as rows of ``docs``: every row keeps the words that the mix takes from it, repeats after the first copies;
     rows that give nothing go. ``length`` names a column that is set to the new number of characters."""
     scratch = Scratch(docs.sparkSession)
-    rows = scratch.cut(docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_size", word_count(F.col(text))).withColumn("_hash", F.xxhash64(F.col(text).cast("string"))), "rows")
-    sized = rows.select(F.col("_row").alias("row"), F.col(id_column).alias("id"), F.col(source).alias("source"), F.col("_size").alias("size"), F.col("_hash").alias("hash"))
+    plain, name = numbered(docs)
+    body = F.col(name[text])
+    rows = scratch.cut(plain.withColumn("row", F.monotonically_increasing_id()).withColumn("size", word_count(body)).withColumn("hash", F.xxhash64(body.cast("string"))), "rows")
+    sized = rows.select("row", F.col(name[id_column]).alias("id"), F.col(name[source]).alias("source"), "size", "hash")
     plan = plan_mixture(sized, weights, share, limit, block_words)
     runs = takes(scratch, sized, plan, ["id", "hash", "row"], block_words, seed, shard_blocks)
-    runs = runs.groupBy("row").agg(F.collect_list(F.struct("begin", "end", "copies")).alias("_runs")).withColumnRenamed("row", "_taken_row")
-    joined = rows.join(runs, F.col("_row") == F.col("_taken_row")).select(*docs.columns, "_size", "_runs")
+    runs = runs.groupBy("row").agg(F.collect_list(F.struct("begin", "end", "copies")).alias("runs"))
+    joined = rows.join(runs, "row").select(*plain.columns, "size", "runs")
     place, width = docs.columns.index(text), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -234,5 +238,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", text
             columns[place] = pa.array(values, pa.string()).cast(columns[place].type)
             yield pa.RecordBatch.from_arrays(columns, batch.schema.names[:width])
 
-    out = joined.mapInArrow(run, T.StructType(docs.schema.fields))
-    return out.withColumn(length, F.length(text).cast(docs.schema[length].dataType)) if length and length in docs.columns else out
+    out = joined.mapInArrow(run, T.StructType(plain.schema.fields))
+    if length and length in name:
+        out = out.withColumn(name[length], F.length(body).cast(docs.schema[length].dataType))
+    return out.toDF(*docs.columns)
