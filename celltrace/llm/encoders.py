@@ -12,8 +12,8 @@ import pyarrow as pa
 from celltrace.llm import words
 
 #: Pieces that a worker keeps with their ids; the store starts anew when it is full, which changes no result.
-STORED_PIECES = 1 << 20
-_SLOTS = 1 << 22
+STORED_PIECES = 1 << 19
+_SLOTS = 1 << 20
 
 _TAIL = np.zeros(256, bool)  # marks that never join a letter before them
 _TAIL[[ord(c) for c in ".,;:!?#$%&*|"]] = True

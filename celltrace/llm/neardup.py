@@ -24,13 +24,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltrace.llm import words
 from celltrace.llm.components import components
-from celltrace.llm.scratch import Scratch
+from celltrace.llm.scratch import Scratch, numbered
 
 #: Shingles of one comparison block, and members of a bucket that one block compares with its central class.
 BLOCK_SHINGLES = 1 << 19
@@ -310,10 +310,10 @@ def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", s
 
     Rows that share an id (also a null one) count as one document and leave one row.
     """
-    from pyspark.sql import Window
-
-    found = near_duplicates(docs, id_column, text, scratch=scratch, **search)
-    kept = found.filter("kept").select(F.col(id_column).alias("_kept_id")).distinct()
-    rows = docs.join(kept, docs[id_column].eqNullSafe(kept["_kept_id"])).drop("_kept_id")
-    place = F.row_number().over(Window.partitionBy(id_column).orderBy(F.xxhash64(F.col(text).cast("string"))))
-    return rows.withColumn("_place", place).filter("_place = 1").drop("_place")
+    plain, name = numbered(docs)
+    own = name[id_column]
+    found = near_duplicates(plain, own, name[text], scratch=scratch, **search)
+    kept = found.filter("kept").select(F.col(own).alias("kept_id")).distinct()
+    rows = plain.join(kept, plain[own].eqNullSafe(kept["kept_id"]))
+    place = F.row_number().over(Window.partitionBy(own).orderBy(F.xxhash64(F.col(name[text]).cast("string"))))
+    return rows.withColumn("place", place).filter("place = 1").select(*plain.columns).toDF(*docs.columns)

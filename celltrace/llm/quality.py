@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltrace.llm import words
+from celltrace.llm.scratch import numbered
 
 #: Labelled rows that the classifier is fitted on, chosen by the hash of their id.
 SAMPLE_ROWS = 20_000
@@ -167,7 +168,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, host: str = "source", path: st
     model = train(docs, labels, id_column=id_column, text=text)
     if model is None:
         return docs
-    scored = with_evidence(docs, model, text, "_evidence")
-    plain = scored.select(*docs.columns, F.col("_evidence"))
-    judged = with_posterior(plain, model, host, path, "_evidence")
-    return judged.filter(F.col("posterior") >= threshold).select(*docs.columns)
+    plain, name = numbered(docs)
+    scored = with_evidence(plain, model, name[text])
+    judged = with_posterior(scored, model, name[host], name[path])
+    return judged.filter(F.col("posterior") >= threshold).select(*plain.columns).toDF(*docs.columns)

@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from celltrace.session import ensure_checkpoint_dir
+from celltrace.session import ensure_checkpoint_dir, remember
 
 
 class Scratch:
@@ -14,7 +14,7 @@ class Scratch:
 
     def __init__(self, spark: SparkSession, folder: str | None = None):
         self.spark = spark
-        self.folder = f"{folder or ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}"
+        self.folder = remember(f"{folder or ensure_checkpoint_dir(spark)}/llm-{uuid.uuid4().hex}")
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}"
@@ -28,3 +28,10 @@ class Scratch:
         for name in names:
             path = self.spark._jvm.org.apache.hadoop.fs.Path(self.path(name))
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def numbered(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with columns ``c0``, ``c1``, ... and their names by the old ones, so that a column of a user
+    never meets one that an operator adds; ``toDF`` with the old names undoes it."""
+    names = [f"c{i}" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names))
