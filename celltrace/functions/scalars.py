@@ -16,7 +16,12 @@ TRUE_PGEN_CUTOFF = 1e-6
 CLASS_EDGES = [0, 1, 2, 3, 4, 5, 6, 7]
 FASTQ_NAME = r"^(.+?)_S\d+_L\d{3}_R[12]_\d{3}\.(?:fastq|fq)\.gz$"
 # Texts that a table reader treats as missing.
-NA_TEXT = ["", "#N/A", "#NA", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null", "-nan", "-NaN"]
+NA_TEXT = [
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+]
+# A decimal number as table readers take it; Java's suffixes and hexadecimal forms are bad text.
+DECIMAL = r"(?i)^[+-]?(\d+\.?\d*|\.\d+)(e[+-]?\d+)?$|^[+-]?inf(inity)?$"
 
 # All characters that count as white space.
 BLANKS = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -36,14 +41,20 @@ def normal_key(c: Column | str) -> Column:
 
 
 def missing_to_null(c: Column | str) -> Column:
+    """Texts that a table reader takes as missing, compared as they stand."""
     c = col(c)
-    return F.when(~strip_text(c).isin(NA_TEXT), c)
+    return F.when(~c.isin(NA_TEXT), c)
 
 
 def lenient_double(c: Column | str) -> Column:
     """Number, or null for bad text and for NaN."""
-    number = strip_text(c).try_cast("double")
-    return F.when(~F.isnan(number), number)
+    text = strip_text(col(c).cast("string"))
+    return F.when(text.rlike(DECIMAL), text.try_cast("double"))
+
+
+def strict_double(c: Column | str) -> Column:
+    """Number, or null for NaN; bad text is an error."""
+    return nan_to_null(strip_text(col(c).cast("string")).cast("double"))
 
 
 def nan_to_null(c: Column | str) -> Column:
@@ -53,7 +64,7 @@ def nan_to_null(c: Column | str) -> Column:
 
 def truncated_int(c: Column | str, default: int) -> Column:
     """Lenient number, default for missing, then cut to an integer."""
-    return F.coalesce(lenient_double(c), F.lit(float(default))).cast("int")
+    return F.coalesce(lenient_double(c), F.lit(float(default))).try_cast("long")
 
 
 def cell_barcode(c: Column | str, cb_length: int = 16) -> Column:

@@ -252,6 +252,16 @@ def _component_rows(group: list[str], pdf: pd.DataFrame, values: np.ndarray, bas
     )
 
 
+def _component_count(k: int, cells: int, columns: int) -> int:
+    """Components of a group, whichever way they are found: as many as its cells can tell apart, one at least."""
+    return max(1, min(k, columns, cells - 1))
+
+
+def _without_noise(variances: np.ndarray) -> np.ndarray:
+    """Variances that are rounding errors of the largest one are zero."""
+    return np.where(variances > 1e-12 * max(float(variances.max(initial=0.0)), 1e-300), variances, 0.0)
+
+
 def _eigen(group: list[str], k: int):
     """Components of one group from its summed Gram rows (genes x genes, not cells)."""
 
@@ -261,27 +271,23 @@ def _eigen(group: list[str], k: int):
         mean = total / n
         cov = (gram - n * np.outer(mean, mean)) / max(n - 1, 1)
         values, basis = np.linalg.eigh(cov)
-        pick = np.argsort(values)[::-1][:k]
-        return _component_rows(group, pdf, values[pick], basis[:, pick], mean, float(np.trace(cov)))
+        pick = np.argsort(values)[::-1][: _component_count(k, n, len(mean))]
+        return _component_rows(group, pdf, _without_noise(values[pick]), basis[:, pick], mean, float(np.trace(cov)))
 
     return run
 
 
 def _eigen_of_rows(group: list[str], k: int, v: str):
-    """Components of a group with few cells from the cells x cells products."""
+    """Components of a group with few cells from the singular values of its rows."""
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         x = np.vstack(pdf[v].to_numpy())
         mean = x.mean(axis=0)
         x = x - mean
-        values, left = np.linalg.eigh(x @ x.T)
-        pick = np.argsort(values)[::-1][:k]
-        pick = pick[values[pick] > 1e-12 * max(values.max(), 1e-300)]
-        if len(pick) == 0:
-            pick = np.array([int(values.argmax())])
-        basis = x.T @ left[:, pick] / np.sqrt(np.maximum(values[pick], 1e-300))
+        _, singular, right = np.linalg.svd(x, full_matrices=False)
+        count = _component_count(k, *x.shape)
         dof = max(len(x) - 1, 1)
-        return _component_rows(group, pdf, values[pick] / dof, basis, mean, float((x * x).sum()) / dof)
+        return _component_rows(group, pdf, _without_noise(singular[:count] ** 2 / dof), right[:count].T, mean, float((x * x).sum()) / dof)
 
     return run
 
@@ -292,7 +298,7 @@ def pca_fit(vectors: DataFrame, k: int = 50, group: list[str] | None = None, v:
     Large groups: every sort partition adds its cells into one Gram matrix and a
     streaming pass sums the Gram rows, so no task holds the cells of a group; the eigenvalue step
     sees genes x genes numbers only. Groups whose cells fit ``ROWS_LIMIT`` numbers, and have
-    fewer cells than genes, go through the smaller cells x cells products.
+    fewer cells than genes, are decomposed directly. Both ways give ``min(k, columns, cells - 1)`` components, one at least.
     """
     group = group or []
     sizes = vectors.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max(F.size(v)).alias("_d"))

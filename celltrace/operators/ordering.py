@@ -49,8 +49,12 @@ def rank_in_group(df: DataFrame, group: list[str], order: list, name: str = "ran
 
 def top_per_key(df: DataFrame, keys: list[str], order: list, n: int = 1, name: str | None = None) -> DataFrame:
     """First ``n`` rows per key. Spark cuts each map task to ``n`` rows per key before the
-    shuffle (window group limit), so a hot key sends only ``n`` rows per task."""
+    shuffle (window group limit), so a hot key sends only ``n`` rows per task. Above the number
+    of rows that Spark does this for, hot keys are spread by one range sort instead."""
     rank = name or "_rank"
+    if n > int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold")):
+        out = rank_in_group(df, keys, order, rank).filter(F.col(rank) <= n)
+        return out if name else out.drop(rank)
     place = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     out = df.withColumn(rank, place).filter(F.col(rank) <= n)
     return out if name else out.drop(rank)

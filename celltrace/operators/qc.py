@@ -114,8 +114,8 @@ def qc_hard_filter(metrics: DataFrame, max_genes: int = 8000, max_pct_mt: float
 
 
 def drop_predicted_doublets(obs: DataFrame) -> DataFrame:
-    """Only where cells were scored at all."""
-    return obs.filter(~F.col("predicted_doublet")) if "predicted_doublet" in obs.columns else obs
+    """Only where cells were scored at all; a cell without a flag is no predicted doublet."""
+    return obs.filter(~F.coalesce("predicted_doublet", F.lit(False))) if "predicted_doublet" in obs.columns else obs
 
 
 def keep_cells(counts: DataFrame, cells: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from celltrace.functions.scalars import (
     DOUBLET_TYPE,
@@ -13,7 +14,9 @@ from celltrace.functions.scalars import (
     barcode_present,
     below_cutoff,
     count_class,
+    lenient_double,
     not_doublet,
+    strict_double,
     true_barcode_label,
 )
 from celltrace.operators.ordering import bounded_values, global_rank
@@ -23,17 +26,30 @@ MESENCHYMAL = "Mesenchymal type"
 HSPC = "HSPC"
 
 
+def pgen_number(obs: DataFrame, strict: bool = False) -> Column:
+    """``pgen`` as a number. In a text column bad values are missing, or an error if ``strict``."""
+    if not isinstance(obs.schema["pgen"].dataType, T.StringType):
+        return F.col("pgen")
+    return strict_double("pgen") if strict else lenient_double("pgen")
+
+
 def label_true_barcodes(obs: DataFrame, cutoff: float = TRUE_PGEN_CUTOFF) -> DataFrame:
-    return obs.withColumn("true_bc", true_barcode_label("pgen", cutoff))
+    return obs.withColumn("true_bc", true_barcode_label(pgen_number(obs), cutoff))
 
 
-def barcode_celltype_table(obs: DataFrame, cutoff: float = TRUE_PGEN_CUTOFF, doublets: str = "keep") -> DataFrame:
+def barcode_celltype_table(
+    obs: DataFrame, cutoff: float = TRUE_PGEN_CUTOFF, doublets: str = "keep", strict: bool = False, present_only: bool = False
+) -> DataFrame:
     """Cells per true barcode and cell type, long form, missing values left out.
 
     ``doublets``: ``keep``; ``drop_rows`` before counting, so that a barcode seen in
     doublets only disappears; ``drop_column`` after it (see ``celltype_combinations``).
+    ``strict``: bad text in ``pgen`` is an error, as the ordered table asks for.
+    ``present_only``: barcodes of the text ``nan`` are missing too, as the set counts ask for.
     """
-    rows = obs.filter(below_cutoff("pgen", cutoff))
+    rows = obs.filter(below_cutoff(pgen_number(obs, strict), cutoff))
+    if present_only:
+        rows = rows.filter(barcode_present("barcode"))
     if doublets == "drop_rows":
         rows = rows.filter(not_doublet("cell_type"))
     rows = rows.dropna(subset=["barcode", "cell_type"])
@@ -122,16 +138,18 @@ def barcode_list_page(labels: DataFrame, ncols: int = 5) -> DataFrame:
     )
 
 
-def celltype_sets(table: DataFrame) -> DataFrame:
-    """Cell types of every barcode. A barcode seen in doublets only keeps an empty set."""
+def celltype_sets(table: DataFrame, priority: str = ENDOTHELIAL) -> DataFrame:
+    """Cell types of every barcode, ``priority`` first, the others as text. A barcode seen in doublets only keeps an empty set."""
     kind = F.when((F.col("cell_type") != DOUBLET_TYPE) & (F.col("n") > 0), F.col("cell_type"))
-    return table.groupBy("barcode").agg(F.array_sort(F.collect_set(kind)).alias("cell_types"))
+    ordered = F.array_sort(F.collect_set(F.when(kind.isNotNull(), F.struct((kind != priority).alias("later"), kind.alias("name")))))
+    return table.groupBy("barcode").agg(F.transform(ordered, lambda x: x["name"]).alias("cell_types"))
 
 
-def celltype_combinations(table: DataFrame) -> DataFrame:
-    """Number of barcodes per exact combination of cell types."""
-    sets = celltype_sets(table).groupBy("cell_types").agg(F.count(F.lit(1)).alias("n"))
-    return sets.withColumn("degree", F.size("cell_types"))
+def celltype_combinations(table: DataFrame, priority: str = ENDOTHELIAL) -> DataFrame:
+    """Number of barcodes per exact combination of cell types, with its place by degree, then number, then text."""
+    sets = celltype_sets(table, priority).groupBy("cell_types").agg(F.count(F.lit(1)).alias("n"))
+    sets = sets.withColumn("degree", F.size("cell_types")).withColumn("_text", F.array_join("cell_types", ", "))
+    return global_rank(sets, ["degree", F.desc("n"), "_text"], "place").drop("_text")
 
 
 def celltype_barcode_totals(table: DataFrame) -> DataFrame:

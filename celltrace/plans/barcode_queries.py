@@ -232,7 +232,7 @@ NO_DOUBLETS = "tbl2 AS (SELECT * FROM tbl WHERE cell_type <> 'Doublets')"
 
 @query("barcode_celltype_table", f"WITH {UP_TO_TABLE}, {NO_DOUBLETS} SELECT * FROM tbl2")
 def _(t: Tables):
-    return sharing.barcode_celltype_table(t.assigned, doublets="drop_rows")
+    return sharing.barcode_celltype_table(t.assigned, doublets="drop_rows", strict=True)
 
 
 @query(
@@ -243,7 +243,7 @@ def _(t: Tables):
         SELECT * FROM tbl2 JOIN c USING (cell_type) JOIN r USING (barcode)""",
 )
 def _(t: Tables):
-    return sharing.ordered_table(cut(sharing.barcode_celltype_table(t.assigned, doublets="drop_rows")))
+    return sharing.ordered_table(cut(sharing.barcode_celltype_table(t.assigned, doublets="drop_rows", strict=True)))
 
 
 @query(
@@ -253,7 +253,7 @@ def _(t: Tables):
         UNION ALL SELECT barcode, count(*), 'barcode' FROM tbl2 GROUP BY 1""",
 )
 def _(t: Tables):
-    return sharing.presence_counts(cut(sharing.barcode_celltype_table(t.assigned, doublets="drop_rows")))
+    return sharing.presence_counts(cut(sharing.barcode_celltype_table(t.assigned, doublets="drop_rows", strict=True)))
 
 
 SETS = """
@@ -263,11 +263,11 @@ sets AS (SELECT barcode, coalesce(string_agg(cell_type, ', ' ORDER BY cell_type)
 
 @query(
     "celltype_combinations",
-    f"WITH {UP_TO_TABLE}, {SETS} SELECT cell_types, degree, count(*) AS n FROM sets GROUP BY 1, 2",
+    f"WITH {UP_TO_TABLE}, {SETS} SELECT cell_types, degree, count(*) AS n, row_number() OVER (ORDER BY degree, count(*) DESC, cell_types) AS place FROM sets GROUP BY 1, 2",
 )
 def _(t: Tables):
-    combos = sharing.celltype_combinations(sharing.barcode_celltype_table(t.assigned))
-    return combos.select(F.array_join("cell_types", ", ").alias("cell_types"), long("degree").alias("degree"), "n")
+    combos = sharing.celltype_combinations(sharing.barcode_celltype_table(t.assigned, present_only=True))
+    return combos.select(F.array_join("cell_types", ", ").alias("cell_types"), long("degree").alias("degree"), "n", long("place").alias("place"))
 
 
 @query(
@@ -276,13 +276,13 @@ def _(t: Tables):
         SELECT barcode, CASE WHEN a AND b THEN 'both' WHEN a THEN 'only Mesenchymal type' WHEN b THEN 'only Endothelial cells' ELSE 'other' END AS class FROM f""",
 )
 def _(t: Tables):
-    sets = sharing.celltype_sets(sharing.barcode_celltype_table(t.assigned))
+    sets = sharing.celltype_sets(sharing.barcode_celltype_table(t.assigned, present_only=True))
     return sets.select("barcode", sharing.presence_class("cell_types").alias("class"))
 
 
 @query("celltype_barcode_totals", f"WITH {UP_TO_TABLE}, {NO_DOUBLETS} SELECT cell_type, count(DISTINCT barcode) AS n_barcodes FROM tbl2 GROUP BY 1")
 def _(t: Tables):
-    return sharing.celltype_barcode_totals(sharing.barcode_celltype_table(t.assigned))
+    return sharing.celltype_barcode_totals(sharing.barcode_celltype_table(t.assigned, present_only=True))
 
 
 def linked_sql(target: str, require_other: bool) -> str:

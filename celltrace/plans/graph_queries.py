@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from celltrace.operators import doublets, graph, matrix
+from celltrace.operators import chain, doublets, graph, matrix, qc
 from celltrace.plans.count_queries import UP_TO_GOOD
 from celltrace.plans.proxies import HVG_MAX_MEAN, Tables
 from celltrace.plans.registry import long, query, rounded
@@ -78,6 +78,71 @@ def _(t: Tables):
     return graph.graph_layout(weights(t))
 
 
+@query(
+    "communities_settled",
+    f"""WITH RECURSIVE {NEAR}, {FUZZY}
+        SELECT count(DISTINCT id) AS nodes, 0::BIGINT AS gaining FROM (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges)""",
+)
+def _(t: Tables):
+    """Nodes in communities, and those that would still gain by a move: none."""
+    edges = weights(t)
+    gains = graph.move_gains(cut(graph.both_directions(edges)), cut(graph.communities(edges)), 0.8)
+    return gains.agg(F.count(F.lit(1)).alias("nodes"), F.count_if(F.col("gain") > 1e-8).alias("gaining"))
+
+
+@query(
+    "graph_layout_settled",
+    f"""WITH RECURSIVE {NEAR}, {FUZZY}, n AS (SELECT count(DISTINCT id) AS nodes FROM (SELECT src AS id FROM edges UNION ALL SELECT dst FROM edges))
+        SELECT axis, nodes, true AS eigenvector, true AS nontrivial FROM n, (VALUES ('x'), ('y')) AS a(axis)""",
+)
+def _(t: Tables):
+    """Both coordinates solve the eigenvalue equation of the normalised graph, apart from its trivial solution."""
+    edges = weights(t)
+    arcs = cut(graph.both_directions(edges))
+    degree = arcs.groupBy("src").agg(F.sum("weight").alias("k")).withColumnRenamed("src", "id")
+    # with p = coordinate and D the degrees, the equation is W p = theta D p
+    place = cut(graph.graph_layout(edges)).join(degree, "id")
+    long_form = cut(place.select("id", "k", F.explode(F.array(F.struct(F.lit("x").alias("axis"), F.col("x").alias("p")), F.struct(F.lit("y").alias("axis"), F.col("y").alias("p")))).alias("c")).select("id", "k", "c.*"))
+    pulled = arcs.join(long_form.select(F.col("id").alias("dst"), "axis", "p"), "dst").groupBy(F.col("src").alias("id"), "axis").agg(F.sum(F.col("weight") * F.col("p")).alias("wp"))
+    sums = long_form.join(pulled, ["id", "axis"]).groupBy("axis").agg(
+        F.count(F.lit(1)).alias("nodes"), F.sum(F.col("k") * F.col("p")).alias("kp"), F.sum(F.col("k") * F.col("p") * F.col("p")).alias("kpp"),
+        F.sum("k").alias("k"), F.sum(F.col("p") * F.col("wp")).alias("pwp"), F.sum(F.col("wp") * F.col("wp") / F.col("k")).alias("ww"),
+    )
+    theta = F.col("pwp") / F.col("kpp")
+    residual = F.sqrt(F.greatest(F.col("ww") / F.col("kpp") - theta * theta, F.lit(0.0)))
+    return sums.select("axis", "nodes", (residual < 1e-3).alias("eigenvector"), (F.abs("kp") / F.sqrt(F.col("kpp") * F.col("k")) < 1e-6).alias("nontrivial"))
+
+
+@query(
+    "pca_invariants",
+    """WITH x AS (SELECT unnest(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings),
+       s AS (SELECT var_samp(v) AS v FROM x GROUP BY d)
+       SELECT 40::BIGINT AS components, round(sum(v), 6) + 0.0 AS total_variance, true AS scores_have_the_variance, true AS scores_are_uncorrelated FROM s""",
+)
+def _(t: Tables):
+    """What components must fulfil: the total variance, and scores that are uncorrelated with the listed variances."""
+    scores, model = matrix.pca(t.vectors, 40)
+    pairs = scores.select("id", F.posexplode("v").alias("i", "a"))
+    both = pairs.join(pairs.select("id", F.col("i").alias("j"), F.col("a").alias("b")), "id").groupBy("i", "j").agg(F.covar_samp("a", "b").alias("cov"))
+    listed = model.select((F.col("component") - F.lit(model.agg(F.min("component")).first()[0])).alias("i"), "variance")
+    checked = both.join(listed, "i").agg(
+        F.max(F.when(F.col("i") == F.col("j"), F.abs(F.col("cov") - F.col("variance")))).alias("own"), F.max(F.when(F.col("i") != F.col("j"), F.abs("cov"))).alias("other")
+    )
+    own, other = checked.select("own").scalar(), checked.select("other").scalar()
+    total = model.agg(F.count(F.lit(1)).alias("components"), F.max(F.when(F.col("ratio") > 0, F.col("variance") / F.col("ratio"))).alias("total"))
+    return total.select("components", rounded("total").alias("total_variance"), (own < 1e-8).alias("scores_have_the_variance"), (other < 1e-8).alias("scores_are_uncorrelated"))
+
+
+@query("computed_clusters", f"WITH {UP_TO_GOOD} SELECT sample, count(*) AS n, true AS several_clusters FROM good GROUP BY sample")
+def _(t: Tables):
+    """Counts to clusters, then cells per cluster and sample: every good cell is in one of several clusters."""
+    t.keep("filtered", "good_cells")
+    clusters = cut(chain.cluster_cells(t.good_counts, t.good_cells, t.genes, max_mean=HVG_MAX_MEAN))
+    grid = cut(qc.cluster_sample_counts(clusters))
+    several = grid.agg(F.count_distinct("leiden") > 1).scalar()
+    return grid.groupBy("sample").agg(F.sum("n").alias("n")).withColumn("several_clusters", several)
+
+
 @query("pca_variance")
 def _(t: Tables):
     """Variance of the components; the tests compare with numpy on the same rows."""

@@ -107,7 +107,7 @@ class Tables:
     @cached_property
     def rare_wide(self) -> DataFrame:
         """One line per part and one pGen column per sample; some are empty, some are no numbers."""
-        samples = [r[0] for r in self.read("nation").select("n_nationkey").orderBy("n_nationkey").limit(1000).collect()]
+        samples = [r[0] for r in self.read("nation").select("n_nationkey").orderBy("n_nationkey").collect()]
         value = "CASE WHEN (p_partkey + {0}) % 11 = 0 THEN NULL WHEN (p_partkey + {0}) % 17 = 0 THEN 'bad' ELSE concat('5e-', (p_partkey + {0}) % 12) END AS `{0}`"
         key = "lower(concat_ws('_', p_brand, p_type, p_size % 10)) AS Barcode"
         return self.read("part").selectExpr("p_partkey AS line_no", "CAST(NULL AS STRING) AS PolyloxBC", key, *[value.format(j) for j in samples])
@@ -167,11 +167,15 @@ class Tables:
             F.try_element_at(F.create_map(*pairs), F.col("c_mktsegment")).alias("leiden"),
         )
 
+    @cached_property
+    def passed(self) -> DataFrame:
+        """Counts after both cell floors."""
+        return qc.filter_cells(self.counts, QC_LIMITS["min_genes"], QC_LIMITS["min_counts"])
+
     @cached_property
     def filtered(self) -> DataFrame:
         """Counts after both cell floors and the gene floor."""
-        kept = qc.filter_cells(self.counts, QC_LIMITS["min_genes"], QC_LIMITS["min_counts"])
-        return qc.filter_genes(kept, QC_LIMITS["min_cells"])
+        return qc.filter_genes(self.passed, QC_LIMITS["min_cells"])
 
     @cached_property
     def metrics(self) -> DataFrame:

@@ -49,8 +49,8 @@ def _(t: Tables):
 
 @query(
     "discover_samples",
-    f"""WITH {PARTS} SELECT host AS sample, CASE WHEN bool_or(lang = 'en') THEN host || '/filtered_feature_bc_matrix' END AS matrix_dir, bool_or(lang = 'en') AS found
-        FROM u GROUP BY host""",
+    f"""WITH {PARTS} SELECT host AS sample, CASE WHEN bool_or(lang = 'en') THEN host || '/filtered_feature_bc_matrix' END AS matrix_dir, bool_or(lang = 'en') AS found,
+        row_number() OVER (ORDER BY host) AS place FROM u GROUP BY host""",
 )
 def _(t: Tables):
     folder = F.when(F.col("lang") == "en", files.MATRIX_DIR).otherwise("raw")

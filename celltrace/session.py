@@ -47,6 +47,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
+_WRITTEN: list[str] = []
+
+
+def remember(folder: str) -> str:
+    """Note a folder of written tables for ``drop_cuts``."""
+    _WRITTEN.append(folder)
+    return folder
+
+
+def drop_cuts(spark: SparkSession) -> None:
+    """Delete all tables that this program has written on its way: to be called once the results have been stored."""
+    while _WRITTEN:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` as a table in the shared checkpoint folder and go on from that table.
 
@@ -55,7 +71,7 @@ def cut(df: DataFrame) -> DataFrame:
     inferred constraints into the next round of a loop, where they would pile up.
     """
     folder = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(folder)
+    df.write.parquet(remember(folder))
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from celltrace.functions.scalars import fastq_sample, missing_to_null, safe_id
+from celltrace.operators.ordering import global_rank
 from celltrace.operators.qc import unique_names
 
 MATRIX_DIR = "filtered_feature_bc_matrix"
@@ -139,8 +140,18 @@ def _sample_of_path(path="path"):
     return F.url_decode(F.regexp_extract(path, rf"([^/]+)/{MATRIX_DIR}/[^/]+$", 1))
 
 
+# Fixed value: the type of the rows that count genes.
+GENE_ROWS = "Gene Expression"
+
+
+def _gene_lines(feature_lines: DataFrame) -> DataFrame:
+    """Lines of gene rows; files without a type column have no others."""
+    kind = F.trim(_field(2))
+    return feature_lines.filter(kind.isNull() | (kind == "") | (kind == GENE_ROWS))
+
+
 def counts_from_lines(matrix_lines: DataFrame, barcode_lines: DataFrame, feature_lines: DataFrame) -> DataFrame:
-    """Counts ``(sample, cell, gene, x)`` from the lines of matrix, barcode and feature files.
+    """Counts ``(sample, cell, gene, x)`` from the lines of matrix, barcode and feature files; rows of other feature types are left out.
 
     ``matrix_lines(sample, line, value)``: the size line is the first one that is no comment. It
     names the last gene and the last cell, so it can meet only that one entry; the
@@ -158,11 +169,11 @@ def counts_from_lines(matrix_lines: DataFrame, barcode_lines: DataFrame, feature
         .agg(F.sum("x").alias("x"), F.min_by("x", "line").alias("_first"))
     )
     cells = barcode_lines.select("sample", F.col("line_no").alias("cell_idx"), F.trim("value").alias("cell"))
-    names = feature_lines.select("sample", F.col("line_no").alias("idx"), F.coalesce(_field(1), _field(0)).alias("name"))
+    names = _gene_lines(feature_lines).select("sample", F.col("line_no").alias("idx"), F.coalesce(_field(1), _field(0)).alias("name"))
     genes = unique_names(names, group=["sample"]).select("sample", F.col("idx").alias("gene_idx"), F.col("unique_name").alias("gene"))
     size = (
         cells.groupBy("sample").agg(F.max("cell_idx").alias("_cells"))
-        .join(genes.groupBy("sample").agg(F.max("gene_idx").alias("_genes")), "sample")
+        .join(feature_lines.groupBy("sample").agg(F.max("line_no").alias("_genes")), "sample")
     )
     corner = (F.col("cell_idx") == F.col("_cells")) & (F.col("gene_idx") == F.col("_genes"))
     return (
@@ -187,7 +198,7 @@ def read_10x(spark: SparkSession, root: str, samples: list[str]) -> tuple[DataFr
     features = numbered_lines(spark, _matrix_files(spark, root, samples, "features.tsv")).withColumn("sample", _sample_of_path())
     counts = counts_from_lines(matrix, barcodes, features)
     cells = barcodes.select("sample", F.trim("value").alias("cell"))
-    genes = features.select("sample", F.col("line_no").alias("idx"), _field(0).alias("gene_id"), _field(1).alias("symbol"))
+    genes = _gene_lines(features).select("sample", F.col("line_no").alias("idx"), _field(0).alias("gene_id"), _field(1).alias("symbol"))
     return counts, cells, genes
 
 
@@ -203,13 +214,19 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 
 def discover_samples(paths: DataFrame, requested: DataFrame | None = None) -> DataFrame:
     """Samples with a matrix folder: ``(sample, matrix_dir, found)``. With ``requested`` its samples
-    are answered, without it every top folder is."""
+    are answered in its order (``place``, by its column of that name or else by name), without it every top folder is, by name."""
     top = F.regexp_extract("path", r"^([^/]+)/", 1)
     inside = F.col("path").rlike(rf"^[^/]+/{MATRIX_DIR}/")
     seen = paths.select(top.alias("sample"), inside.alias("_in")).filter("sample <> ''").groupBy("sample").agg(F.bool_or("_in").alias("found"))
+    order = "sample"
     if requested is not None:
-        seen = requested.select("sample").distinct().join(seen, "sample", "left").withColumn("found", F.coalesce("found", F.lit(False)))
-    return seen.select("sample", F.when(F.col("found"), F.concat("sample", F.lit(f"/{MATRIX_DIR}"))).alias("matrix_dir"), "found")
+        order = "place" if "place" in requested.columns else "sample"
+        asked = requested.groupBy("sample").agg(F.min(order).alias("_order"))
+        seen = asked.join(seen, "sample", "left").withColumn("found", F.coalesce("found", F.lit(False)))
+    else:
+        seen = seen.withColumn("_order", F.col("sample"))
+    placed = global_rank(seen, ["_order", "sample"], "place")
+    return placed.select("sample", F.when(F.col("found"), F.concat("sample", F.lit(f"/{MATRIX_DIR}"))).alias("matrix_dir"), "found", "place")
 
 
 def require_samples(discovered: DataFrame) -> DataFrame:

@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
-from celltrace.session import build_session  # noqa: E402
+from celltrace.session import build_session, drop_cuts  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -16,6 +16,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    drop_cuts(session)
     session.stop()
 
 

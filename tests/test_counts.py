@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from celltrace.operators import matrix, normalize, qc, reports
+from celltrace.operators import matrix, normalize, ordering, qc, reports
 from celltrace.operators.ordering import bounded_values, exact_quantiles, rank_in_group
 from tests.conftest import rows
 
@@ -170,3 +170,29 @@ def test_marker_lists(spark):
     req = spark.createDataFrame([("a",), ("b",)], "gene string")
     have = spark.createDataFrame([("a",)], "gene string")
     assert rows(reports.markers_present(req, have)) == [("a",)] and rows(reports.markers_missing(req, have)) == [("b",)]
+
+
+@pytest.mark.parametrize("n", [8, 30])
+def test_number_of_components_does_not_depend_on_the_way(spark, n):
+    """Few cells and many cells of rank one give the same rows, the empty components with variance zero."""
+    rng = np.random.default_rng(n)
+    x = np.outer(rng.standard_normal(n), rng.standard_normal(12))
+    df = spark.createDataFrame([(i, [float(v) for v in row]) for i, row in enumerate(x)], "id long, v array<double>")
+    found = matrix.pca_fit(df, 5).orderBy("component").collect()
+    assert len(found) == 5 and [r.variance for r in found[1:]] == [0.0] * 4
+    assert found[0].variance == pytest.approx(float(np.linalg.eigvalsh(np.cov(x.T))[-1]))
+    basis = np.array([r.loading for r in found])
+    assert np.allclose(basis @ basis.T, np.eye(5), atol=1e-8)
+    assert matrix.pca_fit(df.limit(1), 5).count() == 1
+
+
+def test_wide_top_is_one_range_sort(spark):
+    df = spark.range(3000).select(F.lit("hot").alias("k"), (F.col("id") * 7 % 3001).alias("v"))
+    top = ordering.top_per_key(df, ["k"], ["v"], 1500)
+    assert sorted(r.v for r in top.collect()) == sorted(i * 7 % 3001 for i in range(3000))[:1500]
+    assert "WindowGroupLimit" not in top._jdf.queryExecution().toString()
+
+
+def test_doublets_without_a_flag_stay(spark):
+    obs = spark.createDataFrame([("a", True), ("b", False), ("c", None)], "cell string, predicted_doublet boolean")
+    assert sorted(r.cell for r in qc.drop_predicted_doublets(obs).collect()) == ["b", "c"]

@@ -86,12 +86,85 @@ def test_communities(spark):
 
 
 def test_layout_separates_cliques(spark):
-    got = {r.id: (r.x, r.y) for r in graph.graph_layout(cliques(spark), rounds=20).collect()}
+    got = {r.id: (r.x, r.y) for r in graph.graph_layout(cliques(spark)).collect()}
     sides = {i: np.sign([got[f"n{j:02d}"] for j in range(i, i + 8)]) for i in (0, 8)}
     assert max(abs(v) for p in got.values() for v in p) == pytest.approx(10)
     assert any((sides[0][:, c] == -sides[8][:, c]).all() and len(set(sides[0][:, c])) == 1 for c in (0, 1))
 
 
+@pytest.fixture(scope="module")
+def half_thousand(spark):
+    """A neighbour graph of 500 points in overlapping groups: weights, degrees and names in one order."""
+    rng = np.random.default_rng(12)
+    centres = rng.standard_normal((10, 16))
+    x = centres[rng.integers(0, 10, 500)] + 0.8 * rng.standard_normal((500, 16))
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    near = np.argsort(d, axis=1)[:, 1:10]
+    a = np.zeros((500, 500))
+    for i, js in enumerate(near):
+        for j in js:
+            a[i, j] = a[j, i] = float(np.exp(-d[i, j] / 20))
+    pairs = [(f"n{i:03d}", f"n{j:03d}", float(a[i, j])) for i, j in zip(*np.nonzero(np.triu(a)))]
+    return a, spark.createDataFrame(pairs, "src string, dst string, weight double").cache()
+
+
+def quality_of(a, labels, resolution=0.8):
+    k, m2 = a.sum(axis=1), a.sum()
+    return sum(a[np.ix_(labels == c, labels == c)].sum() / m2 - resolution * (k[labels == c].sum() / m2) ** 2 for c in set(labels))
+
+
+def gaining(a, labels, resolution=0.8):
+    k, m2, out = a.sum(axis=1), a.sum(), []
+    for i, own in enumerate(labels):
+        value = {c: a[i][labels == c].sum() - a[i, i] * (c == own) - resolution * k[i] / m2 * (k[labels == c].sum() - k[i] * (c == own)) for c in set(labels)}
+        best = max(value, key=value.get)
+        if value[best] > value[own] + 1e-8:
+            out.append((i, best))
+    return out
+
+
+def test_communities_are_settled(half_thousand):
+    a, edges = half_thousand
+    found = {r.id: r.label for r in graph.communities(edges).collect()}
+    labels = np.array([int(found[f"n{i:03d}"]) for i in range(500)])
+    assert gaining(a, labels) == []
+    plain = np.arange(500)  # one node after the other, until none moves
+    while moves := gaining(a, plain):
+        for i, c in moves[:1]:
+            plain[i] = c
+        for i in range(500):
+            k, m2 = a.sum(axis=1), a.sum()
+            value = {c: a[i][plain == c].sum() - 0.8 * k[i] / m2 * (k[plain == c].sum() - k[i] * (c == plain[i])) for c in {plain[i], *plain[a[i] > 0]}}
+            plain[i] = max(value, key=lambda c: (value[c], c == plain[i]))
+    assert quality_of(a, labels) >= quality_of(a, plain) - 0.01
+    left = graph.move_gains(graph.both_directions(edges), spark_labels(edges, found), 0.8)
+    assert left.filter("gain > 1e-8").count() == 0
+
+
+def spark_labels(edges, found):
+    return edges.sparkSession.createDataFrame(list(found.items()), "id string, label string")
+
+
+def test_layout_is_the_spectral_plane(half_thousand):
+    a, edges = half_thousand
+    k = a.sum(axis=1)
+    _, vectors = np.linalg.eigh(a / np.sqrt(np.outer(k, k)))
+    got = {r.id: (r.x, r.y) for r in graph.graph_layout(edges).collect()}
+    plane = np.array([got[f"n{i:03d}"] for i in range(500)]) * np.sqrt(k)[:, None]
+    plane /= np.linalg.norm(plane, axis=0)
+    assert abs(plane[:, 0] @ vectors[:, -2]) > 0.999 and abs(plane[:, 1] @ vectors[:, -3]) > 0.999
+
+
+def test_layout_that_does_not_settle_is_an_error(half_thousand):
+    with pytest.raises(RuntimeError):
+        graph.graph_layout(half_thousand[1], max_rounds=1)
+
+
+def test_layout_of_tiny_graphs(spark):
+    two = spark.createDataFrame([("a", "b", 1.0)], "src string, dst string, weight double")
+    assert sorted((r.id, round(abs(r.x), 6), r.y) for r in graph.graph_layout(two).collect()) == [("a", 10.0, 0.0), ("b", 10.0, 0.0)]
+
+
 def parent(number, n, which):
     return (number * 7 + 3) % n if which == 1 else (number * 5 + 1) % n
 

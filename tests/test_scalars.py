@@ -1,3 +1,5 @@
+import pytest
+
 from pyspark.sql import functions as F
 
 from celltrace.functions import scalars as s
@@ -26,7 +28,15 @@ def test_numbers(spark):
     assert one(spark, s.lenient_double("c"), " 1e-7 ") == 1e-7
     assert one(spark, s.lenient_double("c"), "x") is None
     assert one(spark, s.lenient_double("c"), "nan") is None
+    for text in ("1d", "5f", "0x1p3", "1_0", "", "1e", ".", "٣"):
+        assert one(spark, s.lenient_double("c"), text) is None, text
+    assert one(spark, s.lenient_double("c"), "-.5E+2") == -50 and one(spark, s.lenient_double("c"), "inf") == float("inf")
+    assert one(spark, s.strict_double("c"), " 2.5 ") == 2.5 and one(spark, s.strict_double("c"), "NaN") is None
+    with pytest.raises(Exception):
+        one(spark, s.strict_double("c"), "bad")
     assert one(spark, s.truncated_int("c", 2), "2.7") == 2
+    assert one(spark, s.truncated_int("c", 2), "3e10") == 30_000_000_000
+    assert one(spark, s.truncated_int("c", 2), "1e30") is None
     assert one(spark, s.truncated_int("c", 2), "x") == 2
 
 
@@ -60,3 +70,9 @@ def test_group_names(spark):
     df = spark.createDataFrame([("0",), ("14",), ("9",), (None,)], "c string")
     names = {"0": "Endothelial cells", "14": "Mesenchymal type"}
     assert [r[0] for r in df.select(s.renamed_group("c", names)).collect()] == ["Endothelial cells", "Mesenchymal type", None, None]
+
+
+def test_missing_texts_are_compared_as_they_stand(spark):
+    for text in ("<NA>", "#N/A N/A", "-1.#IND", "1.#IND", "-1.#QNAN", "1.#QNAN", "NA", ""):
+        assert one(spark, s.missing_to_null("c"), text) is None, text
+    assert one(spark, s.missing_to_null("c"), " NA ") == " NA "

@@ -63,3 +63,21 @@ def test_ordered_and_presence(obs):
     ordered = sh.ordered_table(table)
     assert rows(ordered.filter("barcode = 'b1'"), "cell_type", "col_rank", "row_rank") == [("Endothelial cells", 2, 1), ("HSPC", 1, 1)]
     assert ("barcode", "b1", 2) in rows(sh.presence_counts(table), "axis", "name", "n_present")
+
+
+def test_text_pgen(spark):
+    obs = spark.createDataFrame([("b1", "HSPC", "1e-8"), ("b2", "HSPC", "bad"), ("b3", "HSPC", "1d"), ("nan", "HSPC", "1e-9")], "barcode string, cell_type string, pgen string")
+    assert {r.barcode: r.true_bc for r in sh.label_true_barcodes(obs).collect()} == {
+        "b1": "True barcodes", "b2": "Not True barcodes", "b3": "Not True barcodes", "nan": "True barcodes"}
+    assert [r[0] for r in rows(sh.barcode_celltype_table(obs))] == ["b1", "nan"]
+    assert [r[0] for r in rows(sh.barcode_celltype_table(obs, present_only=True))] == ["b1"]
+    with pytest.raises(Exception):
+        sh.barcode_celltype_table(obs, strict=True).collect()
+
+
+def test_sets_put_the_priority_type_first(spark):
+    table = spark.createDataFrame(
+        [("b1", "Astro", 1), ("b1", "Endothelial cells", 2), ("b2", "Astro", 1), ("b3", "Doublets", 4), ("b4", "Astro", 1), ("b5", "Zeta", 1)],
+        "barcode string, cell_type string, n long")
+    got = [(r.place, list(r.cell_types), r.n) for r in sh.celltype_combinations(table).orderBy("place").collect()]
+    assert got == [(1, [], 1), (2, ["Astro"], 2), (3, ["Zeta"], 1), (4, ["Endothelial cells", "Astro"], 1)]
