@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from celltrace.llm.scratch import Scratch
+
 MIN_PAGES, SHARE = 5, 0.1
 
 # Element names of the HTML standard.
@@ -239,7 +241,8 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", html
     kind = pages.schema[id_column].dataType
     rows = pages.select(F.col(id_column).alias("id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
     rows = rows.withColumn("host", F.lower(F.try_parse_url("url", F.lit("HOST"))))
-    found = site_templates(rows, "html", min_pages, share)
+    # written, so that the join knows how small it is: pages move only if the templates do not fit a broadcast
+    found = Scratch(pages.sparkSession).cut(site_templates(rows, "html", min_pages, share), "templates")
     joined = rows.join(found, "host", "left").select("id", "url", "html", "templates")
     schema = T.StructType([T.StructField(id_column, kind), T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
