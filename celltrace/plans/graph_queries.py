@@ -179,6 +179,26 @@ def scored(t: Tables, **options):
     return doublets.doublet_scores(t.good_counts, t.good_cells.select(*CELL), group=["sample"], max_mean=HVG_MAX_MEAN, **options)
 
 
+@query(
+    "simulated_neighbour_scores",
+    """WITH p AS (SELECT vec_id AS id, label % 3 AS batch, vec_id % 3 <> 0 AS is_syn, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+       t AS (SELECT batch, count(*) FILTER (WHERE NOT is_syn)::DOUBLE AS obs, count(*) FILTER (WHERE is_syn)::DOUBLE AS syn FROM p GROUP BY batch),
+       z AS (SELECT batch, syn / obs AS r, greatest(round(round(sqrt(obs) * 0.5) * (1 + syn / obs)), 1)::INT AS k FROM t),
+       n AS (SELECT a.batch, a.id, b.is_syn, row_number() OVER (PARTITION BY a.id ORDER BY list_distance(a.v, b.v), b.id) AS rank
+             FROM p a JOIN p b ON a.batch = b.batch AND a.id <> b.id),
+       h AS (SELECT batch, id, k, r, count(*) FILTER (WHERE is_syn) AS hits FROM n JOIN z USING (batch) WHERE rank <= k GROUP BY ALL),
+       q AS (SELECT *, (hits + 1.0::DOUBLE) / (k + 2.0::DOUBLE) AS q FROM h)
+       SELECT batch, id, round((q * 0.05::DOUBLE / r) / (0.95::DOUBLE - q * (0.95::DOUBLE - 0.05::DOUBLE / r)), 6) + 0.0 AS doublet_score FROM q""",
+)
+def _(t: Tables):
+    """The score of doublet detection on vectors of which two thirds are marked as simulated."""
+    points = t.read("embeddings").select(
+        F.col("vec_id").alias("id"), (F.col("label") % 3).alias("batch"), (F.col("vec_id") % 3 != 0).alias("is_syn"), F.col("embedding").cast("array<double>").alias("v")
+    )
+    found = doublets.simulated_neighbour_scores(points, ["batch"], 0.05)
+    return found.withColumn("doublet_score", rounded("doublet_score"))
+
+
 @query("doublet_scores")
 def _(t: Tables):
     return scored(t)

@@ -93,6 +93,20 @@ def _(t: Tables):
     return markers.source_rankings(scores, groups, "source")
 
 
+@query(
+    "source_pvalues",
+    f"""WITH {EMBEDDED}, {t_test_sql('emb', 'grp', 'source', 'score')},
+        -- two-sided tail of Student's t: with t = sqrt(df) tan(a) its density is c cos(a)^(df - 1); Simpson's rule in 2,000 steps
+        a AS (SELECT grp, source, df, atan(abs(statistic) / sqrt(df)) AS top, exp(lgamma((df + 1) / 2) - lgamma(df / 2)) / sqrt(pi()) AS c FROM tt),
+        s AS (SELECT grp, source, any_value(c) * any_value(top) / 2000 / 3 * sum(CASE WHEN i IN (0, 2000) THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END * pow(cos(top * i / 2000), df - 1)) AS half
+              FROM a, generate_series(0, 2000) AS g(i) GROUP BY grp, source)
+        SELECT grp AS "group", source, round(greatest(1 - 2 * half, 0), 6) + 0.0 AS pvalue FROM s""",
+)
+def _(t: Tables):
+    scores, groups = embedding_scores(t)
+    return markers.source_rankings(scores, groups, "source").select("group", "source", rounded("pvalue").alias("pvalue"))
+
+
 @query(
     "bh_adjust",
     """WITH p AS (SELECT event_id, event_type, value / 500.0 AS pvalue FROM events),
