@@ -166,7 +166,7 @@ def contained_items(
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             index = sent.value
-            for batch in batches:
+            for batch in words.small(batches):
                 rows, places, shared = [], [], []
                 for row, hits in enumerate(index.rows(batch.column(1))):
                     for place, count in hits:
@@ -196,7 +196,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id
         place = out.columns.index(text)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in words.small(batches):
                 column = batch.column(place)
                 clean = [not hits for hits in sent.value.rows(column if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column.cast(pa.string()))]
                 yield batch.filter(pa.array(clean, pa.bool_()))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltrace.llm.scratch import Scratch, numbered
+from celltrace.llm.words import small
 
 #: A mixture is one weight per source; its rows are sent to every draw.
 MAX_SOURCES = 100_000
@@ -229,7 +230,7 @@ def mix(docs: DataFrame, id_column: str = "doc_id", source: str = "source", text
     place, width = docs.columns.index(text), len(docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             values = [
                 taken_text(t, n, [(r["begin"], r["end"], r["copies"]) for r in found])
                 for t, n, found in zip(batch.column(place).cast(pa.string()).to_pylist(), batch.column(width).to_pylist(), batch.column(width + 1).to_pylist())

@@ -248,7 +248,7 @@ def near_duplicates(
     meets = members.groupBy("cid").agg(F.sum("size").alias("meets"))
     central = members.join(meets, "cid").groupBy("bucket").agg(F.max(F.struct("meets", "cid"))["cid"].alias("block"))
 
-    needed = members.select("cid").distinct().join(classes, "cid").select("cid", "set_key", "first_id")
+    needed = scratch.cut(members.select("cid").distinct().join(classes, "cid").select("cid", "set_key", "first_id"), "needed")
     found = docs.select(F.col(id_column).alias("first_id"), F.col(text).cast("string").alias("text"))
     both = found.join(needed, found["first_id"].eqNullSafe(needed["first_id"])).select("cid", "set_key", "text")
     sets = scratch.cut(shingle_sets(both, width).dropDuplicates(["cid"]), "sets")
@@ -299,7 +299,7 @@ def near_duplicates(
     final = final.select("cid", F.coalesce("last", "component").alias("component")).join(classes.select("cid", "set_key", "first_id"), "cid")
     names = final.groupBy("component").agg(F.min("first_id").alias("component_id"))
     final = scratch.cut(final.join(names, "component").select("set_key", "component_id"), "final")
-    scratch.drop("members", "sets", "pairs", "links-1", "links-2", "first-components", "grouped", "weights", "classes")
+    scratch.drop("members", "needed", "sets", "pairs", "links-1", "links-2", "first-components", "grouped", "weights", "classes")
     out = signed.select("id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltrace.llm.scratch import Scratch
+from celltrace.llm.words import small
 
 MIN_PAGES, SHARE = 5, 0.1
 
@@ -217,7 +218,7 @@ def site_templates(pages: DataFrame, html: str, min_pages: int, share: float) ->
     """``(host, templates)``: hashes of the subtrees that recur on many pages of a host. ``pages`` has a column ``host``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             rows, values = [], []
             for row, source in enumerate(batch.column(1)):
                 found = Page(source.as_py() or "").containers()
@@ -247,7 +248,7 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", html
     schema = T.StructType([T.StructField(id_column, kind), T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts = [main_text(h.as_py(), frozenset(t.as_py() or ())) for h, t in zip(batch.column(2), batch.column(3))]
             sizes = np.array([len(t) for t in texts], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(sizes)], schema.names)

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltrace.llm import words
-from celltrace.llm.scratch import numbered
+from celltrace.llm.scratch import Scratch, numbered
 
 #: Labelled rows that the classifier is fitted on, chosen by the hash of their id.
 SAMPLE_ROWS = 20_000
@@ -100,7 +100,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column:
     rows = docs.join(F.broadcast(known), docs[id_column] == known["_id"]).select("_y", F.col(text).cast("string"))  # sample_rows ids at most
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.small(batches):
             x = features(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), FEATURES).cast(pa.list_(pa.float64()))], ["y", "x"])
 
@@ -113,7 +113,7 @@ def with_evidence(docs: DataFrame, model: Model, text: str = "text", name: str =
     place = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in words.small(batches):
             column = batch.column(place)
             column = column if pa.types.is_string(column.type) or pa.types.is_large_string(column.type) else column.cast(pa.string())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(model.evidence(features(column)))], [*batch.schema.names, name])
@@ -150,6 +150,8 @@ def with_posterior(scored: DataFrame, model: Model, host: str, path: str, eviden
     hosts = hosts.withColumn("_host", (F.col("_hs") + F.col("_k") * F.col("_mean")) / (F.col("_hn") + F.col("_k")))
     paths = paths.join(hosts, F.col("_h").eqNullSafe(F.col("_hh"))).drop("_hh")
     paths = paths.withColumn("_kp", paths.agg(_strength(paths, F.col("_host"), "_pn", "_ps")).scalar())
+    # one row per section, written, so that the join knows its size: documents move only if that is too much to send
+    paths = Scratch(scored.sparkSession).cut(paths, "sections")
     out = scored.join(paths, F.col(host).eqNullSafe(F.col("_h")) & F.col(path).eqNullSafe(F.col("_p")))
     without = (F.col("_hs") - own + F.col("_k") * F.col("_mean")) / (F.col("_hn") - 1 + F.col("_k"))
     out = out.withColumn("host_share", without)

@@ -13,6 +13,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from celltrace.llm.scratch import Scratch
+from celltrace.llm.words import small
 
 # The base patterns, in the order of their kinds.
 KINDS = ("assign", "access", "hex", "random")
@@ -117,9 +119,16 @@ def _band(length: int) -> int:
 
 def tokens(text: str, base: list[tuple[int, int, str]]) -> list[tuple[int, int, str, int]]:
     """``(start, end, stratum, level)`` of tokens apart from the base spans; ``level`` is -100 log10 of the value, rounded down."""
-    out = []
+    out, taken = [], []  # the base spans without overlaps, by start
+    for start, end, _ in sorted(base):
+        if taken and start <= taken[-1][1]:
+            taken[-1][1] = max(end, taken[-1][1])
+        else:
+            taken.append([start, end])
+    ends = [end for _, end in taken]
     for m in _TOKEN.finditer(text):
-        if any(m.start() < end and start < m.end() for start, end, _ in base):
+        near = bisect_right(ends, m.start())  # the first one that ends behind the token's start
+        if near < len(taken) and taken[near][0] < m.end():
             continue
         if kind := infer(m[0]):
             p = randomness_p(*kind[1:])
@@ -155,7 +164,7 @@ def scan(docs: DataFrame, id_column: str = "doc_id", text: str = "text", fdr: fl
     token_type = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("stratum", pa.string()), ("level", pa.int32())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             counts, sums, bases, found = [[], [], []], [], [], []
             for value in batch.column(1):
                 body = value.as_py() or ""

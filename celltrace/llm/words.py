@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-_SLICE = 1 << 20
+_SLICE = 1 << 18
 _MULTIPLIER = 0x9E3779B97F4A7C15
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -50,6 +50,13 @@ def mix(z: np.ndarray) -> np.ndarray:
     return z
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that what a task holds and sends back at once stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def text_buffers(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of a string column and the row offsets into them; null rows have no bytes."""
     if not pa.types.is_large_string(column.type):
