@@ -15,6 +15,7 @@ import hashlib
 import re
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -52,7 +53,7 @@ def record(name: str | None, url: str | None, payload: bytes | None, size: int,
         ("WARC-Type", "revisit" if revisit else "response"), ("WARC-Record-ID", record_id(name, digest)), ("WARC-Date", DATE),
         ("WARC-Target-URI", None if url is None else re.sub(r"[\x00-\x20\x7f]", lambda m: f"%{ord(m[0]):02X}", url)),
         ("WARC-Payload-Digest", f"sha1:{digest}"), ("WARC-Profile", REVISIT_PROFILE if revisit else None),
-        ("WARC-Refers-To", record_id(refers_to, digest) if revisit else None), ("Page-ID", name), ("Refers-To-Page-ID", refers_to if revisit else None),
+        ("WARC-Refers-To", record_id(refers_to, digest) if revisit else None), ("Page-ID", None if name is None else quote(name)), ("Refers-To-Page-ID", quote(refers_to) if revisit else None),
         ("Content-Type", "application/http;msgtype=response"), ("Content-Length", str(len(block))),
     ]
     return _header(fields) + block + b"\r\n\r\n"
@@ -76,7 +77,8 @@ def _fields(header: dict[str, str], block: bytes) -> tuple:
     digest, kind = header["WARC-Payload-Digest"].removeprefix("sha1:"), header["WARC-Type"]
     if kind == "response" and (len(payload) != size or base32_sha1(payload) != digest):
         raise ValueError(f"payload of {header['WARC-Record-ID']} is damaged")
-    return header.get("Page-ID"), header.get("WARC-Target-URI"), header["WARC-Record-ID"], kind, size, digest, header.get("Refers-To-Page-ID"), payload if kind == "response" else None
+    name, first = (unquote(header[k]) if k in header else None for k in ("Page-ID", "Refers-To-Page-ID"))
+    return name, header.get("WARC-Target-URI"), header["WARC-Record-ID"], kind, size, digest, first, payload if kind == "response" else None
 
 
 def with_roles(pages: DataFrame, id_column: str, url: str, html: str, min_bytes: int) -> DataFrame:

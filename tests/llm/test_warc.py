@@ -57,6 +57,12 @@ def test_records_by_offset_and_whole_payloads(spark, monkeypatch):
     assert sum(p is not None for p in payloads) == sum(r.record_type == "response" for r in found)
 
 
+def test_text_ids(spark):
+    rows = [("a\r\nb: c%41", "u", "x"), ("é", "u", "x"), ("", "u", "y")]
+    found = warc.archive_report(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()
+    assert sorted((r.page_id, r.record_type, r.refers_to) for r in found) == [("", "response", None), ("a\r\nb: c%41", "revisit", "é"), ("é", "response", None)]
+
+
 def test_empty_table(spark):
     assert warc.archive_report(nothing(spark, PAGES)).collect() == []
 
