@@ -1,16 +1,4 @@
-"""Declared schemas of the working tables."""
-
-COUNTS = "sample string, cell string, gene string, x double"
-FEATURES = "gene_id string, symbol string, feature_type string"
-ASSEMBLIES = "sample string, row_no long, cb string, polylox string"
-LIBRARY_LINES = "line_no long, barcode string"
-MINCUT_LINES = "line_no long, mincut string"
-RARE_PGEN = "barcode string, sample string, pgen double"
-SAMPLE_MOUSE = "sample string, mouse string"
-MARKERS = "cell_type string, genesymbol string, mouse boolean"
-ORTHOLOGS = "human_symbol string, mouse_symbol string"
-VECTORS = "sample string, cell string, v array<double>"
-EDGES = "src string, dst string, dist double, weight double"
+"""Keys of the working tables."""
 
 # Key of one cell. The cell name alone repeats across samples.
 CELL = ["sample", "cell"]

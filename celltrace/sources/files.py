@@ -86,8 +86,8 @@ def read_rare_table(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(_row_order().alias("line_no"), *[F.col(f"`{c}`") for c in rows.columns])
 
 
-def read_assemblies(spark: SparkSession, base_path: str, samples: list[str] | None = None) -> tuple[DataFrame, list[str]]:
-    """Candidates of all ``<sample>_seg_assemble.csv`` files in one read per distinct header.
+def read_assemblies(spark: SparkSession, base_path: str, samples: list[str] | None = DEFAULT_SAMPLES) -> tuple[DataFrame, list[str]]:
+    """Candidates of the ``<sample>_seg_assemble.csv`` files of ``samples`` (None: of all files) in one read per distinct header.
 
     Returns the rows ``(sample, row_no, cb, polylox)`` and the samples left out because their file
     is missing or lacks a needed column.

@@ -34,6 +34,9 @@ def test_assignment(spark, inputs):
     assert rows(mouse) == [("S1", "M1"), ("S2", "M1")]
     assemblies, skipped = files.read_assemblies(spark, folder, ["S1", "S2", "S3", "S7"])
     assert sorted(skipped) == ["S3", "S7"]
+    assert {r.sample for r in files.read_assemblies(spark, folder, None)[0].collect()} == {"S1", "S2"}
+    with pytest.raises(ValueError):  # the built-in samples are not there
+        files.read_assemblies(spark, folder)
     lib = b.barcode_library(library, mincuts)
     long = b.rare_pgen_long(rare)
     assert rows(long) == [("CCC", "S1", 1e-9), ("GGT", "S1", 1e-7)]
