@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -306,14 +306,15 @@ def near_duplicates(
 
 
 def keep_first(docs: DataFrame, id_column: str = "doc_id", text: str = "text", scratch: Scratch | None = None, **search) -> DataFrame:
-    """``docs`` with one row per group of near duplicates, the one with the smallest id; all its columns stay.
+    """``docs`` with one row per group of near duplicates, the one with the smallest id (nulls last); all its columns stay.
 
-    Rows that share an id (also a null one) count as one document and leave one row.
+    Only texts link rows: rows that share an id, also a null one, are rows of their own. Ties go by text hash.
     """
+    scratch = scratch or Scratch(docs.sparkSession)
     plain, name = numbered(docs)
-    own = name[id_column]
-    found = near_duplicates(plain, own, name[text], scratch=scratch, **search)
-    kept = found.filter("kept").select(F.col(own).alias("kept_id")).distinct()
-    rows = plain.join(kept, plain[own].eqNullSafe(kept["kept_id"]))
-    place = F.row_number().over(Window.partitionBy(own).orderBy(F.xxhash64(F.col(name[text]).cast("string"))))
-    return rows.withColumn("place", place).filter("place = 1").select(*plain.columns).toDF(*docs.columns)
+    own, body = F.col(name[id_column]), F.col(name[text])
+    rows = scratch.cut(plain.withColumn("row", F.monotonically_increasing_id()), "rows")  # from here on the numbers stand
+    key = F.struct(own.isNull().alias("missing"), own.alias("id"), F.xxhash64(body.cast("string")).alias("hash"), F.col("row"))
+    found = near_duplicates(rows.select(key.alias("key"), body.alias("text")), "key", "text", scratch=scratch, **search)
+    kept = found.filter("kept").select(F.col("key.row").alias("row"))
+    return rows.join(kept, "row").select(*plain.columns).toDF(*docs.columns)

@@ -60,6 +60,18 @@ def test_kept_documents_and_odd_ids(spark):
     assert sorted((r.doc_id or 0, r.lang) for r in out.collect()) == sorted([(1, "y"), (0, "z"), (5, None), (6, None), (7, "a")])
 
 
+def test_rows_of_one_id_collapse_by_text_only(spark):
+    """Null and repeated ids: clean rows stay, and a row is judged by its own text."""
+    rows = [(None, "a b c d e f", "n1", "s", 1), (None, "g h i j k l", "n2", "s", 2), (None, "A B C D E F", "n3", "s", 3), (None, None, "n4", "s", 4), (None, "", "n5", "s", 5)]
+    rows += [(3, "m n o p q r", "kept", "s", 6)]
+    rows += [(5 + i, t, kind, "s", 7) for i in range(20) for t, kind in ((f"u{i} v{i} w{i} x{i} y{i} z{i}", "own"), ("m n o p q r", "copy"))]
+    rows += [(40, "k1 k2 k3 k4 k5 k6", "same", "s", 8)] * 2 + [(None, "k1 k2 k3 k4 k5 k6", "later", "s", 8)]
+    out = neardup.keep_first(with_clashes(spark.createDataFrame(rows, DOCS))).collect()
+    langs = sorted(r.lang for r in out)
+    assert [x for x in langs if x in ("n1", "n3")] in (["n1"], ["n3"])
+    assert [x for x in langs if x not in ("n1", "n3")] == sorted(["n2", "n4", "n5", "kept", "same"] + ["own"] * 20)
+
+
 def test_empty_table(spark):
     assert neardup.near_duplicates(nothing(spark, DOCS)).collect() == []
     assert neardup.keep_first(nothing(spark, DOCS)).collect() == []
