@@ -1,10 +1,9 @@
 """Main text of HTML pages: boilerplate by meaning, and site templates found by counting subtrees per host.
 
-Every page is read twice. The first pass hashes the subtrees of its containers (tags and texts); Spark counts per host on how many
-pages each hash occurs. A subtree on at least ``MIN_PAGES`` pages and ``SHARE`` of the pages of its host is part of the site's template
-and is deleted in the second pass. Paragraphs, headings and whatever holds more than half of a page's main text are never
-candidates, so an article that a site prints many times stays. As templates need a share of the pages, a host has at most (containers
-per page) / ``SHARE`` of them, and their hashes travel as one short array per host.
+Every page is read once and its main text is written with the hashes of its containers (tags and texts). Spark counts per host on how
+many pages each hash occurs. A subtree on at least ``MIN_PAGES`` pages of its host, however large the host is, is part of the site's template and
+is deleted. Paragraphs, headings and whatever holds more than half of a page's main text are never candidates, so an article that a site
+prints many times stays. Templates stay rows of ``(host, hash)`` and meet the containers of the pages in a join, salted by page.
 """
 
 from __future__ import annotations
@@ -24,7 +23,9 @@ from pyspark.sql import types as T
 from celltrace.llm.scratch import Scratch
 from celltrace.llm.words import small
 
-MIN_PAGES, SHARE = 5, 0.1
+MIN_PAGES = 5
+#: Parts of the containers of one template in the join with the pages.
+SALTS = 8
 
 # Element names of the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -197,6 +198,13 @@ class Page:
         gone = {i for value, first, last in self._parts(place) if value in templates for i in range(first, last)}
         return [block[0] for i, block in enumerate(self.blocks) if (not place or block[place]) and i not in gone]
 
+    def main(self) -> tuple[list[str], list[tuple[int, int, int]]]:
+        """Blocks of the main text, and the containers that can be part of a template with their places among these blocks."""
+        place = self._place()
+        before = np.cumsum([0, *(not place or bool(block[place]) for block in self.blocks)]).tolist()
+        parts = [(value, before[first], before[last]) for value, first, last in self._parts(place)]
+        return [block[0] for block in self.blocks if not place or block[place]], parts
+
     def containers(self) -> set[int]:
         """Hashes of the containers that can be part of a template."""
         return {value for value, *_ in self._parts(self._place())}
@@ -214,7 +222,12 @@ def main_text(source: str | None, templates: frozenset[int] = frozenset()) -> st
     return "\n".join(Page(source or "").kept(templates))
 
 
-def site_templates(pages: DataFrame, html: str, min_pages: int, share: float) -> DataFrame:
+def template_rows(found: DataFrame, min_pages: int) -> DataFrame:
+    """``(host, value, n)``: hashes that occur on ``n >= min_pages`` pages of a host. ``found(host, value)`` names a hash once per page."""
+    return found.groupBy("host", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
+
+
+def site_templates(pages: DataFrame, html: str, min_pages: int, share: float = 0.0) -> DataFrame:
     """``(host, templates)``: hashes of the subtrees that recur on many pages of a host. ``pages`` has a column ``host``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,28 +241,52 @@ def site_templates(pages: DataFrame, html: str, min_pages: int, share: float) ->
 
     sited = pages.filter(F.col("host").isNotNull())
     sizes = sited.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    counts = sited.select("host", F.col(html).cast("string")).mapInArrow(run, "host string, value long").groupBy("host", "value").agg(F.count(F.lit(1)).alias("n"))
-    many = counts.filter(F.col("n") >= min_pages).join(sizes, "host").filter(F.col("n") >= F.col("pages") * share)
+    many = template_rows(sited.select("host", F.col(html).cast("string")).mapInArrow(run, "host string, value long"), min_pages)
+    many = many.join(sizes, "host").filter(F.col("n") >= F.col("pages") * share)
     return many.groupBy("host").agg(F.collect_list("value").alias("templates"))
 
 
-def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES, share: float = SHARE) -> DataFrame:
+def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """``(id, url, text, n_chars)`` per row of ``pages``: blocks of the main text, one per line.
 
     Null and empty pages have an empty text. Pages without a readable host belong to no site and are judged by meaning alone;
     repeated rows count as pages of their host.
     """
-    kind = pages.schema[id_column].dataType
+    kind, scratch = pages.schema[id_column].dataType, Scratch(pages.sparkSession)
     rows = pages.select(F.col(id_column).alias("id"), F.col(url).cast("string").alias("url"), F.col(html).cast("string").alias("html"))
     rows = rows.withColumn("host", F.lower(F.try_parse_url("url", F.lit("HOST"))))
-    # written, so that the join knows how small it is: pages move only if the templates do not fit a broadcast
-    found = Scratch(pages.sparkSession).cut(site_templates(rows, "html", min_pages, share), "templates")
-    joined = rows.join(found, "host", "left").select("id", "url", "html", "templates")
+    read = T.StructType(
+        [
+            T.StructField("id", kind), T.StructField("url", T.StringType()), T.StructField("host", T.StringType()), T.StructField("blocks", T.ArrayType(T.StringType())),
+            T.StructField("values", T.ArrayType(T.LongType())), T.StructField("firsts", T.ArrayType(T.IntegerType())), T.StructField("lasts", T.ArrayType(T.IntegerType())),
+        ]
+    )
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            found = [Page(h.as_py() or "").main() for h in batch.column(2)]
+            parts = [part if host.is_valid else [] for (_, part), host in zip(found, batch.column(3))]
+            numbers = [pa.array([[x[k] for x in part] for part in parts], pa.list_(kind_)) for k, kind_ in enumerate((pa.int64(), pa.int32(), pa.int32()))]
+            blocks = pa.array([b for b, _ in found], pa.list_(pa.string()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), blocks, *numbers], read.names)
+
+    # written, so that a page is read once and the row numbers stand
+    parsed = scratch.cut(rows.select("id", "url", "html", "host").mapInArrow(parse, read).withColumn("row", F.monotonically_increasing_id()), "parsed")
+    found = parsed.select("row", "host", F.explode(F.array_distinct("values")).alias("value"))
+    templates = scratch.cut(template_rows(found.select("host", "value"), min_pages).select("host", "value"), "templates")
+    spread = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hits = found.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(spread, ["host", "value", "salt"])
+    hits = scratch.cut(hits.groupBy("row").agg(F.collect_list("value").alias("templates")), "hits")
+    joined = parsed.join(hits, "row", "left").select("id", "url", "blocks", "values", "firsts", "lasts", "templates")
     schema = T.StructType([T.StructField(id_column, kind), T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            texts = [main_text(h.as_py(), frozenset(t.as_py() or ())) for h, t in zip(batch.column(2), batch.column(3))]
+            texts = []
+            for blocks, values, firsts, lasts, known in zip(*(batch.column(k).to_pylist() for k in range(2, 7))):
+                known = frozenset(known or ())
+                gone = {i for value, first, last in zip(values, firsts, lasts) if value in known for i in range(first, last)}
+                texts.append("\n".join(block for i, block in enumerate(blocks) if i not in gone))
             sizes = np.array([len(t) for t in texts], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(sizes)], schema.names)
 

@@ -47,6 +47,14 @@ def test_templates_go_and_shared_passages_stay(spark):
     assert found[103].text == "" and found[None].text == "" and all(r.n_chars == len(r.text) for r in found.values())
 
 
+def test_templates_of_large_hosts(spark):
+    """A box on six of 200 pages is a template like on a host of 50."""
+    box = "<div><p>Section menu</p></div>"
+    rows = [(i, "http://big.example/", f"<body>{box if i < 6 else ''}<p>Story {i} that is longer than any of the boxes.</p></body>") for i in range(200)]
+    found = {r.page_id: r.text for r in page_text.extract(spark.createDataFrame(rows, PAGES)).collect()}
+    assert found == {i: f"Story {i} that is longer than any of the boxes." for i in range(200)}
+
+
 def test_page_that_repeats_whole_is_no_template(spark):
     rows = [(i, "http://a.example/", "<article><div><p>The same article.</p></div></article>") for i in range(20)]
     assert {r.text for r in page_text.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"The same article."}
