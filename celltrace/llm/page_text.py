@@ -50,6 +50,12 @@ DROPPED_NAMES = frozenset(
     "menu modal nav navbar navigation newsletter notice notices notification pager pagination popup promo promotion promoted recommended related reply replies share sharing "
     "sidebar sidenav signup skip social sponsor sponsored subscribe subscription teaser toolbar widget alert".split()
 )
+#: Words that begin the names of comment parts (other words, such as commentary, are not meant).
+DROPPED_NAMES |= frozenset("comment comments commentlist commentform commentbox commentarea commentsection commenting commenter commenters".split())
+#: Names such as no-ads or has-sidebar describe the page around a part.
+NEGATED = frozenset("has have no non not with without".split())
+#: Inside an article their ids are slugs of their titles.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
 CONTAINERS = frozenset("div section ul ol dl table nav aside header footer form figure center fieldset menu".split())
 
 _TAG = re.compile(
@@ -70,28 +76,65 @@ def is_boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
             return True
         if key == "role" and value in DROPPED_ROLES:
             return True
-        if key in ("class", "id"):
-            parts = [p for p in re.split(r"[^a-z0-9]+", value) if p]
-            if any(p in DROPPED_NAMES or p.startswith("comment") for p in parts) or ("header" in parts and not inside_article):
+    return False
+
+
+def is_named(name: str, attributes: str, inside_article: bool) -> bool:
+    """Whether a class or an id names the element as boilerplate; ``Page`` decides by its content."""
+    if not attributes or name in ("html", "body", "article", "main"):
+        return False
+    for m in _ATTRIBUTE.finditer(attributes):
+        key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
+        if key not in ("class", "id") or key == "id" and inside_article and name in TITLED:
+            continue
+        for word in value.split():
+            parts = [p for p in re.split(r"[^a-z0-9]+", word) if p]
+            if not parts or parts[0] in NEGATED:
+                continue
+            matches = [p in DROPPED_NAMES or p == "header" and not inside_article for p in parts]
+            if all(matches) if key == "id" and inside_article else any(matches):
                 return True
     return False
 
 
 class Element:
-    __slots__ = ("name", "dropped", "article", "main", "content", "parts", "first", "size")
+    __slots__ = ("name", "dropped", "muted", "named", "inside", "article", "main", "outer", "content", "parts", "first", "size")
 
-    def __init__(self, name: str, parent: Element | None, dropped: bool, first: int):
-        self.name, self.first, self.size, self.content = name, first, 0, False
+    def __init__(self, name: str, parent: Element | None, dropped: bool, first: int, named: bool = False, muted: bool = False):
+        self.name, self.first, self.size, self.content, self.named = name, first, 0, False, named
         self.dropped = dropped or bool(parent and parent.dropped)
-        self.article = bool(parent and parent.article) or (name == "article" and not self.dropped)
-        self.main = bool(parent and parent.main) or (name == "main" and not self.dropped)
+        self.muted = muted or bool(parent and parent.muted)  # its articles do not say where the page's text is
+        holds = name in ("article", "main") and not self.dropped
+        self.inside = holds or bool(parent and parent.inside)
+        self.article = bool(parent and parent.article) or (name == "article" and holds and not self.muted)
+        self.main = bool(parent and parent.main) or (name == "main" and holds and not self.muted)
+        outer = parent.outer if parent else None
+        self.outer: Element | None = self if holds and (outer is None or outer.name == "main" and name == "article") else outer
         self.parts: list[str] = []
 
 
 class Page:
-    """Blocks of text in page order, and the hashes of the containers that hold them."""
+    """Blocks of text in page order, and the hashes of the containers that hold them.
+
+    A page with elements that are boilerplate by name is read again, once the sizes of their subtrees are known: such an element
+    goes only if it holds no article of its own and at most half of the text of the page and of the article or main part around it.
+    """
 
     def __init__(self, source: str):
+        self._start(source, None)
+        if self.named:
+            self._start(source, {at: self._verdict(element) for at, element in self.named.items()})
+
+    def _verdict(self, element: Element) -> str:
+        outer = element.outer
+        if 2 * element.size > self.size or outer and 2 * element.size > outer.size:
+            return "plain"
+        return "muted" if element.content and not (outer and outer.name == "article") else "dropped"
+
+    def _start(self, source: str, verdicts: dict[int, str] | None) -> None:
+        self.verdicts = verdicts
+        self.named: dict[int, Element] = {}  # by place in the source
+        self.size = 0
         self.blocks: list[list] = []  # [text, inside article, inside main]
         self.subtrees: list[tuple[int, int, int]] = []  # hash, first block, block after the last
         self.text: list[str] = []
@@ -106,6 +149,7 @@ class Page:
         if text and not (self.stack and self.stack[-1].dropped):
             top = self.stack[-1] if self.stack else None
             self.blocks.append([text, bool(top and top.article), bool(top and top.main)])
+            self.size += len(text)
             if top:
                 top.size += len(text)
                 top.parts.append(text)
@@ -116,7 +160,7 @@ class Page:
 
     def _pop(self) -> None:
         element = self.stack[-1]
-        if element.name in BLOCK or element.dropped:
+        if element.name in BLOCK or element.dropped or element.named:
             self._flush()
         self.stack.pop()
         self.open[element.name] -= 1
@@ -183,10 +227,18 @@ class Page:
             if name in VOID or attributes.endswith("/") and name not in BLOCK:
                 continue
             parent = self.stack[-1] if self.stack else None
-            dropped = is_boilerplate(name, attributes, bool(parent and (parent.article or parent.main)))
-            if dropped and not (parent and parent.dropped):
+            inside = bool(parent and parent.inside)
+            dropped = is_boilerplate(name, attributes, inside)
+            if self.verdicts is None:
+                named, verdict = not dropped and not (parent and parent.dropped) and is_named(name, attributes, inside), None
+            else:
+                named, verdict = False, self.verdicts.get(found.start())
+            dropped = dropped or verdict == "dropped"
+            if (dropped or named) and not (parent and parent.dropped):
                 self._flush()
-            self.stack.append(Element(name, parent, dropped, len(self.blocks)))
+            self.stack.append(Element(name, parent, dropped, len(self.blocks), named, verdict == "muted"))
+            if named:
+                self.named[found.start()] = self.stack[-1]
             self.open[name] += 1
         while self.stack:
             self._pop()

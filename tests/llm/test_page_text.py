@@ -26,6 +26,23 @@ def test_main_text(html, text):
     assert page_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ('<div class="layout has-sidebar"><article><p>story</p></article></div>', "story"), ('<div class="sidebar-layout"><article><p>story</p></article></div>', "story"),
+        ('<div class="no-ads"><p>story</p></div><div class="no-ads"><p>story</p></div>', "story\nstory"),
+        ('<article><p>a long enough text</p><section id="related-work"><p>b</p></section><h2 id="social-history">c</h2></article>', "a long enough text\nb\nc"),
+        ('<article><p>a long enough text</p><div id="share-prices">b</div><div class="commentary">c</div><div id="share">d</div></article>', "a long enough text\nb\nc"),
+        ('<article><div class="widget"><p>the whole article</p></div></article><p>links and links and links and links</p>', "the whole article"),
+        ('<article><p>a long enough text</p></article><div class="related"><article>card</article></div>', "a long enough text"),
+        ('<p>a long enough text</p><div class="related"><article>card</article></div>', "a long enough text\ncard"),
+        ('<article><p>a long text <span class="ad">buy</span> goes on</p></article>', "a long text\ngoes on"),
+    ],
+)
+def test_names_delete_small_parts_only(html, text):
+    assert page_text.main_text(html) == text
+
+
 def site(n):
     box = "<div class=box><p>Follow us on our channels</p><p>Call 555</p></div>"
     rows = []
