@@ -68,12 +68,12 @@ def band_keys(signature: np.ndarray, bands: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, id_column: str, text: str, width: int, bands: int, rows: int) -> DataFrame:
-    """``(id, n_shingles, set_key, bands, sketch)`` per row; a text without words has no key, bands and sketch.
+    """``(id, text_hash, n_shingles, set_key, bands, sketch)`` per row; a text without words has no key, bands and sketch.
     The sketch holds the low byte of every coordinate."""
     kind = docs.schema[id_column].dataType
     schema = T.StructType(
         [
-            T.StructField("id", kind), T.StructField("n_shingles", T.LongType()),
+            T.StructField("id", kind), T.StructField("text_hash", T.LongType()), T.StructField("n_shingles", T.LongType()),
             T.StructField("set_key", T.BinaryType()), T.StructField("bands", T.ArrayType(T.LongType())), T.StructField("sketch", T.BinaryType()),
         ]
     )
@@ -96,10 +96,11 @@ def signatures(docs: DataFrame, id_column: str, text: str, width: int, bands: in
                     ends.append(ends[-1] + bands * bool(len(items)))
                 flat = np.concatenate(found) if found else np.empty(0, np.int64)
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat, pa.int64()))
-                columns = [part.column(0), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), lists, pa.array(sketches, pa.binary())]
+                columns = [part.column(0), part.column(2), pa.array(counts, pa.int64()), pa.array(keys, pa.binary()), lists, pa.array(sketches, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, schema.names)
 
-    return docs.select(F.col(id_column), F.col(text).cast("string")).mapInArrow(run, schema)
+    body = F.col(text).cast("string")
+    return docs.select(F.col(id_column), body, F.xxhash64(body)).mapInArrow(run, schema)
 
 
 def shingle_sets(texts: DataFrame, width: int) -> DataFrame:
@@ -236,7 +237,8 @@ def near_duplicates(
     signed = scratch.cut(signatures(docs, id_column, text, width, bands, rows), "signed")
     classes = (
         signed.filter("n_shingles > 0").groupBy("set_key")
-        .agg(F.min("id").alias("first_id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        .agg(F.min(F.struct(F.col("id").isNull(), "id", "text_hash")).alias("first"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch"))
+        .select("set_key", F.col("first.id").alias("first_id"), F.col("first.text_hash").alias("text_hash"), "n", "bands", "sketch")
         .withColumn("cid", F.monotonically_increasing_id())
     )
     classes = scratch.cut(classes, "classes")  # from here on the numbers stand
@@ -248,9 +250,11 @@ def near_duplicates(
     meets = members.groupBy("cid").agg(F.sum("size").alias("meets"))
     central = members.join(meets, "cid").groupBy("bucket").agg(F.max(F.struct("meets", "cid"))["cid"].alias("block"))
 
-    needed = scratch.cut(members.select("cid").distinct().join(classes, "cid").select("cid", "set_key", "first_id"), "needed")
-    found = docs.select(F.col(id_column).alias("first_id"), F.col(text).cast("string").alias("text"))
-    both = found.join(needed, found["first_id"].eqNullSafe(needed["first_id"])).select("cid", "set_key", "text")
+    needed = scratch.cut(members.select("cid").distinct().join(classes, "cid").select("cid", "set_key", "first_id", "text_hash"), "needed")
+    body = F.col(text).cast("string")
+    found = docs.select(F.col(id_column).alias("first_id"), F.xxhash64(body).alias("text_hash"), body.alias("text"))
+    same = found["first_id"].eqNullSafe(needed["first_id"]) & (found["text_hash"] == needed["text_hash"])  # an id may stand for many texts
+    both = found.join(needed, same).select("cid", "set_key", "text")
     sets = scratch.cut(shingle_sets(both, width).dropDuplicates(["cid"]), "sets")
 
     # Every bucket with its central class.

@@ -72,6 +72,15 @@ def test_rows_of_one_id_collapse_by_text_only(spark):
     assert [x for x in langs if x not in ("n1", "n3")] == sorted(["n2", "n4", "n5", "kept", "same"] + ["own"] * 20)
 
 
+def test_texts_of_a_repeated_id_meet_only_their_class(spark, monkeypatch):
+    seen, plain = [], neardup.shingle_sets
+    monkeypatch.setattr(neardup, "shingle_sets", lambda texts, width: seen.append(texts.count()) or plain(texts, width))
+    rows = [(kind, f"w{i} a{i} b{i} c{i} d{i} e{i} f{i} g{i} h{i} i{i} j{i}{end}", "", "", 0) for i in range(20) for end in ("", " k") for kind in (7, None)]
+    found = neardup.near_duplicates(spark.createDataFrame(rows, DOCS), width=2).collect()
+    assert len(found) == 80 and {r.component_id for r in found} == {7}
+    assert seen[0] <= len(rows)
+
+
 def test_empty_table(spark):
     assert neardup.near_duplicates(nothing(spark, DOCS)).collect() == []
     assert neardup.keep_first(nothing(spark, DOCS)).collect() == []
