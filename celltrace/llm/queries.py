@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from celltrace.llm import contain, hash_forest, mixing, neardup, page_text, quality, secret_scan, token_counts, tokenfiles, warc
+from celltrace.llm import centroids, contain, divergence, hash_forest, mixing, neardup, page_text, quality, secret_scan, simhash, token_counts, tokenfiles, warc
 from celltrace.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -133,3 +133,73 @@ def forest_search(spark: SparkSession, folder: str) -> DataFrame:
 def site_templates(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
     return page_text.extract(table(spark, folder, "pages"))
+
+
+@query(
+    "op11_divergence_cube",
+    r"""
+    WITH d AS (
+        SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t
+        FROM documents),
+    w AS MATERIALIZED (
+        SELECT id, lang, source, term, count(*) AS n
+        FROM (SELECT id, lang, source, unnest(regexp_extract_all(t, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d) GROUP BY ALL),
+    kept AS MATERIALIZED (SELECT lang, term, sum(n)::HUGEINT AS whole FROM w GROUP BY lang, term HAVING count(*) >= 30),
+    langs AS (SELECT lang, count(*) AS v, sum(whole) + 5 * count(*) AS total FROM kept GROUP BY lang),
+    groups AS MATERIALIZED (SELECT DISTINCT lang, source FROM d),
+    c AS MATERIALIZED (SELECT lang, source, term, sum(n)::HUGEINT AS n FROM w JOIN kept USING (lang, term) GROUP BY ALL),
+    totals AS (SELECT g.lang, g.source, coalesce(sum(n), 0) + 5 * any_value(v) AS total FROM groups g JOIN langs USING (lang) LEFT JOIN c USING (lang, source) GROUP BY ALL),
+    p AS MATERIALIZED (
+        SELECT k.lang, t.source, k.term, coalesce(n, 0) AS n, (1 + (1000000000 * (coalesce(n, 0) + 5)) // t.total)::BIGINT AS p,
+            (1 + (1000000000 * (whole + 5)) // l.total)::BIGINT AS q
+        FROM kept k JOIN langs l USING (lang) JOIN totals t USING (lang) LEFT JOIN c ON c.lang = k.lang AND c.source = t.source AND c.term = k.term),
+    sums AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+    pairs AS (SELECT a.lang, a.source, b.source AS item, coalesce(s.value, 0) AS value
+        FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source LEFT JOIN sums s ON s.lang = a.lang AND s.source = a.source AND s.item = b.source),
+    terms AS (SELECT lang, source, term AS item, p - q AS value FROM p WHERE n > 0 AND p > q)
+    SELECT lang, source, 'pair' AS part, item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item))::INT AS rank FROM pairs
+    UNION ALL
+    SELECT lang, source, 'term', item, value, row_number() OVER (PARTITION BY lang, source ORDER BY value DESC, encode(item))::INT AS r FROM terms QUALIFY r <= 50
+    """,
+)
+def divergence_cube(spark: SparkSession, folder: str) -> DataFrame:
+    """How far the sources of each language differ, and by which terms."""
+    return divergence.divergences(table(spark, folder, "documents"))
+
+
+@query("op12_deletion_simhash")
+def deletion_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near duplicates among all documents by SimHash fingerprints."""
+    return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+def _clusters_sql(k: int = 8, rounds: int = 10) -> str:
+    """The rounds one after the other, every vector against all centroids."""
+    steps = [
+        """v AS MATERIALIZED (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS q, sha256('3:' || vec_id) AS hash FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0)""",
+        "x AS MATERIALIZED (SELECT vec_id, unnest(q) AS x, generate_subscripts(q, 1) AS j FROM v)",
+        f"c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY hash) - 1 AS c, q FROM v QUALIFY c < {k})",
+    ]
+    for r in range(rounds + 1):
+        nearest = "list_sum(list_transform(list_zip(v.q, m.q), lambda p: (p[1] - p[2]) * (p[1] - p[2])))::BIGINT"
+        steps.append(f"a{r} AS MATERIALIZED (SELECT vec_id, min({{'d': d, 'c': c}}) AS b FROM (SELECT vec_id, c, {nearest} AS d FROM v, c{r} m) GROUP BY vec_id)")
+        if r < rounds:
+            steps.append(
+                f"""c{r + 1} AS MATERIALIZED (
+                SELECT c, list(floor_mean ORDER BY j) AS q FROM (
+                    SELECT b.c AS c, j, ((sum(x) - ((sum(x) % count(*)) + count(*)) % count(*)) // count(*))::BIGINT AS floor_mean FROM a{r} JOIN x USING (vec_id) GROUP BY ALL)
+                GROUP BY c UNION ALL SELECT c, q FROM c{r} WHERE c NOT IN (SELECT b.c FROM a{r}))"""
+            )
+    return f"""WITH {", ".join(steps)}
+        SELECT vec_id, b.c::INT AS cluster, b.d::BIGINT AS distance, (sum(b.d) OVER (PARTITION BY b.c))::BIGINT AS cluster_inertia,
+            (sum(b.d) OVER ())::BIGINT AS inertia, sha256(array_to_string(q, ',')) AS centroid_sha256
+        FROM a{rounds} JOIN c{rounds} m ON m.c = b.c"""
+
+
+@query("op13_vantage_centroids", _clusters_sql())
+def vantage_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight clusters of all vectors after ten rounds."""
+    return centroids.cluster_vectors(table(spark, folder, "embeddings"))
