@@ -356,6 +356,152 @@ def pca_project(vectors: DataFrame, model: DataFrame, group: list[str] | None =
     return vectors.mapInPandas(run, vectors.schema)
 
 
+# ---- components of many groups from sparse rows ----------------------------------------------
+
+
+def beside(rows: DataFrame, models: DataFrame, keys: list[str], parts: DataFrame, fn, schema: str) -> DataFrame:
+    """``fn(rows, models)`` (Arrow tables) for the rows of every group, cogrouped with the group's models.
+
+    ``parts(keys..., _parts)`` says into how many parts, by the hash of the cell, the rows of a group are dealt; each gets the models of
+    its group only. So nothing goes through the driver, a task holds one group's models, and a large group is spread.
+    """
+    split = [*keys, "_part"]
+    dealt = rows.join(parts, keys).withColumn("_part", F.pmod(F.xxhash64(*CELL), F.col("_parts")))
+    copies = models.join(parts, keys).withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("_parts") - 1)))
+    left = dealt.drop("_parts").repartition(shuffle_width(rows.sparkSession), *split).groupBy(*split)
+    right = copies.drop("_parts").groupBy(*split)
+    return left.cogroup(right).applyInArrow(fn, schema)
+
+
+def parts_of(rows: DataFrame, keys: list[str], widths: DataFrame, numbers: int = ROWS_LIMIT) -> DataFrame:
+    """``(keys..., _parts)``: parts of a group that hold about ``numbers`` numbers each; ``widths(keys..., _d)`` are those of a row."""
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).join(widths, keys)
+    return sizes.select(*keys, F.greatest(F.ceil(F.col("_n") * F.col("_d") / numbers), F.lit(1)).alias("_parts"))
+
+
+def _filled(rows: pa.Table, base: np.ndarray) -> np.ndarray:
+    """Dense rows: ``base`` plus the stored entries ``idx`` and ``val``."""
+    rows = rows.combine_chunks()
+    dense = np.repeat(base[None, :], rows.num_rows, axis=0)
+    idx, val = (rows.column(c).combine_chunks() for c in ("idx", "val"))
+    if isinstance(idx, pa.ChunkedArray):  # no rows
+        return dense
+    counts = pc.fill_null(pc.list_value_length(idx), 0).to_numpy(zero_copy_only=False)
+    place = np.repeat(np.arange(rows.num_rows), counts)
+    dense[place, idx.flatten().to_numpy(zero_copy_only=False).astype(int)] += val.flatten().to_numpy(zero_copy_only=False)
+    return dense
+
+
+def _key_values(table: pa.Table, keys: list[str]) -> dict:
+    return {k: table.column(k)[0].as_py() for k in keys}
+
+
+def _model_table(group: dict, kinds: pa.Schema, values: np.ndarray, basis: np.ndarray, start: np.ndarray, spread: float) -> pa.Table:
+    """Component 0 with ``start`` as its loading, then the components."""
+    found = _component_rows([], pd.DataFrame(), _without_noise(values), basis, start, spread)
+    n = len(found) + 1
+    columns = {c: [v] * n for c, v in group.items()}
+    columns |= {"component": range(n), "variance": [0.0, *found["variance"]], "ratio": [0.0, *found["ratio"]], "loading": [start, *found["loading"]]}
+    return pa.table({name: pa.array(list(values), kinds.field(name).type) for name, values in columns.items()})
+
+
+def _model_schema(base: pa.Table, keys: list[str]) -> pa.Schema:
+    kinds = [(c, base.schema.field(c).type) for c in keys]
+    return pa.schema([*kinds, ("component", pa.int32()), ("variance", pa.float64()), ("ratio", pa.float64()), ("loading", pa.list_(pa.float64()))])
+
+
+def sparse_components(rows: DataFrame, bases: DataFrame, k: int, keys: list[str]) -> DataFrame:
+    """Principal components per group of the sparse ``rows(keys..., sample, cell, idx, val)`` on top of the group's ``bases(keys..., base)``.
+
+    ``(keys..., component, variance, ratio, loading)``; component 0 is the base less the mean: what an empty row is in front of the
+    loadings. A group that fits one task is decomposed there; of a larger one every part adds up a Gram matrix, and these are summed by row.
+    """
+    widths = bases.select(*keys, F.size("base").alias("_d"))
+    parts = cut(parts_of(rows, keys, widths))
+    types = {f.name: f.dataType.simpleString() for f in bases.schema.fields}
+    head = "".join(f"{c} {types[c]}, " for c in keys)
+    schema = head + "component int, variance double, ratio double, loading array<double>"
+
+    def whole(cells: pa.Table, base: pa.Table) -> pa.Table:
+        kinds = _model_schema(base, keys)
+        if not cells.num_rows or not base.num_rows:
+            return kinds.empty_table()
+        start = np.array(base.column("base")[0].as_py(), float)
+        x = _filled(cells, start)
+        mean = x.mean(axis=0)
+        x -= mean
+        count, dof = _component_count(k, *x.shape), max(len(x) - 1, 1)
+        wide = x.shape[0] < x.shape[1]
+        values, basis = np.linalg.eigh((x @ x.T if wide else x.T @ x) / dof)
+        values, basis = values[::-1][:count], basis[:, ::-1][:, :count]
+        if wide and values[-1] > 1e-8 * values[0]:
+            basis = x.T @ (basis / np.sqrt(values * dof))
+        elif wide:  # too close to zero for squares
+            _, singular, right = np.linalg.svd(x, full_matrices=False)
+            values, basis = singular[:count] ** 2 / dof, right[:count].T
+        return _model_table(_key_values(cells, keys), kinds, values, basis, start - mean, float((x * x).sum()) / dof)
+
+    width = shuffle_width(rows.sparkSession)
+    one = rows.join(parts.filter("_parts = 1").select(*keys), keys, "left_semi").repartition(width, *keys)
+    small = one.groupBy(*keys).cogroup(bases.groupBy(*keys)).applyInArrow(whole, schema)
+    many = parts.filter("_parts > 1")
+    widest = many.join(widths, keys).agg(F.max("_d")).first()[0]
+    if widest is None:
+        return small
+    if widest > GRAM_LIMIT:
+        raise ValueError(f"principal components are limited to {GRAM_LIMIT} columns")
+
+    def grams(cells: pa.Table, base: pa.Table) -> pa.Table:
+        if not cells.num_rows or not base.num_rows:
+            return pa.schema([*((c, base.schema.field(c).type) for c in keys), ("i", pa.int32()), ("n", pa.int64()), ("row", pa.list_(pa.float64()))]).empty_table()
+        x = _filled(cells, np.array(base.column("base")[0].as_py(), float))
+        lines = [x.sum(axis=0), *(x.T @ x)]
+        columns = {c: pa.array([v] * len(lines), base.schema.field(c).type) for c, v in _key_values(base, keys).items()}
+        return pa.table({**columns, "i": pa.array(range(-1, len(lines) - 1), pa.int32()), "n": pa.array([len(x)] * len(lines), pa.int64()), "row": pa.array(lines, pa.list_(pa.float64()))})
+
+    def eigen(lines: pa.Table, base: pa.Table) -> pa.Table:
+        kinds = _model_schema(base, keys)
+        if not lines.num_rows:
+            return kinds.empty_table()
+        start, order = np.array(base.column("base")[0].as_py(), float), np.argsort(lines.column("i").to_numpy())
+        sums = np.asarray(lines.column("row").combine_chunks().flatten()).reshape(lines.num_rows, -1)[order]
+        n, mean = lines.column("n")[0].as_py(), sums[0] / lines.column("n")[0].as_py()
+        cov = (sums[1:] - n * np.outer(mean, mean)) / max(n - 1, 1)
+        values, basis = np.linalg.eigh(cov)
+        count = _component_count(k, n, len(mean))
+        return _model_table(_key_values(lines, keys), kinds, values[::-1][:count], basis[:, ::-1][:, :count], start - mean, float(np.trace(cov)))
+
+    by = [*keys, "i"]
+    sums = head + "i int, n long, row array<double>"
+    partial = beside(rows, bases, keys, many, grams, sums)
+    summed = partial.repartition(width, *by).sortWithinPartitions(*by).mapInPandas(_sum_rows(by), sums)
+    return small.unionByName(summed.groupBy(*keys).cogroup(bases.groupBy(*keys)).applyInArrow(eigen, schema))
+
+
+def sparse_scores(rows: DataFrame, model: DataFrame, keys: list[str]) -> DataFrame:
+    """``rows`` with component scores ``v`` in place of ``idx`` and ``val``; ``model`` as ``sparse_components`` gives it."""
+    widths = model.filter("component = 0").select(*keys, F.size("loading").alias("_d"))
+    parts = parts_of(rows, keys, widths)
+    kept = [c for c in rows.columns if c not in ("idx", "val")]
+    types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
+    schema = ", ".join(f"{c} {types[c]}" for c in kept) + ", v array<double>"
+
+    def run(cells: pa.Table, fitted: pa.Table) -> pa.Table:
+        lists = fitted.column("loading").combine_chunks()
+        order = np.argsort(fitted.column("component").to_numpy())
+        lines = [np.array(lists[int(i)].as_py(), float) for i in order]
+        n = cells.num_rows if lines else 0
+        basis = np.array(lines[1:]).T
+        step = max(1, _CHUNK // max(len(lines[0]) if lines else 1, 1))
+        scores = [_filled(cells.slice(s, step), lines[0]) @ basis for s in range(0, n, step)]
+        flat = np.concatenate(scores) if scores else np.empty((0, 1))
+        ends = pa.array(np.arange(len(flat) + 1, dtype="int32") * flat.shape[1])
+        v = pa.ListArray.from_arrays(ends, pa.array(flat.ravel()))
+        return pa.table([*(cells.slice(0, n).column(c) for c in kept), v], names=[*kept, "v"])
+
+    return beside(rows, model, keys, parts, run, schema)
+
+
 def pca(vectors: DataFrame, k: int = 50, group: list[str] | None = None, v: str = "v") -> tuple[DataFrame, DataFrame]:
     """Scores and model. The model is a few rows and is written once, being used twice."""
     model = cut(pca_fit(vectors, k, group, v))

@@ -12,13 +12,13 @@ from celltrace.session import cut
 
 COUNTS = """
 genes_of AS (SELECT p_partkey, p_brand, p_type, CASE WHEN p_name LIKE 'red %' THEN 'mt-' ELSE 'g' END || p_partkey AS gene FROM part),
-counts AS (
+counts AS MATERIALIZED (
   SELECT CAST(c_nationkey AS VARCHAR) AS sample, CAST(o_custkey AS VARCHAR) AS cell, gene, sum(l_quantity) AS x
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey JOIN genes_of ON l_partkey = p_partkey
   GROUP BY 1, 2, 3)"""
 F1 = f"f1 AS (SELECT * FROM counts WHERE cell IN (SELECT cell FROM counts GROUP BY cell HAVING count(*) >= {QC_LIMITS['min_genes']}))"
 F2 = f"f2 AS (SELECT * FROM f1 WHERE cell IN (SELECT cell FROM f1 GROUP BY cell HAVING sum(x) >= {QC_LIMITS['min_counts']}))"
-F3 = f"f3 AS (SELECT * FROM f2 WHERE gene IN (SELECT gene FROM f2 GROUP BY gene HAVING count(*) >= {QC_LIMITS['min_cells']}))"
+F3 = f"f3 AS MATERIALIZED (SELECT * FROM f2 WHERE gene IN (SELECT gene FROM f2 GROUP BY gene HAVING count(*) >= {QC_LIMITS['min_cells']}))"
 METRICS = """
 metrics AS (
   SELECT sample, cell, count(*) AS n_genes_by_counts, sum(x) AS total_counts,
@@ -27,8 +27,8 @@ metrics AS (
   FROM f3 GROUP BY sample, cell)"""
 GOOD = f"""
 good AS (SELECT * FROM metrics WHERE n_genes_by_counts < {QC_LIMITS['max_genes']} AND pct_counts_mt < {QC_LIMITS['max_pct_mt']}),
-f4 AS (SELECT f3.* FROM f3 JOIN good USING (sample, cell))"""
-LOGNORM = "lognorm AS (SELECT sample, cell, gene, ln(1 + x * 10000.0 / sum(x) OVER (PARTITION BY sample, cell)) AS x FROM f4)"
+f4 AS MATERIALIZED (SELECT f3.* FROM f3 JOIN good USING (sample, cell))"""
+LOGNORM = "lognorm AS MATERIALIZED (SELECT sample, cell, gene, ln(1 + x * 10000.0 / sum(x) OVER (PARTITION BY sample, cell)) AS x FROM f4)"
 UP_TO_F3 = ",".join([COUNTS, F1, F2, F3])
 UP_TO_METRICS = UP_TO_F3 + "," + METRICS
 UP_TO_GOOD = UP_TO_METRICS + "," + GOOD

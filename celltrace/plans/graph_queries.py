@@ -199,6 +199,47 @@ def _(t: Tables):
     return found.withColumn("doublet_score", rounded("doublet_score"))
 
 
+@query(
+    "doublet_scores_full_rank",
+    f"""WITH {UP_TO_GOOD},
+        idx AS (SELECT sample, cell, row_number() OVER (ORDER BY cell, sample) - 1 AS i, count(*) OVER () AS n FROM good),
+        parents AS (SELECT syn, unnest([(7 * syn + 3) % n, (5 * syn + 1) % n]) AS i FROM (SELECT n, unnest([2 * i, 2 * i + 1]) AS syn FROM idx)),
+        syn AS (SELECT p.syn, f.gene, sum(f.x) AS x FROM parents p JOIN idx USING (i) JOIN f4 f ON f.sample = idx.sample AND f.cell = idx.cell GROUP BY 1, 2),
+        raw AS (SELECT false AS is_syn, sample, cell, gene, x FROM f4 UNION ALL SELECT true, '', 'syn' || syn, gene, x FROM syn),
+        norm AS MATERIALIZED (SELECT is_syn, sample, cell, gene, ln(1 + x * 10000.0 / sum(x) OVER (PARTITION BY is_syn, sample, cell)) AS x FROM raw),
+        nn AS (SELECT count(*)::DOUBLE AS n FROM good),
+        gs AS (SELECT gene, sum(exp(x) - 1) / any_value(n) AS m, sum((exp(x) - 1) * (exp(x) - 1)) AS s2, any_value(n) AS n FROM norm, nn WHERE NOT is_syn GROUP BY gene),
+        ge AS (SELECT gene, ln(1 + m) AS mean, CASE WHEN (s2 - n * m * m) / (n - 1) / m > 0 THEN ln((s2 - n * m * m) / (n - 1) / m) END AS dispersion FROM gs),
+        gb AS (SELECT *, greatest(1, ceil(20 * (mean - min(mean) OVER ()) / (max(mean) OVER () - min(mean) OVER ())))::BIGINT AS bin FROM ge),
+        gn AS (SELECT *, avg(dispersion) OVER (PARTITION BY bin) AS a, stddev_samp(dispersion) OVER (PARTITION BY bin) AS s FROM gb),
+        hv AS (SELECT gene FROM gn WHERE mean > 0.0125 AND mean < {HVG_MAX_MEAN}
+               AND coalesce((dispersion - CASE WHEN s IS NULL THEN 0 ELSE a END) / CASE WHEN s IS NULL THEN a ELSE s END, 0) > 1.0),
+        ms AS (SELECT gene, sum(x) / any_value(n) AS mean, (sum(x * x) - sum(x) * sum(x) / any_value(n)) / (any_value(n) - 1) AS var
+               FROM norm JOIN hv USING (gene), nn WHERE NOT is_syn GROUP BY gene),
+        pt AS (SELECT false AS is_syn, sample, cell FROM good UNION ALL SELECT DISTINCT true, '', 'syn' || syn FROM syn),
+        -- the means cancel in a distance, so only stored values are compared
+        e AS MATERIALIZED (SELECT is_syn, sample, cell, gene, x / CASE WHEN var > 1e-12 THEN sqrt(var) ELSE 1 END AS x FROM norm JOIN ms USING (gene)),
+        v AS MATERIALIZED (SELECT is_syn, sample, cell, coalesce(sum(x * x), 0) AS q FROM pt LEFT JOIN e USING (is_syn, sample, cell) GROUP BY 1, 2, 3),
+        dot AS MATERIALIZED (SELECT a.sample AS s1, a.cell AS c1, b.is_syn, b.sample, b.cell, sum(a.x * b.x) AS ab FROM e a JOIN e b USING (gene) WHERE NOT a.is_syn GROUP BY ALL),
+        z AS (SELECT count(*) FILTER (WHERE is_syn)::DOUBLE / count(*) FILTER (WHERE NOT is_syn) AS r,
+                     greatest(round(round(sqrt(count(*) FILTER (WHERE NOT is_syn)) * 0.5) * (1 + count(*) FILTER (WHERE is_syn)::DOUBLE / count(*) FILTER (WHERE NOT is_syn))), 1)::INT AS k FROM v),
+        near AS (SELECT a.sample, a.cell, b.is_syn, row_number() OVER (PARTITION BY a.sample, a.cell ORDER BY a.q + b.q - 2 * coalesce(ab, 0), b.is_syn, b.sample, b.cell) AS rank
+                 FROM v a JOIN v b ON b.is_syn OR a.sample <> b.sample OR a.cell <> b.cell
+                 LEFT JOIN dot ON s1 = a.sample AND c1 = a.cell AND dot.is_syn = b.is_syn AND dot.sample = b.sample AND dot.cell = b.cell WHERE NOT a.is_syn),
+        q AS (SELECT sample, cell, (count(*) FILTER (WHERE is_syn) + 1.0::DOUBLE) / (any_value(k) + 2.0::DOUBLE) AS q, any_value(r) AS r FROM near, z WHERE rank <= k GROUP BY 1, 2)
+        SELECT sample, cell, round((q * 0.05::DOUBLE / r) / (0.95::DOUBLE - q * (0.95::DOUBLE - 0.05::DOUBLE / r)), 6) + 0.0 AS doublet_score FROM q""",
+)
+def _(t: Tables):
+    """Doublet detection from counts to scores on all cells as one batch. With fewer variable genes than cells and all components, scores
+    are a rotation of the scaled genes, so SQL can compare the genes themselves."""
+    t.keep("filtered", "good_cells", "good_counts")
+    parent = lambda number, n, which: (number * 7 + 3) % n if which == 1 else (number * 5 + 1) % n
+    found = doublets.doublet_scores(
+        t.good_counts, t.good_cells.select(*CELL), n_components=4096, parent=parent, order=["cell", "sample"], max_mean=HVG_MAX_MEAN, min_disp=1.0
+    )
+    return found.select(*CELL, rounded("doublet_score").alias("doublet_score"))
+
+
 @query("doublet_scores")
 def _(t: Tables):
     return scored(t)

@@ -13,18 +13,18 @@ from celltrace.schema import CELL
 from celltrace.session import cut
 
 ORA = """
-dense AS (SELECT c.sample, c.cell, g.gene, coalesce(l.x, 0) AS x FROM good c CROSS JOIN (SELECT DISTINCT gene FROM f3) g
+dense AS MATERIALIZED (SELECT c.sample, c.cell, g.gene, coalesce(l.x, 0) AS x FROM good c CROSS JOIN (SELECT DISTINCT gene FROM f3) g
           LEFT JOIN lognorm l ON l.sample = c.sample AND l.cell = c.cell AND l.gene = g.gene),
 nup AS (SELECT CAST(ceil(count(DISTINCT gene) * 0.05) AS BIGINT) AS n FROM f3),
-drawn AS (SELECT sample, cell, gene FROM (SELECT *, row_number() OVER (PARTITION BY sample, cell ORDER BY x DESC, gene) AS rn FROM dense), nup WHERE rn <= n),
+drawn AS MATERIALIZED (SELECT sample, cell, gene FROM (SELECT *, row_number() OVER (PARTITION BY sample, cell ORDER BY x DESC, gene) AS rn FROM dense), nup WHERE rn <= n),
 net AS (SELECT p_brand AS cell_type, gene FROM genes_of WHERE gene IN (SELECT gene FROM f3)),
 sz AS (SELECT cell_type, count(*) AS k FROM net GROUP BY 1 HAVING count(*) >= 3),
 ov AS (SELECT sample, cell, cell_type, count(*) AS a FROM drawn JOIN net USING (gene) GROUP BY 1, 2, 3),
-grid AS (SELECT c.sample, c.cell, sz.cell_type, k, coalesce(a, 0) AS a FROM good c CROSS JOIN sz
+grid AS MATERIALIZED (SELECT c.sample, c.cell, sz.cell_type, k, coalesce(a, 0) AS a FROM good c CROSS JOIN sz
          LEFT JOIN ov ON ov.sample = c.sample AND ov.cell = c.cell AND ov.cell_type = sz.cell_type),
 pairs AS (SELECT DISTINCT k, a, n FROM grid, nup),
 terms AS (SELECT k, a, n, unnest(range(a, least(k, n) + 1)) AS i FROM pairs),
-tail AS (SELECT k, a, sum(exp(lgamma(k + 1) - lgamma(i + 1) - lgamma(k - i + 1) + lgamma(20001 - k) - lgamma(n - i + 1) - lgamma(20001 - k - n + i)
+tail AS MATERIALIZED (SELECT k, a, sum(exp(lgamma(k + 1) - lgamma(i + 1) - lgamma(k - i + 1) + lgamma(20001 - k) - lgamma(n - i + 1) - lgamma(20001 - k - n + i)
                 - lgamma(20001) + lgamma(n + 1) + lgamma(20001 - n))) AS p FROM terms GROUP BY k, a),
 ora AS (SELECT sample, cell, cell_type, a AS overlap, k AS set_size, CASE WHEN a = 0 THEN 0 ELSE greatest(0, -log10(p)) END AS score FROM grid JOIN tail USING (k, a))"""
 UP_TO_ORA = UP_TO_LOGNORM + "," + ORA

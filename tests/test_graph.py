@@ -2,7 +2,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from celltrace.operators import doublets, graph, normalize
+from celltrace.operators import doublets, graph, matrix, normalize
 from tests.conftest import rows
 from tests.test_counts import all_cells, to_long
 
@@ -230,6 +230,83 @@ def test_batches_and_calls(spark, cells_matrix):
     assert doublets.doublet_calls(scored, ["sample"]).count() == 40
 
 
+def test_large_batches_in_parts_score_alike(spark, cells_matrix, monkeypatch):
+    x = cells_matrix
+    three = to_long(spark, x).withColumn("sample", F.when(F.col("cell") < "c020", "s").when(F.col("cell") < "c036", "t").otherwise("u"))
+    cells = three.select("sample", "cell").distinct()
+
+    def scores():
+        found = doublets.doublet_scores(three, cells, group=["sample"], max_mean=9.0, min_disp=-0.5, n_components=4, simulated=True)
+        return {(r.sample, r.cell): round(r.doublet_score, 9) for r in found.collect()}
+
+    whole = scores()
+    assert len(whole) == 120
+    monkeypatch.setattr(matrix, "ROWS_LIMIT", 150)
+    monkeypatch.setattr(matrix.parts_of, "__defaults__", (150,))
+    assert scores() == whole
+
+
+def test_sparse_components_equal_numpy(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    base = {"a": rng.standard_normal(12), "b": rng.standard_normal(30)}
+    dense = {"a": base["a"] + np.where(rng.random((50, 12)) < 0.3, rng.standard_normal((50, 12)), 0), "b": base["b"] + np.where(rng.random((14, 30)) < 0.3, rng.standard_normal((14, 30)), 0)}
+    sparse = []
+    for g, x in dense.items():
+        for i, row in enumerate(x - base[g]):
+            at = np.flatnonzero(row)
+            sparse.append((g, "s", f"{g}{i}", at.tolist() or None, row[at].tolist() or None))
+    cells = spark.createDataFrame(sparse, "g string, sample string, cell string, idx array<int>, val array<double>")
+    bases = spark.createDataFrame([(g, v.tolist()) for g, v in base.items()], "g string, base array<double>")
+    for numbers in (1 << 20, 100):
+        monkeypatch.setattr(matrix.parts_of, "__defaults__", (numbers,))
+        model = matrix.sparse_components(cells, bases, 5, ["g"]).cache()
+        scores = {r.cell: np.array(r.v) for r in matrix.sparse_scores(cells, model, ["g"]).collect()}
+        for g, x in dense.items():
+            centred = x - x.mean(axis=0)
+            _, singular, right = np.linalg.svd(centred, full_matrices=False)
+            mine = model.filter((F.col("g") == g) & (F.col("component") > 0)).orderBy("component").collect()
+            assert np.allclose([r.variance for r in mine], singular[:5] ** 2 / (len(x) - 1))
+            assert np.allclose([r.ratio for r in mine], (singular**2 / (singular**2).sum())[:5])
+            assert np.allclose([abs(np.dot(r.loading, right[i])) for i, r in enumerate(mine)], 1)
+            found = np.array([scores[f"{g}{i}"] for i in range(len(x))])
+            assert np.allclose(found, centred @ np.array([r.loading for r in mine]).T)
+
+
+def test_every_batch_has_its_own_number_of_neighbours(spark):
+    rng = np.random.default_rng(4)
+    points = [(g, i, rng.standard_normal(3).tolist()) for g, n in (("a", 60), ("b", 25), ("c", 9)) for i in range(n)]
+    frame = spark.createDataFrame(points, "g string, id long, v array<double>")
+    tops = spark.createDataFrame([("a", 7), ("b", 2)], "g string, k int")
+    found = graph.knn_graph(frame, tops, ["g"], block_rows=8).collect()
+    for g, k in (("a", 7), ("b", 2)):
+        mine = {i: np.array(v) for h, i, v in points if h == g}
+        for i, v in mine.items():
+            order = sorted((float(np.sqrt(((v - w) ** 2).sum())), j) for j, w in mine.items() if j != i)[:k]
+            assert [(r.dst, r.rank) for r in sorted((r for r in found if r.g == g and r.src == i), key=lambda r: r.rank)] == [(j, n + 1) for n, (_, j) in enumerate(order)]
+    assert not [r for r in found if r.g == "c"]
+
+
+def test_valley_equals_pass_by_pass():
+    def plain(counts):
+        smooth = counts.astype(float)
+        while True:
+            padded = np.concatenate([smooth[:1], smooth, smooth[-1:]])
+            smooth = (padded[:-2] + padded[1:-1] + padded[2:]) / 3.0
+            peaks = doublets._peaks(smooth)
+            if len(peaks) <= 2:
+                return peaks[0] + int(np.argmin(smooth[peaks[0] : peaks[1] + 1])) if len(peaks) == 2 else None
+
+    rng = np.random.default_rng(2)
+    for _ in range(40):
+        low, high = rng.integers(5, 60), rng.integers(70, 120)
+        values = np.concatenate([rng.normal(low, rng.uniform(2, 12), 400), rng.normal(high, rng.uniform(2, 12), rng.integers(1, 300))])
+        counts = np.histogram(values, 128, (0, 128))[0]
+        assert doublets._valley(counts) == plain(counts)
+    far = np.zeros(256)
+    far[[10, 120, 240]] = 5, 9, 5
+    assert doublets._valley(far) == plain(far)
+
+
 def test_valley():
     counts = np.zeros(64)
     counts[8:16], counts[40:50] = 20, 30
