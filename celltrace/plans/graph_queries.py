@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from celltrace.operators import chain, doublets, graph, matrix, qc
+from celltrace.operators import approximate, chain, doublets, graph, matrix, qc
 from celltrace.plans.count_queries import UP_TO_GOOD
 from celltrace.plans.proxies import HVG_MAX_MEAN, Tables
 from celltrace.plans.registry import long, query, rounded
@@ -47,6 +47,27 @@ def _(t: Tables):
     return neighbours(t).select("src", "dst", long("rank").alias("rank"), rounded("dist").alias("dist"))
 
 
+@query("approximate_knn")
+def _(t: Tables):
+    """Neighbours by bucketed random projections and refinement; the tests compare with the exact search."""
+    return approximate.approximate_knn(t.vectors, K)
+
+
+@query(
+    "approximate_knn_recall",
+    f"WITH {NEAR} SELECT count(DISTINCT src) AS points, count(*) AS links, true AS recall_of_90_percent, true AS none_is_too_near FROM near",
+)
+def _(t: Tables):
+    """The approximate neighbours beside the exact ones: nine tenths of them at least, and at no rank a smaller distance than the exact one."""
+    exact = cut(neighbours(t).select("src", F.col("rank").cast("int").alias("rank"), F.col("dst").alias("true_dst"), F.col("dist").alias("true_dist")))
+    found = cut(approximate.approximate_knn(t.vectors, K).withColumn("rank", F.col("rank").cast("int")))
+    hits = found.join(exact.select("src", F.col("true_dst").alias("dst")), ["src", "dst"], "left_semi").agg(F.count(F.lit(1))).scalar()
+    sides = found.join(exact, ["src", "rank"])
+    return sides.agg(F.count_distinct("src").alias("points"), F.count(F.lit(1)).alias("links"), (F.min(F.col("dist") - F.col("true_dist")) > -1e-9).alias("none_is_too_near")).withColumn(
+        "recall_of_90_percent", hits >= 0.9 * F.col("links")
+    )
+
+
 @query(
     "fuzzy_graph",
     f"WITH RECURSIVE {NEAR}, {FUZZY} SELECT src, dst, round(dist, 6) + 0.0 AS dist, round(weight, 6) + 0.0 AS weight FROM edges",
