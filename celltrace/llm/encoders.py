@@ -44,9 +44,11 @@ def _plain_letters(raw: np.ndarray) -> np.ndarray:
 
 
 class PieceStore:
-    """Ids of pieces by the 64-bit hash of their bytes: an open hash table in flat arrays, probed for whole batches."""
+    """Ids of pieces by the 64-bit hash of their bytes: an open hash table in flat arrays, probed for whole batches. The bytes of a
+    piece are kept and compared with those that ask for it."""
 
     def __init__(self):
+        self.text, self.place, self.length, self.filled = np.empty(0, np.uint8), np.empty(0, np.int64), np.empty(0, np.int64), 0
         self.keys, self.rows = np.zeros(_SLOTS, np.uint64), np.full(_SLOTS, -1, np.int32)
         self.first, self.count, self.ids = np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint32)
         self.size = self.used = 0
@@ -66,11 +68,33 @@ class PieceStore:
             todo = todo[(rows[todo] >= 0) & (self.keys[slot[todo]] != keys[todo])]
         return rows
 
-    def add(self, keys: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
-        """New distinct keys with their ids one after another."""
+    def same(self, rows: np.ndarray, text: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Whether the byte ranges of ``text`` are those of the stored ``rows``."""
+        sizes, out = ends - starts, self.length[rows] == ends - starts
+        mine, theirs, at = words.lanes(text), words.lanes(self.text[: self.filled]), 0
+        todo = np.flatnonzero(out)
+        while len(todo) and at < words._LONG:
+            left = sizes[todo] - at
+            equal = words.first_bytes(mine[starts[todo] + at], left) == words.first_bytes(theirs[self.place[rows[todo]] + at], left)
+            out[todo[~equal]] = False
+            at += 8
+            todo = todo[equal & (left > 8)]
+        for i in todo.tolist():
+            here, there = starts[i], self.place[rows[i]]
+            out[i] = np.array_equal(text[here : ends[i]], self.text[there : there + sizes[i]])
+        return out
+
+    def add(self, keys: np.ndarray, pieces: list[bytes], counts: np.ndarray, ids: np.ndarray) -> None:
+        """New distinct keys with their bytes, and their ids one after another."""
         rows = np.arange(self.size, self.size + len(keys), dtype=np.int32)
         size, used = self.size + len(keys), self.used + len(ids)
         self.first, self.count, self.ids = self._room(self.first, size), self._room(self.count, size), self._room(self.ids, used)
+        text = np.frombuffer(b"".join(pieces), np.uint8)
+        self.place, self.length, self.text = self._room(self.place, size), self._room(self.length, size), self._room(self.text, self.filled + len(text))
+        self.length[self.size : size] = lengths = np.array([len(p) for p in pieces], np.int64)
+        self.place[self.size : size] = self.filled + np.cumsum(lengths) - lengths
+        self.text[self.filled : self.filled + len(text)] = text
+        self.filled += len(text)
         self.first[self.size : size] = self.used + np.cumsum(counts) - counts
         self.count[self.size : size] = counts
         self.ids[self.used : used] = ids
@@ -112,24 +136,25 @@ class JsonEncoder:
     def _direct(self, texts: list[str]) -> list[np.ndarray]:
         return [np.array(e.ids, np.uint32) for e in self.tool.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, raw: bytes, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> None:
-        """Encode new pieces: runs of letters many at once, as the last token of each, and no other, closes a word."""
+    def _learn(self, raw: bytes, text: bytes, keys: np.ndarray, starts: np.ndarray, ends: np.ndarray, plain: np.ndarray) -> None:
+        """Encode new pieces: runs of letters many at once, as the last token of each, and no other, closes a word; one by one where that does
+        not hold. ``text`` are the bytes that the store compares."""
         added = []
         for at in range(0, len(keys), 512):
             part = slice(at, at + 512)
-            letters = np.flatnonzero(plain[part]) + at
+            letters, others = np.flatnonzero(plain[part]) + at, np.flatnonzero(~plain[part]) + at
             if len(letters):
-                text = b" ".join([raw[a:b] for a, b in zip(starts[letters].tolist(), ends[letters].tolist())]).decode()
-                ids = self._direct([text])[0]
+                ids = self._direct([b" ".join([raw[a:b] for a, b in zip(starts[letters].tolist(), ends[letters].tolist())]).decode()])[0]
                 stops = np.flatnonzero(self.ends[ids]) + 1
-                if len(stops) != len(letters):
-                    raise ValueError("the tokenizer joined or split plain words")
-                added.append((keys[letters], np.diff(stops, prepend=0), ids))
-            others = np.flatnonzero(~plain[part]) + at
+                if len(stops) == len(letters) and stops[-1] == len(ids):
+                    added.append((letters, np.diff(stops, prepend=0), ids))
+                else:
+                    others = np.arange(at, min(at + 512, len(keys)))
             if len(others):
                 found = self._direct([raw[a:b].decode() for a, b in zip(starts[others].tolist(), ends[others].tolist())])
-                added.append((keys[others], np.array([len(x) for x in found]), np.concatenate(found)))
-        self.store.add(*(np.concatenate(x) for x in zip(*added)))
+                added.append((others, np.array([len(x) for x in found]), np.concatenate(found)))
+        for which, counts, ids in added:
+            self.store.add(keys[which], [text[a:b] for a, b in zip(starts[which].tolist(), ends[which].tolist())], counts, ids)
 
     def _pieces(self, raw: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Start, end and kind (plain letters or not) of the pieces of one slice, in order."""
@@ -160,19 +185,27 @@ class JsonEncoder:
         for at, end, firsts in words.slices(raw, offsets):
             here = raw[at:end]
             starts, ends, plain = self._pieces(here, firsts)
-            keys = words.range_hashes(here, starts, ends, words.EXACT_VALUES)
-            if self.lowers:
-                keys[plain] = words.range_hashes(here, starts[plain], ends[plain])
-            rows = self.store.find(keys)
-            fresh = np.flatnonzero(rows < 0)
-            if len(fresh):
-                if self.store.size > STORED_PIECES:
-                    self.store = PieceStore()
-                    fresh = np.arange(len(keys))
-                _, once = np.unique(keys[fresh], return_index=True)
-                once = fresh[np.sort(once)]
-                self._learn(here.tobytes(), keys[once], starts[once], ends[once], plain[once])
-                rows[fresh] = self.store.find(keys[fresh])
+            text = here
+            if self.lowers:  # plain pieces count by their folded letters
+                edges = np.zeros(len(here) + 1, np.int8)
+                edges[starts[plain]] += 1
+                edges[ends[plain]] -= 1
+                text = np.where(np.cumsum(edges[:-1], dtype=np.int8) > 0, words.FOLD[here], here)
+            keys = words.range_hashes(text, starts, ends, fold=False)
+            if self.store.size > STORED_PIECES:
+                self.store = PieceStore()
+            rows, todo = np.empty(len(keys), np.int64), np.arange(len(keys))
+            while len(todo):
+                rows[todo] = self.store.find(keys[todo])
+                fresh = todo[rows[todo] < 0]
+                if len(fresh):
+                    _, once = np.unique(keys[fresh], return_index=True)
+                    once = fresh[np.sort(once)]
+                    self._learn(here.tobytes(), text.tobytes(), keys[once], starts[once], ends[once], plain[once])
+                    rows[fresh] = self.store.find(keys[fresh])
+                # another piece has this hash: look under the next one
+                todo = todo[~self.store.same(rows[todo], text, starts[todo], ends[todo])]
+                keys[todo] = words.mix(keys[todo] + np.uint64(1))
             counts = self.store.count[rows]
             upto = np.cumsum(counts)
             if len(upto):

@@ -1,8 +1,7 @@
 """Words and word shingles of whole texts as 64-bit hashes, computed on Arrow buffers.
 
-A word is a run of bytes outside ``\\x20`` and ``\\x09-\\x0D``; A-Z counts as a-z. The hash of a word is a
-polynomial over random byte values, taken from one running sum per slice, so no Python object is made per word.
-Slices are cut at white space and bound the memory that a text of any length needs.
+A word is a run of bytes outside ``\\x20`` and ``\\x09-\\x0D``; A-Z counts as a-z. Words are hashed side by side, eight bytes at a
+time, so no Python object is made per word unless it is a long one. Slices are cut at white space and bound the memory that a text of any length needs.
 """
 
 from __future__ import annotations
@@ -11,33 +10,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 _SLICE = 1 << 18
-_MULTIPLIER = 0x9E3779B97F4A7C15
+#: Ranges of more bytes are hashed one by one.
+_LONG = 64
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-EXACT_VALUES = np.random.default_rng(20240501).integers(1, 1 << 63, 256, dtype=np.uint64)
-_BYTE_VALUES = EXACT_VALUES.copy()
-_BYTE_VALUES[ord("A") : ord("Z") + 1] = _BYTE_VALUES[ord("a") : ord("z") + 1]
-
-
-def _powers(base: int, count: int) -> np.ndarray:
-    out = np.ones(count, np.uint64)
-    out[1:] = np.uint64(base)
-    return np.multiply.accumulate(out)
-
-
-_POWERS = _INVERSES = None
-
-
-def _tables(count: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse modulo 2**64, grown on demand."""
-    global _POWERS, _INVERSES
-    if _POWERS is None or len(_POWERS) < count:
-        size = max(count, _SLICE + 1)
-        _POWERS, _INVERSES = _powers(_MULTIPLIER, size), _powers(pow(_MULTIPLIER, -1, 1 << 64), size)
-    return _POWERS, _INVERSES
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[ord("A") : ord("Z") + 1] += 32
 
 
 def mix(z: np.ndarray) -> np.ndarray:
@@ -107,14 +89,39 @@ def bounds(raw: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return np.flatnonzero(inside & ~before), np.flatnonzero(inside & closes) + 1
 
 
-def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray = _BYTE_VALUES) -> np.ndarray:
-    """Hash of every byte range of a slice; ``values`` are the numbers of the bytes."""
-    powers, inverses = _tables(len(raw) + 1)
-    sums = np.zeros(len(raw) + 1, np.uint64)
-    np.cumsum(values[raw] * powers[: len(raw)], out=sums[1:])
-    out = (sums[ends] - sums[starts]) * inverses[starts]
-    out += (ends - starts).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
-    return mix(out)
+def lanes(raw: np.ndarray) -> np.ndarray:
+    """The eight bytes from every place of ``raw`` on as one number; zeros follow the end."""
+    padded = np.zeros(len(raw) + 8, np.uint8)
+    padded[: len(raw)] = raw
+    return np.ndarray(len(raw) + 1, "<u8", padded, strides=(1,))
+
+
+def first_bytes(lane: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """Lanes without the bytes behind the first ``count`` (1 or more) ones."""
+    drop = np.maximum(8 - count, 0).astype(np.uint64) * np.uint64(8)
+    return (lane << drop) >> drop
+
+
+def range_hashes(raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: bool = True) -> np.ndarray:
+    """Hash of every byte range of a slice, A-Z as a-z with ``fold``.
+
+    Eight bytes at a time, each step a permutation of the state, so ranges of up to eight bytes never share a hash with
+    another one of their length; longer ranges than ``_LONG`` go through XXH3.
+    """
+    raw = FOLD[raw] if fold else raw
+    sizes, view = ends - starts, lanes(raw)
+    out, todo = sizes.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93), np.flatnonzero((sizes > 0) & (sizes <= _LONG))
+    for at in range(0, _LONG, 8):
+        if at:
+            todo = todo[sizes[todo] > at]
+        if not len(todo):
+            break
+        z = out[todo] ^ first_bytes(view[starts[todo] + at], sizes[todo] - at)
+        z *= np.uint64(0x9E3779B97F4A7C15)
+        out[todo] = mix(z)
+    for i in np.flatnonzero(sizes > _LONG).tolist():
+        out[i] = xxhash.xxh3_64_intdigest(raw[starts[i] : ends[i]].tobytes(), 0x5D)
+    return out
 
 
 def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

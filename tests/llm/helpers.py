@@ -67,3 +67,11 @@ def with_clashes(df, skip=()):
 
 def nothing(spark, schema: str):
     return spark.createDataFrame([], schema)
+
+
+def twins(doubling: int) -> tuple[str, str]:
+    """The Thue-Morse word over a and b of ``2 ** doubling`` letters, and its complement."""
+    word = "a"
+    for _ in range(doubling):
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))

@@ -6,7 +6,7 @@ import pytest
 from celltrace.llm import neardup
 from celltrace.llm.components import components as linked
 from celltrace.llm.scratch import Scratch
-from tests.llm.helpers import DOCS, components, edited, nothing, random_text, shingle_set, with_clashes
+from tests.llm.helpers import DOCS, components, edited, nothing, random_text, shingle_set, twins, with_clashes
 
 
 def corpus(rnd):
@@ -101,3 +101,9 @@ def test_components_of_long_chains(spark):
     found = {r.node: r.component for r in linked(Scratch(spark), links, "chain").collect()}
     assert found == {**{i: 0 for i in range(n + 1)}, 1000: 1000, 1001: 1000, 1002: 1000}
     assert linked(Scratch(spark), nothing(spark, "a long, b long"), "none").collect() == []
+
+
+def test_words_with_one_polynomial_value_are_different(spark):
+    rows = [(i, f"{w} here", "en", "s", 0) for i, w in enumerate([*twins(10), *twins(11), twins(10)[0]])]
+    found = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, DOCS), width=2).collect()}
+    assert found == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0}

@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from celltrace.llm import encoders, files, token_counts, tokenfiles
 from celltrace.llm.scratch import Scratch
-from tests.llm.helpers import DOCS, nothing, with_clashes
+from tests.llm.helpers import DOCS, nothing, twins, with_clashes
 
 WORD, PIECE, BYTE = (str(public_tokenizers.path(n)) for n in ("word_bpe_49k.json", "piece_bpe_32k.model", "byte_bpe_50k.json"))
 ODD = ["a", "É", "é", "́", "ſ", "İ", "Σς", "'s", "'", "’", "5", "²", "Ⅷ", "\t", " ", " ", "\n", "  ", "<|endoftext|>", "<|STARTOFTEXT|>", "<|startoftext|>", "<|", "|>",
@@ -36,6 +36,31 @@ def test_json_ids_equal_the_library(path, monkeypatch):
     assert made.encode_column(pa.array([], pa.string()))[1].tolist() == [0]
 
 
+def test_words_with_one_polynomial_value(monkeypatch):
+    column = [w for n in (6, 10, 12) for w in twins(n)]
+    made, tool = encoders.JsonEncoder(WORD), Tokenizer.from_file(WORD)
+    expected = [tool.encode(t, add_special_tokens=False).ids for t in column]
+    for _ in range(2):
+        ids, ends = made.encode_column(pa.array(column))
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == expected
+    # even if all pieces had the same few hashes, the bytes would tell them apart
+    real = encoders.words.range_hashes
+    monkeypatch.setattr(encoders.words, "range_hashes", lambda *args, **options: real(*args, **options) % np.uint64(5))
+    made, column = encoders.JsonEncoder(WORD), texts(5, 200)
+    for _ in range(2):
+        ids, ends = made.encode_column(pa.array(column))
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [tool.encode(t or "", add_special_tokens=False).ids for t in column]
+
+
+def test_a_tokenizer_that_joins_words_is_asked_piece_by_piece(monkeypatch):
+    made, tool = encoders.JsonEncoder(WORD), Tokenizer.from_file(WORD)
+    direct, column = made._direct, texts(6, 100)
+    monkeypatch.setattr(made, "_direct", lambda found: direct([t[:-1] if len(found) == 1 and " " in t else t for t in found]))
+    monkeypatch.setattr(made, "ends", np.zeros_like(made.ends))
+    ids, ends = made.encode_column(pa.array(column))
+    assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:])] == [tool.encode(t or "", add_special_tokens=False).ids for t in column]
+
+
 def test_piece_ids_equal_the_library():
     column = texts(2, 300)
     ids, ends = encoders.encoder(PIECE).encode_column(pa.array(column))

@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 
 from celltrace.llm import words
-from tests.llm.helpers import shingle_set, word_list
+from tests.llm.helpers import shingle_set, twins, word_list
 
 TEXTS = ["Hello world  a\tb\x0bC", "", None, "x", "  lead  ", "hello WORLD", "éÉ é e", "no\nyes", "w " * 5000]
 
@@ -36,3 +36,29 @@ def test_shingles_count_like_sets(width):
         raw, offsets = words.text_buffers(pa.array([text]))
         hashes, _ = words.word_hashes(raw, offsets)
         assert len(np.unique(words.shingles(hashes, width))) == len(shingle_set(text, width))
+
+
+def test_words_of_two_letters_in_turn():
+    """The Thue-Morse word and its complement have one value under any polynomial modulo a power of two."""
+    for doubling in range(1, 13):
+        a, b = twins(doubling)
+        raw, offsets = words.text_buffers(pa.array([f"{a} {b}"]))
+        hashes, _ = words.word_hashes(raw, offsets)
+        assert len(set(hashes.tolist())) == 2
+
+
+def test_short_words_never_share_a_hash():
+    rng = np.random.default_rng(1)
+    for size in (1, 3, 8):
+        every = {"".join(map(chr, row)) for row in rng.integers(97, 123, (20_000, size))}
+        raw, offsets = words.text_buffers(pa.array([" ".join(every)]))
+        hashes, _ = words.word_hashes(raw, offsets)
+        assert len(set(hashes.tolist())) == len(every)
+
+
+def test_folding_is_a_choice():
+    raw = np.frombuffer(b"Word" + b"Long" * 40, np.uint8)
+    starts, ends = np.array([0, 4]), np.array([4, len(raw)])
+    low = np.frombuffer(raw.tobytes().lower(), np.uint8)
+    assert (words.range_hashes(raw, starts, ends) == words.range_hashes(low, starts, ends, fold=False)).all()
+    assert (words.range_hashes(raw, starts, ends, fold=False) != words.range_hashes(low, starts, ends)).all()
