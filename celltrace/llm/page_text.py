@@ -1,9 +1,14 @@
 """Main text of HTML pages: boilerplate by meaning, and site templates found by counting subtrees per host.
 
-Every page is read once and its main text is written with the hashes of its containers (tags and texts). Spark counts per host on how
-many pages each hash occurs. A subtree on at least ``MIN_PAGES`` pages of its host, however large the host is, is part of the site's template and
-is deleted. Paragraphs, headings and whatever holds more than half of a page's main text are never candidates, so an article that a site
-prints many times stays. Templates stay rows of ``(host, hash)`` and meet the containers of the pages in a join, salted by page.
+1. Every page is read once: its blocks of text, and the hashes of all its containers (tags and texts), inside the article and outside.
+2. Spark counts per host on how many pages each block and each container occurs; those on at least ``MIN_PAGES`` pages, however large
+   the host is, recur.
+3. A page vouches for a recurring container if at least half of its other main text does not recur. Copies of an article recur as a
+   whole, so they vouch for none of its parts, whatever these are made of; pages of different content that print the same box do.
+4. A container that ``MIN_PAGES`` pages of its host vouch for is part of the site's template. It is deleted from all pages of the host, and only
+   then the article is chosen among what is left. Paragraphs and headings are no containers, so shared passages stay.
+
+Counts and templates stay rows of ``(host, hash)`` and meet the pages in joins, salted by page.
 """
 
 from __future__ import annotations
@@ -52,17 +57,24 @@ DROPPED_NAMES = frozenset(
 )
 #: Words that begin the names of comment parts (other words, such as commentary, are not meant).
 DROPPED_NAMES |= frozenset("comment comments commentlist commentform commentbox commentarea commentsection commenting commenter commenters".split())
+#: Parts that go whatever their size.
+STRONG_NAMES = frozenset(
+    "ad ads adv adsense advert adverts advertisement advertising sponsor sponsored menu nav navbar navigation sidenav breadcrumb breadcrumbs disqus reply replies "
+    "comment comments commentlist commentform commentbox commentarea commentsection commenting commenter commenters".split()
+)
+COMMENT_NAMES = frozenset(n for n in STRONG_NAMES if n.startswith("comment")) | {"disqus", "reply", "replies"}
 #: Names such as no-ads or has-sidebar describe the page around a part.
 NEGATED = frozenset("has have no non not with without".split())
 #: Inside an article their ids are slugs of their titles.
 TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
-CONTAINERS = frozenset("div section ul ol dl table nav aside header footer form figure center fieldset menu".split())
+HEADINGS = TITLED - {"section"}
+CONTAINERS = frozenset("article div section ul ol dl table nav aside header footer form figure center fieldset menu".split())
 
 _TAG = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<!\[CDATA\[(.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
     re.DOTALL,
 )
-_ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$|["'])""", re.IGNORECASE)
+_ATTRIBUTE = re.compile(r"""(?<![^\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$|["'])""", re.IGNORECASE)
 
 
 def is_boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
@@ -72,35 +84,41 @@ def is_boilerplate(name: str, attributes: str, inside_article: bool) -> bool:
         return False
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key == "hidden" and not value or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
+        if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none", value):
             return True
         if key == "role" and value in DROPPED_ROLES:
             return True
     return False
 
 
-def is_named(name: str, attributes: str, inside_article: bool) -> bool:
-    """Whether a class or an id names the element as boilerplate; ``Page`` decides by its content."""
+def is_named(name: str, attributes: str, inside_article: bool) -> str:
+    """Whether a class or an id names the element as boilerplate: "weak" (``Page`` decides by its content), "strong", "comments" or ""."""
     if not attributes or name in ("html", "body", "article", "main"):
-        return False
+        return ""
+    best = ""
     for m in _ATTRIBUTE.finditer(attributes):
         key, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
-        if key not in ("class", "id") or key == "id" and inside_article and name in TITLED:
+        if key not in ("class", "id"):
             continue
         for word in value.split():
             parts = [p for p in re.split(r"[^a-z0-9]+", word) if p]
             if not parts or parts[0] in NEGATED:
                 continue
+            slug = key == "id" and inside_article  # of a title, unless all of it is a name
+            if slug and name in TITLED and (name in HEADINGS or not all(p in STRONG_NAMES for p in parts)):
+                continue
             matches = [p in DROPPED_NAMES or p == "header" and not inside_article for p in parts]
-            if all(matches) if key == "id" and inside_article else any(matches):
-                return True
-    return False
+            if all(matches) if slug else any(matches):
+                if any(p in COMMENT_NAMES for p in parts):
+                    return "comments"
+                best = "strong" if any(p in STRONG_NAMES for p in parts) else best or "weak"
+    return best
 
 
 class Element:
     __slots__ = ("name", "dropped", "muted", "named", "inside", "article", "main", "outer", "content", "parts", "first", "size")
 
-    def __init__(self, name: str, parent: Element | None, dropped: bool, first: int, named: bool = False, muted: bool = False):
+    def __init__(self, name: str, parent: Element | None, dropped: bool, first: int, named: str = "", muted: bool = False):
         self.name, self.first, self.size, self.content, self.named = name, first, 0, False, named
         self.dropped = dropped or bool(parent and parent.dropped)
         self.muted = muted or bool(parent and parent.muted)  # its articles do not say where the page's text is
@@ -116,20 +134,27 @@ class Element:
 class Page:
     """Blocks of text in page order, and the hashes of the containers that hold them.
 
-    A page with elements that are boilerplate by name is read again, once the sizes of their subtrees are known: such an element
-    goes only if it holds no article of its own and at most half of the text of the page and of the article or main part around it.
+    A page with elements that are boilerplate by name is read again, once their subtrees are known. Comments, menus and adverts go whatever their
+    size; what has another such name goes if it holds at most half of the text of the page and of the article or main part around it. An element
+    around an article that is not a list of comments stays, but its articles do not say where the page's text is. If the
+    part that has the page's text would be left without any, the names inside it do not count.
     """
 
     def __init__(self, source: str):
         self._start(source, None)
         if self.named:
-            self._start(source, {at: self._verdict(element) for at, element in self.named.items()})
+            named, place, chosen = self.named, self.place(), {at: self._verdict(element) for at, element in self.named.items()}
+            self._start(source, chosen)
+            if not self.blocks or place and not any(block[place] for block in self.blocks):
+                inside = lambda element: not place or element.outer is not None
+                self._start(source, {at: "plain" if inside(named[at]) else verdict for at, verdict in chosen.items()})
 
     def _verdict(self, element: Element) -> str:
         outer = element.outer
-        if 2 * element.size > self.size or outer and 2 * element.size > outer.size:
-            return "plain"
-        return "muted" if element.content and not (outer and outer.name == "article") else "dropped"
+        if element.content and not (outer and outer.name == "article"):
+            return "dropped" if element.named == "comments" else "muted" if 2 * element.size <= self.size else "plain"
+        small = 2 * element.size <= self.size and (not outer or 2 * element.size <= outer.size)
+        return "dropped" if element.named in ("strong", "comments") or small else "plain"
 
     def _start(self, source: str, verdicts: dict[int, str] | None) -> None:
         self.verdicts = verdicts
@@ -168,7 +193,7 @@ class Page:
         holds = element.content or element.name in ("article", "main")
         if element.name in BLOCK and not element.dropped:
             value = xxhash.xxh3_64_intdigest(f"{element.name}({'|'.join(element.parts)})") >> 1
-            if element.name in CONTAINERS and not holds and element.size:
+            if element.name in CONTAINERS and element.size:
                 self.subtrees.append((value, element.first, len(self.blocks)))
             if parent:
                 parent.parts.append(str(value))
@@ -230,13 +255,13 @@ class Page:
             inside = bool(parent and parent.inside)
             dropped = is_boilerplate(name, attributes, inside)
             if self.verdicts is None:
-                named, verdict = not dropped and not (parent and parent.dropped) and is_named(name, attributes, inside), None
+                named, verdict = "" if dropped or parent and parent.dropped else is_named(name, attributes, inside), None
             else:
-                named, verdict = False, self.verdicts.get(found.start())
+                named, verdict = "", self.verdicts.get(found.start())
             dropped = dropped or verdict == "dropped"
             if (dropped or named) and not (parent and parent.dropped):
                 self._flush()
-            self.stack.append(Element(name, parent, dropped, len(self.blocks), named, verdict == "muted"))
+            self.stack.append(Element(name, parent, dropped, len(self.blocks), named, verdict == "muted" or named == "comments"))
             if named:
                 self.named[found.start()] = self.stack[-1]
             self.open[name] += 1
@@ -244,64 +269,72 @@ class Page:
             self._pop()
         self._flush()
 
-    def kept(self, templates: frozenset[int] = frozenset()) -> list[str]:
-        """Blocks of the article, or else of the main part, or else of the page, without those of templates."""
-        place = self._place()
-        gone = {i for value, first, last in self._parts(place) if value in templates for i in range(first, last)}
-        return [block[0] for i, block in enumerate(self.blocks) if (not place or block[place]) and i not in gone]
+    def place(self) -> int:
+        """Where the main text is: 1 the article, 2 the main part, 0 the whole page."""
+        return next((p for p in (1, 2) if any(block[p] for block in self.blocks)), 0)
 
-    def main(self) -> tuple[list[str], list[tuple[int, int, int]]]:
-        """Blocks of the main text, and the containers that can be part of a template with their places among these blocks."""
-        place = self._place()
-        before = np.cumsum([0, *(not place or bool(block[place]) for block in self.blocks)]).tolist()
-        parts = [(value, before[first], before[last]) for value, first, last in self._parts(place)]
-        return [block[0] for block in self.blocks if not place or block[place]], parts
+    def rows(self) -> tuple[list[str], list[int], list[int], list[tuple[int, int, int]]]:
+        """Blocks, their hashes, their parts of the page (1 article, 2 main part, 3 both), and the containers over them."""
+        texts = [block[0] for block in self.blocks]
+        return texts, [xxhash.xxh3_64_intdigest(t) >> 1 for t in texts], [bool(b[1]) + 2 * bool(b[2]) for b in self.blocks], self.subtrees
 
-    def containers(self) -> set[int]:
-        """Hashes of the containers that can be part of a template."""
-        return {value for value, *_ in self._parts(self._place())}
 
-    def _place(self) -> int:
-        return next((p for p in (1, 2) if any(block[p] for block in self.blocks)), 0)
+def chosen(places: list[int], gone: list[bool]) -> list[bool]:
+    """Which blocks are the main text: those of the article, or else of the main part, or else all, of what is not gone."""
+    for bit in (1, 2):
+        if any(p & bit and not g for p, g in zip(places, gone)):
+            return [bool(p & bit) and not g for p, g in zip(places, gone)]
+    return [not g for g in gone]
 
-    def _parts(self, place: int) -> Iterator[tuple[int, int, int]]:
-        """Containers with at most half of the page's main text."""
-        sums = np.cumsum([0, *(len(text) * bool(not place or flags[place - 1]) for text, *flags in self.blocks)])
-        return ((value, first, last) for value, first, last in self.subtrees if 2 * (sums[last] - sums[first]) <= sums[-1])
 
+def vouched(sizes: list[int], keys: list[int], places: list[int], containers: list[tuple[int, int, int]], recurring: frozenset[int]) -> set[int]:
+    """Recurring containers beside which at least half of the page's main text does not recur."""
+    main = np.array(chosen(places, [False] * len(sizes)), bool)
+    length = np.array(sizes, np.int64) * main
+    own = length * np.array([k not in recurring for k in keys], bool)
+    every, mine = np.concatenate(([0], np.cumsum(length))), np.concatenate(([0], np.cumsum(own)))
+    out = set()
+    for value, first, last in containers:
+        if value in recurring:
+            rest, unique = every[-1] - every[last] + every[first], mine[-1] - mine[last] + mine[first]
+            if rest and 2 * unique >= rest:
+                out.add(value)
+    return out
 
-def main_text(source: str | None, templates: frozenset[int] = frozenset()) -> str:
-    return "\n".join(Page(source or "").kept(templates))
 
+def without(blocks: list[str], places: list[int], containers: list[tuple[int, int, int]], templates: frozenset[int]) -> list[str]:
+    """Blocks of the main text without those of templates, unless none would be left."""
+    gone = [False] * len(blocks)
+    for value, first, last in containers:
+        if value in templates:
+            gone[first:last] = [True] * (last - first)
+    if all(gone):
+        gone = [False] * len(blocks)
+    return [block for block, keep in zip(blocks, chosen(places, gone)) if keep]
 
-def template_rows(found: DataFrame, min_pages: int) -> DataFrame:
-    """``(host, value, n)``: hashes that occur on ``n >= min_pages`` pages of a host. ``found(host, value)`` names a hash once per page."""
-    return found.groupBy("host", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages)
 
+def main_text(source: str | None) -> str:
+    """Main text of a page that belongs to no site."""
+    texts, _, places, containers = Page(source or "").rows()
+    return "\n".join(without(texts, places, containers, frozenset()))
 
-def site_templates(pages: DataFrame, html: str, min_pages: int, share: float = 0.0) -> DataFrame:
-    """``(host, templates)``: hashes of the subtrees that recur on many pages of a host. ``pages`` has a column ``host``."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            rows, values = [], []
-            for row, source in enumerate(batch.column(1)):
-                found = Page(source.as_py() or "").containers()
-                rows += [row] * len(found)
-                values += found
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(values, pa.int64())], ["host", "value"])
+def frequent(found: DataFrame, min_pages: int) -> DataFrame:
+    """``(host, value)`` of hashes that occur on ``min_pages`` pages of a host. ``found(host, value)`` names a hash once per page."""
+    return found.groupBy("host", "value").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_pages).select("host", "value")
+
 
-    sited = pages.filter(F.col("host").isNotNull())
-    sizes = sited.groupBy("host").agg(F.count(F.lit(1)).alias("pages"))
-    many = template_rows(sited.select("host", F.col(html).cast("string")).mapInArrow(run, "host string, value long"), min_pages)
-    many = many.join(sizes, "host").filter(F.col("n") >= F.col("pages") * share)
-    return many.groupBy("host").agg(F.collect_list("value").alias("templates"))
+def listed(found: DataFrame, chosen_: DataFrame, name: str) -> DataFrame:
+    """``(row, name)``: per page the values of ``found(row, host, value)`` that ``chosen_(host, value)`` has."""
+    spread = chosen_.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    hits = found.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(spread, ["host", "value", "salt"])
+    return hits.groupBy("row").agg(F.collect_list("value").alias(name))
 
 
 def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", html: str = "html", min_pages: int = MIN_PAGES) -> DataFrame:
     """``(id, url, text, n_chars)`` per row of ``pages``: blocks of the main text, one per line.
 
-    Null and empty pages have an empty text. Pages without a readable host belong to no site and are judged by meaning alone;
+    Null and empty pages have an empty text; a page whose whole text is template keeps it. Pages without a readable host belong to no site and are judged by meaning alone;
     repeated rows count as pages of their host.
     """
     kind, scratch = pages.schema[id_column].dataType, Scratch(pages.sparkSession)
@@ -310,35 +343,48 @@ def extract(pages: DataFrame, id_column: str = "page_id", url: str = "url", html
     read = T.StructType(
         [
             T.StructField("id", kind), T.StructField("url", T.StringType()), T.StructField("host", T.StringType()), T.StructField("blocks", T.ArrayType(T.StringType())),
+            T.StructField("keys", T.ArrayType(T.LongType())), T.StructField("places", T.ArrayType(T.IntegerType())),
             T.StructField("values", T.ArrayType(T.LongType())), T.StructField("firsts", T.ArrayType(T.IntegerType())), T.StructField("lasts", T.ArrayType(T.IntegerType())),
         ]
     )
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            found = [Page(h.as_py() or "").main() for h in batch.column(2)]
-            parts = [part if host.is_valid else [] for (_, part), host in zip(found, batch.column(3))]
+            found = [Page(h.as_py() or "").rows() for h in batch.column(2)]
+            parts = [part if host.is_valid else [] for (*_, part), host in zip(found, batch.column(3))]
             numbers = [pa.array([[x[k] for x in part] for part in parts], pa.list_(kind_)) for k, kind_ in enumerate((pa.int64(), pa.int32(), pa.int32()))]
-            blocks = pa.array([b for b, _ in found], pa.list_(pa.string()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), blocks, *numbers], read.names)
+            texts, keys, places = (pa.array([x[k] for x in found], pa.list_(kind_)) for k, kind_ in enumerate((pa.string(), pa.int64(), pa.int32())))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(3), texts, keys, places, *numbers], read.names)
 
     # written, so that a page is read once and the row numbers stand
     parsed = scratch.cut(rows.select("id", "url", "html", "host").mapInArrow(parse, read).withColumn("row", F.monotonically_increasing_id()), "parsed")
-    found = parsed.select("row", "host", F.explode(F.array_distinct("values")).alias("value"))
-    templates = scratch.cut(template_rows(found.select("host", "value"), min_pages).select("host", "value"), "templates")
-    spread = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    hits = found.withColumn("salt", F.pmod(F.xxhash64("row"), F.lit(SALTS)).cast("int")).join(spread, ["host", "value", "salt"])
-    hits = scratch.cut(hits.groupBy("row").agg(F.collect_list("value").alias("templates")), "hits")
-    joined = parsed.join(hits, "row", "left").select("id", "url", "blocks", "values", "firsts", "lasts", "templates")
+    sited = parsed.filter(F.col("host").isNotNull())
+    found = sited.select("row", "host", F.explode(F.array_distinct(F.concat("keys", "values"))).alias("value"))
+    recurring = scratch.cut(listed(found, frequent(found.select("host", "value"), min_pages), "recurring"), "recurring")
+
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            rows_, values = [], []
+            for row, (sizes, keys, places, names, firsts, lasts, known) in enumerate(zip(*(batch.column(k).to_pylist() for k in range(1, 8)))):
+                mine = vouched(sizes, keys, places, list(zip(names, firsts, lasts)), frozenset(known))
+                rows_ += [row] * len(mine)
+                values += mine
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows_, pa.int64())), pa.array(values, pa.int64())], ["host", "value"])
+
+    sizes = F.transform("blocks", F.length)
+    voters = sited.join(recurring, "row").select("host", sizes.alias("sizes"), "keys", "places", "values", "firsts", "lasts", "recurring")
+    templates = scratch.cut(frequent(voters.mapInArrow(vote, "host string, value long"), min_pages), "templates")
+    held = sited.select("row", "host", F.explode(F.array_distinct("values")).alias("value"))
+    hits = scratch.cut(listed(held, templates, "templates"), "hits")
+    joined = parsed.join(hits, "row", "left").select("id", "url", "blocks", "places", "values", "firsts", "lasts", "templates")
     schema = T.StructType([T.StructField(id_column, kind), T.StructField("url", T.StringType()), T.StructField("text", T.StringType()), T.StructField("n_chars", T.LongType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            texts = []
-            for blocks, values, firsts, lasts, known in zip(*(batch.column(k).to_pylist() for k in range(2, 7))):
-                known = frozenset(known or ())
-                gone = {i for value, first, last in zip(values, firsts, lasts) if value in known for i in range(first, last)}
-                texts.append("\n".join(block for i, block in enumerate(blocks) if i not in gone))
+            texts = [
+                "\n".join(without(blocks, places, list(zip(values, firsts, lasts)), frozenset(known or ())))
+                for blocks, places, values, firsts, lasts, known in zip(*(batch.column(k).to_pylist() for k in range(2, 8)))
+            ]
             sizes = np.array([len(t) for t in texts], np.int64)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array(sizes)], schema.names)
 

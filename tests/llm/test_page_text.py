@@ -1,5 +1,6 @@
+import random
+
 import pytest
-from pyspark.sql import functions as F
 
 from celltrace.llm import page_text
 from tests.llm.helpers import nothing, with_clashes
@@ -37,6 +38,11 @@ def test_main_text(html, text):
         ('<article><p>a long enough text</p></article><div class="related"><article>card</article></div>', "a long enough text"),
         ('<p>a long enough text</p><div class="related"><article>card</article></div>', "a long enough text\ncard"),
         ('<article><p>a long text <span class="ad">buy</span> goes on</p></article>', "a long text\ngoes on"),
+        ("<article><p>story</p><div class='comments'>" + "<p>I think so too, and so does everybody else</p>" * 8 + "</div></article>", "story"),
+        ("<main><p>story</p><section id=comments>" + "<article>I think so too</article>" * 8 + "</section></main>", "story"),
+        ("<div><p>story</p></div><section id=comments>" + "<article>I think so too</article>" * 8 + "</section>", "story"),
+        ('<p>story</p><div class="menu"><p>one link after the other, and one more link</p></div>', "story"), ('<div class="comments"><p>only</p></div>', "only"),
+        ('<p hidden="hidden">z</p><p data-hidden="x" data-id="menu">a</p>', "a"), ('<article><h2 id="menu">Menu</h2><p>a</p></article>', "Menu\na"),
     ],
 )
 def test_names_delete_small_parts_only(html, text):
@@ -77,15 +83,80 @@ def test_page_that_repeats_whole_is_no_template(spark):
     assert {r.text for r in page_text.extract(spark.createDataFrame(rows, PAGES)).collect()} == {"The same article."}
 
 
-def test_counts_equal_brute_force(spark):
-    rows = site(9) + [(50 + i, "http://b.example/", "<div><ul><li>x</ul></div><p>some longer main text here</p>") for i in range(4)]
-    frame = spark.createDataFrame(rows, PAGES).withColumn("host", F.lower(F.try_parse_url("url", F.lit("HOST"))))
-    found = {r.host: set(r.templates) for r in page_text.site_templates(frame, "html", 4, 0.5).collect()}
-    expected = {}
-    for host in ("site.example", "b.example"):
-        pages = [page_text.Page(h).containers() for _, u, h in rows if host in u.lower()]
-        expected[host] = {v for v in set().union(*pages) if sum(v in p for p in pages) >= max(4, 0.5 * len(pages))}
-    assert found == {h: v for h, v in expected.items() if v} and all(expected.values())
+def brute(rows, least=5):
+    """Templates and texts of every page, counted in plain Python from the rows of the pages alone."""
+    pages = [(i, (u or "").split("/")[2].lower() if "//" in (u or "") else None, page_text.Page(h or "").rows()) for i, u, h in rows]
+    out = {}
+    for host in {h for _, h, _ in pages}:
+        mine = [p for _, h, p in pages if h == host]
+        seen, votes = {}, {}
+        for texts, _, _, parts in mine if host else []:
+            for v in {("block", t) for t in texts} | {("part", v) for v, *_ in parts}:
+                seen[v] = seen.get(v, 0) + 1
+        for texts, _, places, parts in mine if host else []:
+            bit = 1 if any(p & 1 for p in places) else 2 if any(p & 2 for p in places) else 0
+            main = [i for i, p in enumerate(places) if not bit or p & bit]
+            voted = set()
+            for v, first, last in parts:
+                rest = [i for i in main if not first <= i < last]
+                alone = sum(len(texts[i]) for i in rest if seen["block", texts[i]] < least)
+                if seen["part", v] >= least and rest and 2 * alone >= sum(len(texts[i]) for i in rest):
+                    voted.add(v)
+            for v in voted:
+                votes[v] = votes.get(v, 0) + 1
+        gone = {v for v, n in votes.items() if n >= least}
+        for i, h, (texts, _, places, parts) in pages:
+            if h == host:
+                left = [n for n in range(len(texts)) if not any(v in gone and a <= n < b for v, a, b in parts)] or range(len(texts))
+                bit = 1 if any(places[n] & 1 for n in left) else 2 if any(places[n] & 2 for n in left) else 0
+                out.setdefault(i, []).append("\n".join(texts[n] for n in left if not bit or places[n] & bit))
+    return out
+
+
+def extracted(spark, rows):
+    out = {}
+    for r in page_text.extract(spark.createDataFrame(rows, PAGES)).collect():
+        out.setdefault(r.page_id, []).append(r.text)
+    return out
+
+
+def test_extract_equals_brute_force(spark):
+    rnd = random.Random(7)
+    rows = site(9)
+    boxes = [f"<{t}><li>box {k}<li>more {k}</{t}>" for k, t in enumerate(["ul", "div", "section", "ol", "article"])]
+    for i in range(160):
+        stories = [f"<p>story {rnd.randrange(60)} with words {rnd.randrange(40)}</p>" for _ in range(rnd.randint(0, 4))]
+        some = rnd.sample(boxes, rnd.randint(0, 3))
+        parts = stories + some
+        rnd.shuffle(parts)
+        body = "".join(parts)
+        tag = rnd.choice(["article", "main", "div", "body"])
+        rows.append((100 + i, f"https://{rnd.choice(['hot', 'hot', 'a', 'B'])}.example/{i}", f"{rnd.choice(boxes)}<{tag}>{body}</{tag}>{rnd.choice(boxes)}"))
+    rows += [(900, None, rows[20][2]), (901, "http://hot.example/", None)] + rows[30:33]
+    expected = brute(rows)
+    found = extracted(spark, rows)
+    assert {i: sorted(t) for i, t in found.items()} == {i: sorted(t) for i, t in expected.items()}
+    assert sum(found[i] != ["\n".join(page_text.main_text(h).split("\n"))] for i, _, h in rows) > 30  # templates decide
+
+
+def test_templates_outside_the_article_decide(spark):
+    """A teaser that is an article itself, on every page of a host: only counting tells it from the story."""
+    teaser = "<div class=x1><article><h2>Our great offer of the month</h2><p>Subscribe to all channels at once</p></article></div>"
+    rows = [(i, "http://n.example/", f"{teaser}<article><p>Story {i}</p><p>It goes on for {i} lines</p></article>") for i in range(6)]
+    assert extracted(spark, rows) == {i: [f"Story {i}\nIt goes on for {i} lines"] for i in range(6)}
+    assert all(text[0].startswith("Our great offer") for text in extracted(spark, rows[:4]).values())
+
+
+PARTS = "<section><h2>One</h2><p>First part of it.</p></section><section><p>Second part.</p></section><ul><li>x<li>y</ul><table><tr><td>q<td>r</table><section><p>Third.</p></section>"
+
+
+@pytest.mark.parametrize("n", [5, 30])
+def test_repeated_articles_stay_whole(spark, n):
+    whole = "One\nFirst part of it.\nSecond part.\nx\ny\nq\nr\nThird."
+    rows = [(i, "http://a.example/", f"<nav>n{i}</nav><div class=ad>{i}</div><article>{PARTS}</article><footer>{i}</footer>") for i in range(n)]
+    assert extracted(spark, rows) == {i: [whole] for i in range(n)}
+    near = [(i, "http://a.example/", f"<article>{PARTS}<p>Edition {i}</p></article>") for i in range(n)]
+    assert extracted(spark, near) == {i: [f"{whole}\nEdition {i}"] for i in range(n)}
 
 
 def test_empty_table_and_long_pages(spark):
