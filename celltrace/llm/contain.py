@@ -60,20 +60,20 @@ def _block_minima(items: np.ndarray, block: int, count: int) -> np.ndarray:
 
 
 class ItemIndex:
-    """A slice of items: shingle sets, and per shingle width and size class the coordinates of its items."""
+    """A slice of items: shingle sets, and per size class the coordinates of its items."""
 
     def __init__(self, ids: list, texts: list[str | None], width: int, percent: int):
-        self.percent, self.ids, self.sets, self.classes = percent, [], [], {}
+        self.width, self.percent, self.ids, self.sets, self.classes = width, percent, [], [], {}
         raw, offsets = words.text_buffers(pa.array(texts, pa.string()))
         hashes, firsts = words.word_hashes(raw, offsets)
-        groups: dict[tuple[int, int], list[int]] = {}
+        groups: dict[int, list[int]] = {}
         for name, first, last in zip(ids, firsts[:-1], firsts[1:]):
             if last > first:
                 items = np.unique(words.shingles(hashes[first:last], width))
-                groups.setdefault((min(width, int(last - first)), 1 << (len(items) - 1).bit_length()), []).append(len(self.ids))
+                groups.setdefault(1 << (len(items) - 1).bit_length(), []).append(len(self.ids))
                 self.ids.append(name)
                 self.sets.append(items)
-        for (run, size_class), members in groups.items():
+        for size_class, members in groups.items():
             count = coordinates(size_class, percent)
             values = np.stack([_hashes(self.sets[i], count).min(axis=0) for i in members])
             flat, owners = values.ravel(), np.repeat(np.array(members), count)
@@ -81,36 +81,35 @@ class ItemIndex:
             order = np.argsort(flat, kind="stable")
             known = np.zeros(1 << 20, bool)
             known[(flat & np.uint64(0xFFFFF)).astype(np.int64)] = True
-            self.classes.setdefault(run, {})[size_class] = (count, flat[order], owners[order], known)
+            self.classes[size_class] = (count, flat[order], owners[order], known)
 
     def search(self, hashes: np.ndarray) -> list[tuple[int, int]]:
         """Items held by the text with these word hashes: place of the item and number of shared shingles."""
-        found = []
-        for run, classes in self.classes.items():
-            if len(hashes) < run:
-                continue
-            items, candidates, minima, block = words.shingles(hashes, run), set(), None, 0
-            count_all = max(count for count, *_ in classes.values())
-            for size_class in sorted(classes):
-                if minima is None:
-                    minima, block = _block_minima(items, size_class, count_all), size_class
-                while block < size_class:
-                    minima, block = np.minimum.reduceat(minima, np.arange(0, len(minima), 2), axis=0), block * 2
-                count, values, owners, known = classes[size_class]
-                windows = np.minimum(minima[:-1, :count], minima[1:, :count]) if len(minima) > 1 and size_class > 1 else minima[:, :count]
-                keys = windows ^ words.mix(np.arange(count, dtype=np.uint64))
-                keys = np.unique(keys[known[(keys & np.uint64(0xFFFFF)).astype(np.int64)]])
-                low, high = np.searchsorted(values, keys, "left"), np.searchsorted(values, keys, "right")
-                for a, b in zip(low[high > low], high[high > low]):
-                    candidates.update(owners[a:b].tolist())
-            if candidates:
-                items = np.unique(items)
-                for i in sorted(candidates):
-                    wanted = self.sets[i]
-                    places = np.minimum(np.searchsorted(items, wanted), len(items) - 1)
-                    shared = int((items[places] == wanted).sum())
-                    if 100 * shared >= self.percent * len(wanted):
-                        found.append((i, shared))
+        found, candidates, minima, block = [], set(), None, 0
+        if not len(hashes) or not self.classes:
+            return found
+        items = words.shingles(hashes, self.width)
+        count_all = max(count for count, *_ in self.classes.values())
+        for size_class in sorted(self.classes):
+            if minima is None:
+                minima, block = _block_minima(items, size_class, count_all), size_class
+            while block < size_class:
+                minima, block = np.minimum.reduceat(minima, np.arange(0, len(minima), 2), axis=0), block * 2
+            count, values, owners, known = self.classes[size_class]
+            windows = np.minimum(minima[:-1, :count], minima[1:, :count]) if len(minima) > 1 and size_class > 1 else minima[:, :count]
+            keys = windows ^ words.mix(np.arange(count, dtype=np.uint64))
+            keys = np.unique(keys[known[(keys & np.uint64(0xFFFFF)).astype(np.int64)]])
+            low, high = np.searchsorted(values, keys, "left"), np.searchsorted(values, keys, "right")
+            for a, b in zip(low[high > low], high[high > low]):
+                candidates.update(owners[a:b].tolist())
+        if candidates:
+            items = np.unique(items)
+            for i in sorted(candidates):
+                wanted = self.sets[i]
+                places = np.minimum(np.searchsorted(items, wanted), len(items) - 1)
+                shared = int((items[places] == wanted).sum())
+                if 100 * shared >= self.percent * len(wanted):
+                    found.append((i, shared))
         return found
 
     def rows(self, column: pa.Array) -> Iterator[list[tuple[int, int]]]:
@@ -148,8 +147,9 @@ def contained_items(
 ) -> DataFrame:
     """``(id, item id, n_shingles, n_shared, containment)`` for every item held by a row of ``docs``.
 
-    An item is held if ``100 * n_shared >= percent * n_shingles`` over distinct ``width``-word shingles; an item with fewer
-    words counts as one shingle of all its words. Null and empty texts hold nothing and are held by nothing;
+    An item is held if ``100 * n_shared >= percent * n_shingles`` over distinct ``width``-word shingles. A text of fewer
+    words is one shingle of all its words, on both sides: so an item below the width is held only by a document that is the item, word by
+    word, and a word or two inside a long text are no match. Null and empty texts hold nothing and are held by nothing;
     repeated rows and items are reported each.
     """
     spark = docs.sparkSession

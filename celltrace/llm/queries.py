@@ -47,8 +47,8 @@ def circulant_minhash(spark: SparkSession, folder: str) -> DataFrame:
         SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w
         FROM documents),
     doc_shingles AS (
-        SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, len(w) - 4), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
-        FROM doc_words WHERE len(w) > 4),
+        SELECT DISTINCT doc_id, unnest(list_transform(generate_series(1, greatest(len(w) - 4, 1)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s
+        FROM doc_words WHERE len(w) > 0),
     sizes AS (SELECT item_id, count(*) AS n FROM item_shingles GROUP BY item_id),
     shared AS (SELECT doc_id, item_id, count(*) AS k FROM doc_shingles JOIN item_shingles USING (s) GROUP BY doc_id, item_id)
     SELECT doc_id, item_id, n AS n_shingles, k AS n_shared, k::DOUBLE / n AS containment

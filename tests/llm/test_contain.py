@@ -1,9 +1,10 @@
 import random
 
+import duckdb
 import pytest
 
-from celltrace.llm import contain
-from tests.llm.helpers import DOCS, edited, nothing, random_text, shingle_set, with_clashes, word_list
+from celltrace.llm import contain, queries
+from tests.llm.helpers import DOCS, edited, nothing, random_text, shingle_set, with_clashes
 
 ITEMS = "item_id long, text string"
 
@@ -12,10 +13,8 @@ def brute(docs, items, percent=80):
     out = set()
     for item, text in items:
         q = shingle_set(text, 5)
-        width = min(5, len(word_list(text)))
         for doc in docs:
-            w = word_list(doc[1])
-            d = shingle_set(doc[1], width) if width and len(w) >= width else frozenset()
+            d = shingle_set(doc[1], 5)
             if q and 100 * len(q & d) >= percent * len(q):
                 out.add((doc[0], item, len(q), len(q & d)))
     return out
@@ -46,6 +45,20 @@ def test_equals_brute_force(spark, seed):
     assert all(r.containment == r.n_shared / r.n_shingles for r in found)
 
 
+def test_items_of_one_to_four_words(spark):
+    items = [(1, "yes"), (2, "Yes no"), (3, "one two three"), (4, "a b c d"), (5, "a b c d e")]
+    texts = ["yes", "YES\n", "yes no", "yes it is no use", "no yes", "one two three", "one two three four five six", "a b c d", "a b c d e", "x a b c d e", "a b c"]
+    docs = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    frame, table = spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS)
+    found = {(r.doc_id, r.item_id) for r in contain.contained_items(frame, table).collect()}
+    assert found == {(0, 1), (1, 1), (2, 2), (5, 3), (7, 4), (8, 5), (9, 5)} == {x[:2] for x in brute(docs, items)}
+    con = duckdb.connect()
+    con.execute("CREATE TABLE documents AS SELECT * FROM (VALUES " + ", ".join(f"({i}, $${t}$$)" for i, t, *_ in docs) + ") AS d(doc_id, text)")
+    con.execute("CREATE TABLE benchmark AS SELECT * FROM (VALUES " + ", ".join(f"({i}, $${t}$$)" for i, t in items) + ") AS d(item_id, text)")
+    assert {r[:2] for r in con.execute(queries.ORACLE["op7_minhash_containment"]).fetchall()} == found
+    assert sorted(r.doc_id for r in contain.decontaminate(frame, table).collect()) == [3, 4, 6, 10]
+
+
 def test_slices_and_decontaminate(spark, monkeypatch):
     monkeypatch.setattr(contain, "SLICE_SHINGLES", 60)
     docs, items = data(3)
