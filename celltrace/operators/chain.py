@@ -28,8 +28,8 @@ def cluster_cells(
     lognorm = cut(normalize.normalize_log1p(qc.keep_cells(counts, cells)))
     flags = normalize.hvg_select(lognorm, cells, genes, max_mean=max_mean)
     chosen = cut(flags.filter("highly_variable").select("gene"))
-    residuals, _ = matrix.regress_out(normalize.keep_genes(lognorm, chosen), cells, chosen)
-    scaled = cut(matrix.scale_vectors(cut(residuals)))
+    scaled, _ = matrix.regress_out(normalize.keep_genes(lognorm, chosen), cells, chosen, scaled=True)
+    scaled = cut(scaled)
     scores, _ = matrix.pca(scaled.withColumn("id", F.to_json(F.struct(*CELL))), components)
     scores = cut(scores)
     near = cut(graph.knn_graph(scores, neighbours - 1))

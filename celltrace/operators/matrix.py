@@ -23,8 +23,10 @@ from celltrace.session import cut, shuffle_width
 
 # A model sent to every executor: at most this many numbers (512 MB).
 MODEL_LIMIT = 1 << 26
-# Columns of one Gram matrix: at most this many (2 GB in one task).
+# Columns up to which components come from a Gram matrix (2 GB in one task); wider rows are sketched.
 GRAM_LIMIT = 16_384
+# Genes of a dense vector, whose names and coefficients are sent to every executor.
+AXIS_LIMIT = 1 << 20
 # Numbers in the vectors of a group that one task may hold (128 MB).
 ROWS_LIMIT = 1 << 24
 _CHUNK = 1 << 21
@@ -39,10 +41,11 @@ def check_model(size: int, what: str) -> None:
 
 
 def regression_coefficients(matrix: DataFrame, covariates: DataFrame, genes: DataFrame, names: tuple[str, str]) -> DataFrame:
-    """Least squares with intercept on two covariates for every gene: ``(gene, b0, b1, b2)``.
+    """Least squares with intercept on two covariates for every gene: ``(gene, b0, b1, b2, spread)``.
 
     The covariate moments are shared by all genes; per gene only the stored
-    values enter the sums, zeros add nothing to them.
+    values enter the sums, zeros add nothing to them. Residuals have mean 0, and their sample deviation ``spread`` follows from
+    the same sums; what is left of a gene that the covariates explain up to rounding counts as 0.
     """
     a, b = names
     shared = covariates.agg(
@@ -57,9 +60,12 @@ def regression_coefficients(matrix: DataFrame, covariates: DataFrame, genes: Dat
     sums = (
         matrix.join(covariates.select(*CELL, a, b), CELL)
         .groupBy("gene")
-        .agg(F.sum("x").alias("_y"), F.sum(F.col("x") * F.col(a)).alias("_ya"), F.sum(F.col("x") * F.col(b)).alias("_yb"))
-    )
-    rows = genes.select("gene").join(sums, "gene", "left").fillna(0.0, ["_y", "_ya", "_yb"]).withColumn("s", one)
+        .agg(
+            F.sum("x").alias("_y"), F.sum(F.col("x") * F.col("x")).alias("_yy"),
+            F.sum(F.col("x") * F.col(a)).alias("_ya"), F.sum(F.col("x") * F.col(b)).alias("_yb"),
+        )
+    )
+    rows = genes.select("gene").join(sums, "gene", "left").fillna(0.0, ["_y", "_yy", "_ya", "_yb"]).withColumn("s", one)
     s = {f: F.col(f"s.{f}") for f in ("n", "ma", "mb", "saa", "sbb", "sab")}
     say = F.col("_ya") - s["ma"] * F.col("_y")
     sby = F.col("_yb") - s["mb"] * F.col("_y")
@@ -67,66 +73,61 @@ def regression_coefficients(matrix: DataFrame, covariates: DataFrame, genes: Dat
     solvable = det > s["saa"] * s["sbb"] * 1e-12
     b1 = F.when(solvable, F.try_divide(say * s["sbb"] - sby * s["sab"], det)).when(s["saa"] > 0, F.try_divide(say, s["saa"])).otherwise(0.0)
     b2 = F.when(solvable, F.try_divide(sby * s["saa"] - say * s["sab"], det)).when(s["saa"] > 0, 0.0).when(s["sbb"] > 0, F.try_divide(sby, s["sbb"])).otherwise(0.0)
-    solved = rows.withColumn("b1", b1).withColumn("b2", b2)
-    return solved.select("gene", ((F.col("_y") / s["n"]) - F.col("b1") * s["ma"] - F.col("b2") * s["mb"]).alias("b0"), "b1", "b2")
+    solved = rows.withColumn("b1", b1).withColumn("b2", b2).withColumn("_say", say).withColumn("_sby", sby)
+    whole = F.col("_yy") - F.col("_y") * F.col("_y") / s["n"]
+    left = whole - F.col("b1") * F.col("_say") - F.col("b2") * F.col("_sby")
+    spread = F.when(left > whole * 1e-12, F.sqrt(F.try_divide(left, s["n"] - 1))).otherwise(0.0)
+    return solved.select("gene", ((F.col("_y") / s["n"]) - F.col("b1") * s["ma"] - F.col("b2") * s["mb"]).alias("b0"), "b1", "b2", F.coalesce(spread, F.lit(0.0)).alias("spread"))
 
 
 def gene_axis(genes: DataFrame) -> list[str]:
-    """Sorted gene names, the positions of a dense vector (bounded by ``GRAM_LIMIT``)."""
-    names = [r[0] for r in genes.select("gene").distinct().limit(GRAM_LIMIT + 1).collect()]
-    if len(names) > GRAM_LIMIT:
-        raise ValueError(f"dense vectors are limited to {GRAM_LIMIT} genes; select variable genes first")
+    """Sorted gene names, the positions of a dense vector (bounded by ``AXIS_LIMIT``)."""
+    names = [r[0] for r in genes.select("gene").distinct().limit(AXIS_LIMIT + 1).collect()]
+    if len(names) > AXIS_LIMIT:
+        raise ValueError(f"dense vectors are limited to {AXIS_LIMIT} genes; select variable genes first")
     return sorted(names)
 
 
 def dense_vectors(
-    entries: DataFrame, cells: DataFrame, bases: dict[tuple, np.ndarray], names: list[str], group: list[str] | None = None
+    entries: DataFrame, cells: DataFrame, base: np.ndarray, names: list[str], scale: np.ndarray | None = None, max_value: float | None = None
 ) -> DataFrame:
-    """Dense vector of every cell: ``(1, covariates) @ base`` of its group plus its stored entries.
+    """Dense vector of every cell: ``(1, covariates) @ base`` plus its stored entries, then times ``scale`` and clipped to +-``max_value``.
 
     ``entries(sample, cell, idx, x)`` hold positions in the vector; a cell has at most one entry per
-    gene. The bases are sized by genes and groups and are checked before they are sent out.
+    gene. Base and scale are sized by genes and are checked before they are sent out; vectors are made a bounded number at a time.
     """
-    group = group or []
-    check_model(sum(b.size for b in bases.values()), "dense vector bases")
-    shared = entries.sparkSession.sparkContext.broadcast(bases)
-
-    columns = list(dict.fromkeys([*group, *CELL]))
+    check_model(base.size + (0 if scale is None else scale.size), "dense vector bases")
+    shared = entries.sparkSession.sparkContext.broadcast((base, scale))
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            places: dict[tuple, list[int]] = {}
-            if group:
-                for i, key in enumerate(zip(*[batch.column(g).to_pylist() for g in group])):
-                    places.setdefault(key, []).append(i)
-            pieces = [(key, batch.take(pa.array(at))) for key, at in places.items()] if group else [((), batch)]
-            for key, rows in pieces:
-                base = shared.value[key]
-                width = base.shape[1]
-                step = max(1, _CHUNK // max(width, 1))
-                for start in range(0, rows.num_rows, step):
-                    part = rows.slice(start, step)
-                    design = np.column_stack(
-                        [np.ones(part.num_rows), *[part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names]]
-                    )
-                    dense = design @ base
-                    counts = pc.fill_null(pc.list_value_length(part.column("idx")), 0).to_numpy(zero_copy_only=False)
-                    row = np.repeat(np.arange(part.num_rows), counts)
-                    idx, val = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("idx", "val"))
-                    dense[row, idx.astype(int)] += val
-                    ends = pa.array(np.arange(part.num_rows + 1, dtype="int32") * width)
-                    v = pa.ListArray.from_arrays(ends, pa.array(dense.ravel()))
-                    yield pa.RecordBatch.from_arrays([*[part.column(c) for c in columns], v], names=[*columns, "v"])
+        base, scale = shared.value
+        width = base.shape[1]
+        step = max(1, _CHUNK // max(width, 1))
+        for rows in batches:
+            for start in range(0, rows.num_rows, step):
+                part = rows.slice(start, step)
+                design = np.column_stack([np.ones(part.num_rows), *[part.column(c).to_numpy(zero_copy_only=False).astype(float) for c in names]])
+                dense = design @ base
+                counts = pc.fill_null(pc.list_value_length(part.column("idx")), 0).to_numpy(zero_copy_only=False)
+                row = np.repeat(np.arange(part.num_rows), counts)
+                idx, val = (part.column(c).flatten().to_numpy(zero_copy_only=False) for c in ("idx", "val"))
+                dense[row, idx.astype(int)] += val
+                if scale is not None:
+                    dense *= scale
+                if max_value is not None:
+                    np.clip(dense, -max_value, max_value, out=dense)
+                ends = pa.array(np.arange(part.num_rows + 1, dtype="int32") * width)
+                v = pa.ListArray.from_arrays(ends, pa.array(dense.ravel()))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in CELL], v], names=[*CELL, "v"])
 
     stored = (
         entries.groupBy(*CELL)
         .agg(F.collect_list(F.struct("idx", "x")).alias("_e"))
         .select(*CELL, F.col("_e.idx").alias("idx"), F.col("_e.x").alias("val"))
     )
-    extra = [g for g in group if g not in CELL]
-    rows = cells.select(*extra, *CELL, *names).join(stored, CELL, "left").repartition(shuffle_width(entries.sparkSession), *CELL)
+    rows = cells.select(*CELL, *names).join(stored, CELL, "left").repartition(shuffle_width(entries.sparkSession), *CELL)
     types = {f.name: f.dataType.simpleString() for f in rows.schema.fields}
-    return rows.mapInArrow(emit, ", ".join(f"{c} {types[c]}" for c in columns) + ", v array<double>")
+    return rows.mapInArrow(emit, ", ".join(f"{c} {types[c]}" for c in CELL) + ", v array<double>")
 
 
 def _indexed(matrix: DataFrame, axis: list[str]) -> DataFrame:
@@ -135,7 +136,7 @@ def _indexed(matrix: DataFrame, axis: list[str]) -> DataFrame:
 
 
 def densify(matrix: DataFrame, cells: DataFrame, axis: list[str]) -> DataFrame:
-    return dense_vectors(_indexed(matrix, axis), cells, {(): np.zeros((1, len(axis)))}, [])
+    return dense_vectors(_indexed(matrix, axis), cells, np.zeros((1, len(axis))), [])
 
 
 def regress_out(
@@ -143,15 +144,23 @@ def regress_out(
     covariates: DataFrame,
     genes: DataFrame,
     names: tuple[str, str] = ("total_counts", "pct_counts_mt"),
+    scaled: bool = False,
+    max_value: float | None = 10.0,
 ) -> tuple[DataFrame, list[str]]:
-    """Residual vectors of all cells over the given genes, with the gene axis."""
+    """Residual vectors of all cells over the given genes, with the gene axis.
+
+    ``scaled`` gives z-scores of the residuals, clipped to +-``max_value``, in the same pass: their deviations are known from the
+    regression's own sums (a deviation of 0 counts as 1).
+    """
     fit = regression_coefficients(matrix, covariates, genes, names)
-    rows = sorted(fit.limit(GRAM_LIMIT + 1).collect())
-    if len(rows) > GRAM_LIMIT:
-        raise ValueError(f"residuals are limited to {GRAM_LIMIT} genes; select variable genes first")
+    rows = sorted(fit.limit(AXIS_LIMIT + 1).collect())
+    if len(rows) > AXIS_LIMIT:
+        raise ValueError(f"residuals are limited to {AXIS_LIMIT} genes; select variable genes first")
     axis = [r["gene"] for r in rows]
     base = np.array([[r["b0"], r["b1"], r["b2"]] for r in rows], dtype=float).reshape(-1, 3).T
-    return dense_vectors(_indexed(matrix, axis), covariates, {(): -base}, list(names)), axis
+    spread = np.array([r["spread"] for r in rows], dtype=float)
+    scale = 1.0 / np.where(spread > 0, spread, 1.0) if scaled else None
+    return dense_vectors(_indexed(matrix, axis), covariates, -base, list(names), scale, max_value if scaled else None), axis
 
 
 def scale_vectors(vectors: DataFrame, max_value: float | None = 10.0, v: str = "v") -> DataFrame:
@@ -299,11 +308,16 @@ def pca_fit(vectors: DataFrame, k: int = 50, group: list[str] | None = None, v:
     streaming pass sums the Gram rows, so no task holds the cells of a group; the eigenvalue step
     sees genes x genes numbers only. Groups whose cells fit ``ROWS_LIMIT`` numbers, and have
     fewer cells than genes, are decomposed directly. Both ways give ``min(k, columns, cells - 1)`` components, one at least.
+    Rows of more than ``GRAM_LIMIT`` columns, without groups, go through ``sketch.sketched_components``.
     """
     group = group or []
     sizes = vectors.groupBy(*group).agg(F.count(F.lit(1)).alias("_n"), F.max(F.size(v)).alias("_d"))
     if (sizes.agg(F.max("_d")).first()[0] or 0) > GRAM_LIMIT:
-        raise ValueError(f"principal components are limited to {GRAM_LIMIT} columns")
+        if group:
+            raise ValueError(f"components of groups are limited to {GRAM_LIMIT} columns")
+        from celltrace.operators.sketch import sketched_components
+
+        return sketched_components(vectors, k, v).drop("residual")
     small = (F.col("_n") < F.col("_d")) & (F.col("_n") * F.col("_d") <= ROWS_LIMIT)
     types = {f.name: f.dataType.simpleString() for f in vectors.schema.fields}
     head = "".join(f"{g} {types[g]}, " for g in group)

@@ -190,8 +190,8 @@ def _(t: Tables):
         SELECT sample, cell, gene, floor(greatest(-10, least(10, (residual - m) / CASE WHEN s = 0 THEN 1 ELSE s END)) * 10000.0::DOUBLE + 0.5) / 10000.0::DOUBLE AS z FROM res JOIN sd USING (gene)""",
 )
 def _(t: Tables):
-    vectors, axis = matrix.regress_out(*variable_part(t))
-    return matrix.vectors_to_long(matrix.scale_vectors(cut(vectors)), axis, "z").withColumn("z", quick_rounded("z"))
+    vectors, axis = matrix.regress_out(*variable_part(t), scaled=True)
+    return matrix.vectors_to_long(vectors, axis, "z").withColumn("z", quick_rounded("z"))
 
 
 CLUSTERS = """

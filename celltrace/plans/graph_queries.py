@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from celltrace.operators import approximate, chain, doublets, graph, matrix, qc
+from celltrace.operators import approximate, chain, doublets, graph, matrix, qc, sketch
 from celltrace.plans.count_queries import UP_TO_GOOD
 from celltrace.plans.proxies import HVG_MAX_MEAN, Tables
 from celltrace.plans.registry import long, query, rounded
@@ -154,6 +154,21 @@ def _(t: Tables):
     return total.select("components", rounded("total").alias("total_variance"), (own < 1e-8).alias("scores_have_the_variance"), (other < 1e-8).alias("scores_are_uncorrelated"))
 
 
+@query(
+    "sketched_components",
+    """WITH x AS (SELECT unnest(CAST(embedding AS DOUBLE[])) AS v, generate_subscripts(embedding, 1) AS d FROM embeddings), s AS (SELECT var_samp(v) AS v FROM x GROUP BY d)
+       SELECT 40::BIGINT AS components, round(sum(v), 6) + 0.0 AS total_variance, true AS same_variances, true AS settled FROM s""",
+)
+def _(t: Tables):
+    """Components by sketches beside those of the Gram matrix."""
+    exact = matrix.pca_fit(t.vectors, 40).select("component", F.col("variance").alias("exact"))
+    both = sketch.sketched_components(t.vectors, 40).join(exact, "component")
+    return both.agg(
+        F.count(F.lit(1)).alias("components"), rounded(F.max(F.col("variance") / F.col("ratio"))).alias("total_variance"),
+        (F.max(F.abs(F.col("variance") - F.col("exact"))) < 1e-8).alias("same_variances"), (F.max("residual") < 1e-6).alias("settled"),
+    )
+
+
 @query("computed_clusters", f"WITH {UP_TO_GOOD} SELECT sample, count(*) AS n, true AS several_clusters FROM good GROUP BY sample")
 def _(t: Tables):
     """Counts to clusters, then cells per cluster and sample: every good cell is in one of several clusters."""

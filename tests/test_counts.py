@@ -123,6 +123,39 @@ def test_regression_residuals_and_scale(spark, dense):
     assert np.allclose(z, np.clip((want - want.mean(axis=0)) / want.std(axis=0, ddof=1), -1.5, 1.5))
 
 
+def test_scaled_residuals_in_one_pass(spark, dense):
+    rng = np.random.default_rng(5)
+    a, b = rng.normal(size=60), rng.normal(size=60)
+    x = dense.copy()
+    x[:, 1], x[:, 2] = 2 + 3 * a - b, 4.0  # explained by the covariates, and constant
+    cov = spark.createDataFrame([("s", f"c{i:03d}", float(a[i]), float(b[i])) for i in range(60)], "sample string, cell string, a double, b double")
+    long = to_long(spark, x)
+    genes = long.select("gene").distinct()
+    vectors, axis = matrix.regress_out(long, cov, genes, ("a", "b"))
+    want = np.array([r.v for r in matrix.scale_vectors(vectors, 1.5).orderBy("cell").collect()])
+    scaled, again = matrix.regress_out(long, cov, genes, ("a", "b"), scaled=True, max_value=1.5)
+    got = np.array([r.v for r in scaled.orderBy("cell").collect()])
+    plain = [i for i, g in enumerate(axis) if int(g[1:]) not in (1, 2)]
+    assert again == axis and np.allclose(got[:, plain], want[:, plain])
+    rest = [i for i in range(len(axis)) if i not in plain]
+    assert np.allclose(got[:, rest], 0, atol=1e-9)
+
+
+def test_twenty_thousand_genes(spark):
+    rng = np.random.default_rng(6)
+    x = rng.poisson(0.02, (12, 20_000)).astype(float)
+    a, b = rng.normal(size=12), rng.normal(size=12)
+    cov = spark.createDataFrame([("s", f"c{i:03d}", float(a[i]), float(b[i])) for i in range(12)], "sample string, cell string, a double, b double")
+    genes = spark.range(20_000).select(F.concat(F.lit("g"), F.col("id").cast("string")).alias("gene"))
+    scaled, axis = matrix.regress_out(to_long(spark, x), cov, genes, ("a", "b"), scaled=True)
+    got = np.array([r.v for r in scaled.orderBy("cell").collect()])
+    design = np.column_stack([np.ones(12), a, b])
+    x = x[:, [int(g[1:]) for g in axis]]
+    left = x - design @ np.linalg.lstsq(design, x, rcond=None)[0]
+    std = left.std(axis=0, ddof=1)
+    assert got.shape == (12, 20_000) and np.allclose(got, np.clip(left / np.where(std > 1e-9, std, 1), -10, 10), atol=1e-6)
+
+
 @pytest.mark.parametrize("shape", [(60, 12), (10, 25)])
 def test_components(spark, shape):
     rng = np.random.default_rng(7)
