@@ -141,6 +141,21 @@ def test_communities_are_settled(half_thousand):
     assert left.filter("gain > 1e-8").count() == 0
 
 
+@pytest.mark.parametrize("limits", [(600, 1 << 18), (1 << 20, 12)])
+def test_communities_in_parts_and_with_hubs(half_thousand, monkeypatch, limits):
+    monkeypatch.setattr(graph, "PART_LINKS", limits[0])
+    monkeypatch.setattr(graph, "HUB_LINKS", limits[1])
+    a, edges = half_thousand
+    arcs, looked = graph.both_directions(edges).cache(), []
+    alone = arcs.select(F.col("src").alias("id"), F.col("src").alias("label")).distinct()
+    found, moved = graph._local_moves(arcs, 0.8, alone, graph.MIN_GAIN, looked)
+    labels = np.unique([r.label for r in found.orderBy("id").collect()], return_inverse=True)[1]
+    assert moved and gaining(a, labels) == []
+    # the first and the last look see all links, the ones before a last look ever fewer
+    assert looked[0] == arcs.count() == looked[-1], looked
+    assert len(looked) >= 4 and looked[-2] < looked[0] / 2, looked
+
+
 def spark_labels(edges, found):
     return edges.sparkSession.createDataFrame(list(found.items()), "id string, label string")
 
