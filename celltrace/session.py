@@ -48,6 +48,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 _WRITTEN: list[str] = []
+_NAMES: list[str] = []
 
 
 def remember(folder: str) -> str:
@@ -58,6 +59,8 @@ def remember(folder: str) -> str:
 
 def drop_cuts(spark: SparkSession) -> None:
     """Delete all tables that this program has written on its way: to be called once the results have been stored."""
+    while _NAMES:
+        spark.sql(f"DROP TABLE IF EXISTS {_NAMES.pop()}")
     while _WRITTEN:
         path = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
@@ -75,6 +78,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
+def bucketed(df: DataFrame, column: str) -> DataFrame:
+    """Write ``df`` as a table bucketed by ``column`` and go on from that table: joins on the column do not shuffle it any more.
+
+    The table lies in the shared checkpoint folder; its name in the session's catalog goes with ``drop_cuts``.
+    """
+    spark, name = df.sparkSession, f"celltrace_{uuid.uuid4().hex}"
+    folder = remember(f"{ensure_checkpoint_dir(spark)}/{name}")
+    df.write.format("parquet").bucketBy(shuffle_width(spark), column).sortBy(column).option("path", folder).saveAsTable(name)
+    _NAMES.append(name)
+    return spark.table(name)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     """Partitions for steps whose cost is computing, not bytes: adaptive execution sizes partitions by
     bytes and would put a small but heavy table into one task."""

@@ -3,6 +3,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from celltrace.operators import doublets, graph, matrix, normalize
+from celltrace.session import bucketed, cut
 from tests.conftest import rows
 from tests.test_counts import all_cells, to_long
 
@@ -170,6 +171,32 @@ def test_layout_is_the_spectral_plane(half_thousand):
     assert abs(plane[:, 0] @ vectors[:, -2]) > 0.999 and abs(plane[:, 1] @ vectors[:, -3]) > 0.999
 
 
+def test_multiplications_do_not_shuffle_the_links(half_thousand):
+    edges = half_thousand[1]
+    spark = edges.sparkSession
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        links = bucketed(graph.both_directions(edges).withColumnRenamed("weight", "s"), "dst")
+        state = cut(links.select(F.col("dst").alias("id")).distinct().withColumn("v0", F.lit(1.0)))
+        plan = graph.multiplied(links, state, ["v0"], ["w0"])
+        text = plan._jdf.queryExecution().executedPlan().toString()
+        scan = next(i for i, line in enumerate(text.splitlines()) if "FileScan" in line and "dst" in line and "Bucketed: true" in line)
+        above = []
+        depth = len(text.splitlines()[scan]) - len(text.splitlines()[scan].lstrip(" :+-"))
+        for line in reversed(text.splitlines()[:scan]):
+            here = len(line) - len(line.lstrip(" :+-"))
+            if here < depth:
+                above.append(line)
+                depth = here
+            if "SortMergeJoin" in line:
+                break
+        assert "SortMergeJoin" in above[-1] and not any("Exchange" in line for line in above)
+        assert plan.agg(F.sum("w0")).first()[0] == pytest.approx(half_thousand[0].sum())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_layout_that_does_not_settle_is_an_error(half_thousand):
     with pytest.raises(RuntimeError):
         graph.graph_layout(half_thousand[1], max_rounds=1)
