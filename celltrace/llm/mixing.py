@@ -107,8 +107,8 @@ def slots(scratch: Scratch, plan: Mixture, seed: int, shard_blocks: int) -> Data
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(place), shard)), pa.array(place), pa.array(counts[place])], ["shard", "place", "drawn"])
 
     drawn = scratch.cut(spark.range(shards).mapInArrow(draw, "shard long, place long, drawn long"), "drawn")
-    before = Window.partitionBy("place").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
-    numbered = drawn.withColumn("first", F.coalesce(F.sum("drawn").over(before), F.lit(0)))
+    numbered = stream_offsets(scratch, drawn.select(F.col("place").alias("source"), F.col("drawn").alias("size"), "shard"), ["source", "shard"], "draws")
+    numbered = numbered.select("shard", F.col("source").alias("place"), F.col("size").alias("drawn"), F.col("offset").alias("first"))
     wanted = spark.createDataFrame([(i, int(q)) for i, q in enumerate(plan.quotas)], "place long, quota long")
     numbered = numbered.join(wanted, "place").select("shard", "place", "first", F.least("drawn", F.col("quota") - F.col("first")).alias("n"))
     sums = drawn.groupBy("place").agg(F.sum("drawn").alias("first"))
@@ -130,7 +130,7 @@ def slots(scratch: Scratch, plan: Mixture, seed: int, shard_blocks: int) -> Data
     return scratch.cut(takes.mapInArrow(spread, "shard long, place long, block long, pass_no long"), "slots")
 
 
-def stream_offsets(scratch: Scratch, sized: DataFrame, order: list[str]) -> DataFrame:
+def stream_offsets(scratch: Scratch, sized: DataFrame, order: list[str], name: str = "placed") -> DataFrame:
     """``sized`` with ``offset``, the words of its source before it: running sums inside the partitions of one range sort,
     plus the sums of the partitions before."""
 
@@ -147,7 +147,7 @@ def stream_offsets(scratch: Scratch, sized: DataFrame, order: list[str]) -> Data
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array([part] * len(offsets), pa.int32()), pa.array(offsets, pa.int64())], [*batch.schema.names, "part", "inside"])
 
     schema = T.StructType([*sized.schema.fields, T.StructField("part", T.IntegerType()), T.StructField("inside", T.LongType())])
-    placed = scratch.cut(sized.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema), "placed")
+    placed = scratch.cut(sized.repartitionByRange(*order).sortWithinPartitions(*order).mapInArrow(run, schema), name)
     sums = placed.groupBy(F.col("source").alias("_s"), F.col("part").alias("_p")).agg(F.sum("size").alias("_n"))
     before = Window.partitionBy("_s").orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))

@@ -63,7 +63,8 @@ def count_tokens(docs: DataFrame, cache: str, tokenizer: str, limit: int = 4096,
         return read_cache(spark, cache).filter(F.col("tokenizer") == version)
 
     scratch = Scratch(spark)
-    misses = rows.select("digest", "text").join(known().select("digest"), "digest", "left_anti").dropDuplicates(["digest"])
+    # copies go first, so that one row of a text meets the cache however often it occurs
+    misses = rows.select("digest", "text").dropDuplicates(["digest"]).join(known().select("digest"), "digest", "left_anti")
     counted = scratch.cut(misses.mapInArrow(run, CACHE), "counted")  # the cache gets whole runs only
     counted.write.mode("append").parquet(cache)
     scratch.drop("counted")

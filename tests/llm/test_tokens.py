@@ -142,3 +142,17 @@ def test_digest_cache_encodes_only_misses(spark):
     spark.createDataFrame(stored, token_counts.CACHE).write.mode("append").parquet(cache)
     assert token_counts.count_tokens(more, cache, PIECE).first().n_tokens == 12345
     assert token_counts.count_tokens(more, cache, WORD).first().n_tokens == len(Tokenizer.from_file(WORD).encode("marked text", add_special_tokens=False).ids)
+
+
+def test_copies_meet_a_filled_cache_once(spark):
+    """A third of all rows has one text: it is encoded and stored once, and a second run encodes only what is new."""
+    cache = Scratch(spark).path("cache")
+    rows = [(i, "hot text" if i % 3 == 0 else f"text {i % 50}", "", "", 0) for i in range(600)]
+    first = token_counts.count_tokens(spark.createDataFrame(rows, DOCS).repartition(4), cache, PIECE)
+    assert first.count() == 600 and token_counts.read_cache(spark, cache).count() == 51
+    more = rows + [(1000 + i, f"new {i}", "", "", 0) for i in range(5)]
+    frame = spark.createDataFrame(more, DOCS)
+    second = {r.doc_id: r.n_tokens for r in token_counts.count_tokens(frame, cache, PIECE).collect()}
+    assert token_counts.read_cache(spark, cache).count() == 56
+    tool = SentencePieceProcessor(model_file=PIECE)
+    assert second == {r[0]: len(tool.encode(r[1])) for r in more}
