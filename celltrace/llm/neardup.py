@@ -9,7 +9,9 @@ The search keeps every link between different shingle sets that share a band, wi
 2. Every band bucket is compared with its most central class, the one that shares most buckets with others. Large groups
    of near copies fall into one component here.
 3. Classes of a bucket that are still in different components are compared by their whole signatures; where these agree
-   well enough for the threshold, the class of the smaller component is compared with the blocks of the larger one.
+   well enough for the threshold, the class of the smaller component is compared with the blocks of the larger one. A bucket of many classes is
+   split by the other bands first: a pair at the threshold shares one of the 31 others but for a chance of 8e-8, and classes that have
+   nothing but this bucket in common never meet.
 
 Comparisons run in sorted streams: a block holds a bounded part in memory, and the others pass by. Links are
 confirmed on full shingle sets. With 32 bands of 4 rows a pair at the threshold of 0.8 shares no band with
@@ -37,6 +39,8 @@ BLOCK_SHINGLES = 1 << 19
 BLOCK_MEMBERS = 512
 #: Classes of one signature block, and others that pass by it.
 SKETCH_ANCHORS, SKETCH_STREAM = 1024, 1 << 16
+#: Classes of a bucket above which it is split by the other bands of its classes.
+LARGE_BUCKET = 2048
 #: Chance that a pair at the threshold agrees in fewer coordinates than step 3 asks for.
 MISS = 1e-7
 _CELLS = 1 << 16
@@ -216,6 +220,12 @@ def candidates(rows: DataFrame, agreement: int) -> DataFrame:
     return rows.repartition(*keys).sortWithinPartitions(*keys, "role").mapInArrow(run, "cid long, block long").distinct()
 
 
+def mixed(grouped: DataFrame) -> DataFrame:
+    """``(bucket, cid, component)`` of the buckets that hold more than one component."""
+    several = grouped.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
+    return grouped.join(several, "bucket").select("bucket", "cid", "component")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -268,8 +278,11 @@ def near_duplicates(
 
     # Buckets that still hold more than one component: the smaller ones against blocks of the larger ones.
     grouped = members.join(first.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
-    mixed = grouped.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high").select("bucket")
-    grouped = scratch.cut(grouped.join(mixed, "bucket").select("bucket", "cid", "component"), "grouped")
+    grouped = mixed(grouped)
+    large = scratch.cut(grouped.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE_BUCKET).select("bucket"), "large")
+    split = grouped.join(large, "bucket").join(classes.select("cid", "bands"), "cid").select("bucket", "cid", "component", F.explode("bands").alias("band"))
+    split = split.filter("band != bucket").select(F.xxhash64("bucket", "band").alias("bucket"), "cid", "component")
+    grouped = scratch.cut(grouped.join(large, "bucket", "left_anti").select("bucket", "cid", "component").unionByName(mixed(split)), "grouped")
     everyone = classes.select("cid", "n").join(first.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     weights = everyone.groupBy("component").agg(F.sum("n").alias("weight")).join(grouped.select("component").distinct(), "component")
     weights = scratch.cut(weights.withColumn("parts", F.ceil(F.col("weight") / BLOCK_SHINGLES).cast("int")), "weights")
@@ -303,7 +316,7 @@ def near_duplicates(
     final = final.select("cid", F.coalesce("last", "component").alias("component")).join(classes.select("cid", "set_key", "first_id"), "cid")
     names = final.groupBy("component").agg(F.min("first_id").alias("component_id"))
     final = scratch.cut(final.join(names, "component").select("set_key", "component_id"), "final")
-    scratch.drop("members", "needed", "sets", "pairs", "links-1", "links-2", "first-components", "grouped", "weights", "classes")
+    scratch.drop("large", "members", "needed", "sets", "pairs", "links-1", "links-2", "first-components", "grouped", "weights", "classes")
     out = signed.select("id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))

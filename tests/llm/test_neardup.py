@@ -2,6 +2,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from celltrace.llm import neardup
 from celltrace.llm.components import components as linked
@@ -30,7 +31,7 @@ def test_components_equal_all_pairs(spark, width):
 
 
 def test_small_blocks_lose_nothing(spark, monkeypatch):
-    for name, value in (("BLOCK_SHINGLES", 64), ("BLOCK_MEMBERS", 2), ("SKETCH_ANCHORS", 2), ("SKETCH_STREAM", 4)):
+    for name, value in (("BLOCK_SHINGLES", 64), ("BLOCK_MEMBERS", 2), ("SKETCH_ANCHORS", 2), ("SKETCH_STREAM", 4), ("LARGE_BUCKET", 3)):
         monkeypatch.setattr(neardup, name, value)
     rows = corpus(random.Random(9))
     expected = components({r[0]: shingle_set(r[1], 2) for r in rows})
@@ -107,3 +108,24 @@ def test_words_with_one_polynomial_value_are_different(spark):
     rows = [(i, f"{w} here", "en", "s", 0) for i, w in enumerate([*twins(10), *twins(11), twins(10)[0]])]
     found = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, DOCS), width=2).collect()}
     assert found == {0: 0, 1: 1, 2: 2, 3: 3, 4: 0}
+
+
+def test_a_hot_bucket_of_unlinked_classes_stays_in_proportion(spark, monkeypatch):
+    """Classes with one band in common and nothing else: the rows compared grow with their number, not with its square."""
+    rnd, counts = random.Random(5), {}
+    made = neardup.candidates
+
+    def counted(rows, agreement):
+        counts[len(counts)] = rows.count()
+        return made(rows, agreement)
+
+    monkeypatch.setattr(neardup, "candidates", counted)
+    monkeypatch.setattr(neardup, "LARGE_BUCKET", 64)
+    source = neardup.signatures  # everybody's first bucket is 77
+    monkeypatch.setattr(neardup, "signatures", lambda *args: source(*args).withColumn("bands", F.when(F.col("n_shingles") > 0, F.concat(F.array(F.lit(77).cast("long")), F.slice("bands", 2, 31)))))
+    for n in (300, 1200):
+        texts = [random_text(rnd, 40, 100_000) for _ in range(n)]
+        rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts + [edited(rnd, texts[0], 1), edited(rnd, texts[7], 1)])]
+        found = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, DOCS), width=2).collect()}
+        assert found == components({r[0]: shingle_set(r[1], 2) for r in rows}) if n == 300 else found[n] == 0 and found[n + 1] == 7
+    assert counts[1] < 100 and counts[0] < 100
