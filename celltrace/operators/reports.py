@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -84,24 +87,31 @@ def score_histogram(scores: DataFrame, value: str, bins: int = 50, line: float |
 
 
 def score_kde(scores: DataFrame, value: str, points: int = 200) -> DataFrame:
-    """Gaussian density on an even grid with Scott's bandwidth. Equal scores are counted
-    first; every distinct score then adds to the grid sums inside its own map task."""
+    """Gaussian density on an even grid with Scott's bandwidth. Every task adds its scores to a grid of its own and sends that
+    on, so what is shuffled does not depend on the number of scores."""
     stats = scores.agg(
         F.min(value).alias("lo"), F.max(value).alias("hi"), F.count(value).cast("double").alias("n"), F.stddev_samp(value).alias("sd")
     )
     one = stats.select(
         F.struct("lo", "hi", "n", (F.col("sd") * F.pow(F.col("n"), F.lit(-0.2))).alias("h")).alias("s")
     ).scalar()
-    counted = scores.filter(F.col(value).isNotNull()).groupBy(F.col(value).alias("_x")).agg(F.count(F.lit(1)).alias("_c"))
-    spread = counted.withColumn("s", one).select(
-        "_x", "_c", "s", F.explode(F.sequence(F.lit(0), F.lit(points - 1))).alias("point")
-    )
-    at = F.col("s.lo") + F.col("point") * (F.col("s.hi") - F.col("s.lo")) / F.lit(points - 1)
-    z = (at - F.col("_x")) / F.col("s.h")
-    scale = F.col("s.n") * F.col("s.h") * F.lit(math.sqrt(2 * math.pi))
-    return spread.groupBy("point").agg(
-        F.first(at).alias("at"), F.sum(F.col("_c") * F.exp(z * z * -0.5) / scale).alias("density")
-    )
+    rows = scores.filter(F.col(value).isNotNull()).select(F.col(value).cast("double").alias("x"), one.alias("s"))
+    rows = rows.select("x", "s.lo", "s.hi", "s.h")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grid, sums = None, np.zeros(points)
+        for batch in batches:
+            x, lo, hi, h = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            for at in range(0, len(x), 4096):
+                grid = lo[0] + np.arange(points) * (hi[0] - lo[0]) / (points - 1) if grid is None else grid
+                z = (grid[:, None] - x[None, at : at + 4096]) / h[0]
+                sums += np.exp(z * z * -0.5).sum(axis=1)
+        if grid is not None:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(points, dtype=np.int32)), pa.array(grid), pa.array(sums)], ["point", "at", "sum"])
+
+    parts = rows.mapInArrow(run, "point int, at double, sum double").groupBy("point").agg(F.first("at").alias("at"), F.sum("sum").alias("_sum"))
+    scale = parts.withColumn("s", one)
+    return scale.select("point", "at", (F.col("_sum") / (F.col("s.n") * F.col("s.h") * F.lit(math.sqrt(2 * math.pi)))).alias("density"))
 
 
 def marker_expression(lognorm: DataFrame, cells: DataFrame, genes: list[str]) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from celltrace.functions.scalars import fastq_sample, missing_to_null, safe_id
 from celltrace.operators.ordering import global_rank
 from celltrace.operators.qc import unique_names
+from celltrace.session import cut
 
 MATRIX_DIR = "filtered_feature_bc_matrix"
 # Folders that hold no reads, and the built-in sample map.
@@ -86,58 +87,77 @@ def read_rare_table(spark: SparkSession, path: str) -> DataFrame:
     return rows.select(_row_order().alias("line_no"), *[F.col(f"`{c}`") for c in rows.columns])
 
 
-def read_assemblies(spark: SparkSession, base_path: str, samples: list[str] | None = DEFAULT_SAMPLES) -> tuple[DataFrame, list[str]]:
-    """Candidates of the ``<sample>_seg_assemble.csv`` files of ``samples`` (None: of all files) in one read per distinct header.
+#: Columns of an assembly file that are looked at.
+_FIELDS = 64
+# Fixed value: the ending of the files with a sample's candidate barcodes.
+_ASSEMBLY = "_seg_assemble.csv"
+_ASSEMBLY_NAME = rf"^(.*){_ASSEMBLY.replace('.', '[.]')}([.]gz)?$"
+
+
+def scan_assemblies(spark: SparkSession, base_path: str, samples: list[str] | None = DEFAULT_SAMPLES) -> tuple[DataFrame, DataFrame]:
+    """Candidates of the ``<sample>_seg_assemble.csv`` files (plain or gz, gz wins) right under ``base_path``, in one read whatever their headers.
 
-    Returns the rows ``(sample, row_no, cb, polylox)`` and the samples left out because their file
-    is missing or lacks a needed column.
+    Returns the rows ``(sample, row_no, cb, polylox)`` and a report ``(sample, status)``: ``read``, ``missing`` or ``no cb, polylox`` for every
+    sample asked for (None: every sample found). The files are listed and their headers checked in the tasks; Spark skips the files
+    of other samples. Nothing runs before the results are used.
     """
-    suffix = "_seg_assemble.csv"
-    files = list_files(spark, base_path, f"*{suffix}").filter(~F.col("path").contains("/"))
-    files = files.withColumn("sample", F.regexp_extract("path", rf"^(.*){suffix.replace('.', '[.]')}$", 1))
+    name = F.url_decode(F.col("_metadata.file_name"))
+    sample = F.regexp_extract(name, _ASSEMBLY_NAME, 1)
+    lines = spark.read.option("pathGlobFilter", f"*{_ASSEMBLY}*").text(base_path)
+    lines = lines.filter(name.rlike(_ASSEMBLY_NAME))
     if samples is not None:
-        files = files.filter(F.col("sample").isin(samples))
-    found = {r["sample"]: r["full_path"] for r in files.collect()}  # one row per sample
-    by_header: dict[tuple, list[str]] = {}
-    skipped = [s for s in samples or [] if s not in found]
-    for sample, full in sorted(found.items()):
-        header = tuple(spark.read.csv(full, header=True).columns)
-        if {"cb", "polylox"} <= set(header):
-            by_header.setdefault(header, []).append(full)
-        else:
-            skipped.append(sample)
-    rows = None
-    for header, paths in by_header.items():
-        schema = ", ".join(f"`{c}` string" for c in header)
-        name = F.url_decode(F.col("_metadata.file_name"))
-        part = spark.read.csv(paths, header=True, schema=schema).select(
-            F.regexp_extract(name, r"^(.*)_seg_assemble[.]csv$", 1).alias("sample"),
-            _row_order().alias("row_no"),
-            missing_to_null("cb").alias("cb"),
-            missing_to_null("polylox").alias("polylox"),
-        )
-        rows = part if rows is None else rows.unionByName(part)
-    if rows is None:
+        lines = lines.filter(sample.isin(samples))
+    lines = lines.select("value", sample.alias("sample"), name.endswith(".gz").alias("packed"), _row_order().alias("row_no")).filter(F.trim("value") != "")
+    # the first line of a file, by its place: one row per file
+    heads = lines.groupBy("sample", "packed").agg(F.min_by("value", "row_no").alias("header"), F.min("row_no").alias("first"))
+    heads = heads.groupBy("sample").agg(F.max(F.struct("packed", "header", "first")).alias("h")).select("sample", "h.*")
+    heads = heads.withColumn("names", F.split(F.regexp_replace(F.regexp_replace("header", "^\ufeff", ""), '"', ""), "\\s*,\\s*"))
+    places = heads.select("*", *(F.array_position("names", c).cast("int").alias(f"at_{c}") for c in ("cb", "polylox")))
+    usable = (F.col("at_cb") > 0) & (F.col("at_polylox") > 0)
+    # fields as texts, whatever their number; a value is quoted or not
+    fields = F.from_csv(F.col("value"), ", ".join(f"f{i} string" for i in range(1, _FIELDS + 1)), {"mode": "PERMISSIVE"})
+    rows = lines.join(places.filter(usable).drop("header", "names"), ["sample", "packed"]).filter(F.col("row_no") > F.col("first"))
+    rows = rows.withColumn("f", fields).withColumn("f", F.array(*(F.col(f"f.f{i}") for i in range(1, _FIELDS + 1))))
+    wide = F.greatest("at_cb", "at_polylox") > _FIELDS
+    value = {c: F.when(wide, F.raise_error(F.lit(f"cb and polylox must be among the first {_FIELDS} columns"))).otherwise(F.get("f", F.col(f"at_{c}") - 1)) for c in ("cb", "polylox")}
+    rows = rows.select("sample", "row_no", *(missing_to_null(v).alias(c) for c, v in value.items()))
+    status = places.select("sample", F.when(usable, "read").otherwise("no cb, polylox").alias("status"))
+    if samples is not None:
+        asked = spark.createDataFrame([(s,) for s in dict.fromkeys(samples)], "sample string")
+        status = asked.join(status, "sample", "left").fillna("missing", ["status"])
+    return rows, status
+
+
+def read_assemblies(spark: SparkSession, base_path: str, samples: list[str] | None = DEFAULT_SAMPLES) -> tuple[DataFrame, list[str]]:
+    """As ``scan_assemblies``, with the samples left out as a list; without a usable file it is an error."""
+    rows, status = scan_assemblies(spark, base_path, samples)
+    found = {r["sample"]: r["status"] for r in status.collect()}  # one row per sample
+    if "read" not in found.values():
         raise ValueError(f"no usable sample file under {base_path}")
-    return rows, skipped
+    order = samples if samples is not None else sorted(found)
+    return rows, [s for s in order if found[s] == "missing"] + [s for s in order if found[s] not in ("read", "missing")]
 
 
 # ---- count matrices -------------------------------------------------------------------------
 
 
-def _matrix_files(spark: SparkSession, root: str, samples: list[str], name: str) -> list[str]:
-    found = {r["path"]: r["full_path"] for r in list_files(spark, root, f"{name}*").collect()}
-    out = []
-    for s in samples:
-        match = [found[p] for p in (f"{s}/{MATRIX_DIR}/{name}.gz", f"{s}/{MATRIX_DIR}/{name}") if p in found]
-        if not match:
-            raise FileNotFoundError(f"{name} of sample {s} not found under {root}")
-        out.append(match[0])
-    return out
+_MATRIX_FILES = ("matrix.mtx", "barcodes.tsv", "features.tsv")
+_MATRIX_PATH = rf"([^/]+)/{MATRIX_DIR}/(matrix[.]mtx|barcodes[.]tsv|features[.]tsv)([.]gz)?$"
 
 
-def _sample_of_path(path="path"):
-    return F.url_decode(F.regexp_extract(path, rf"([^/]+)/{MATRIX_DIR}/[^/]+$", 1))
+def matrix_report(spark: SparkSession, root: str, samples: list[str] | None = None) -> DataFrame:
+    """``(sample, files, missing)``: the files to read of every sample under ``root`` with a matrix folder, or of those asked for, as paths
+    below ``root``, and the names of those that are not there. A packed file goes before a plain one."""
+    listed = list_files(spark, root).filter(F.col("path").rlike("^" + _MATRIX_PATH))
+    found = listed.groupBy(F.regexp_extract("path", _MATRIX_PATH, 1).alias("sample"), F.regexp_extract("path", _MATRIX_PATH, 2).alias("name"))
+    found = found.agg(F.max_by("path", F.length("path")).alias("path"))
+    per_sample = found.groupBy("sample").agg(F.array_sort(F.collect_list("path")).alias("files"), F.collect_set("name").alias("names"))
+    if samples is not None:
+        asked = spark.createDataFrame([(s,) for s in dict.fromkeys(samples)], "sample string")
+        per_sample = asked.join(per_sample, "sample", "left")
+    every = F.array(*map(F.lit, _MATRIX_FILES))
+    none = F.array().cast("array<string>")
+    return per_sample.select("sample", F.coalesce("files", none).alias("files"), F.array_except(every, F.coalesce("names", none)).alias("missing"))
 
 
 # Fixed value: the type of the rows that count genes.
@@ -186,16 +206,35 @@ def counts_from_lines(matrix_lines: DataFrame, barcode_lines: DataFrame, feature
     )
 
 
-def read_10x(spark: SparkSession, root: str, samples: list[str]) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """All samples under ``root`` at once: counts, cells ``(sample, cell)``, features ``(sample, idx, gene_id, symbol)``."""
-    matrix = _placed_lines(spark, _matrix_files(spark, root, samples, "matrix.mtx")).select(
-        _sample_of_path().alias("sample"),
+def read_10x(spark: SparkSession, root: str, samples: list[str] | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """All samples under ``root`` at once (None: every one that ``discover_samples`` finds there): counts, cells ``(sample, cell)``,
+    features ``(sample, idx, gene_id, symbol)``. A sample that lacks a file is an error."""
+    if samples is None:
+        report = matrix_report(spark, root).join(discover_samples(list_files(spark, root)).filter("found").select("sample"), "sample", "left_semi")
+    else:
+        report = matrix_report(spark, root, samples)
+    report = cut(report)
+    lacking = report.filter(F.size("missing") > 0).orderBy("sample").first()
+    if lacking:
+        raise FileNotFoundError(f"{', '.join(lacking['missing'])} of sample {lacking['sample']} not found under {root}")
+    chosen = report.select("sample", F.explode("files").alias("file"))
+    if chosen.isEmpty():
+        raise FileNotFoundError(f"no sample folder with {MATRIX_DIR}/ found under {root}")
+
+    def of_samples(lines: DataFrame) -> DataFrame:
+        """Lines of the chosen files, with their sample; the list of files is small and meets them by its measured size."""
+        file = F.url_decode(F.regexp_extract("path", rf"([^/]+/{MATRIX_DIR}/[^/]+)$", 1))
+        return lines.withColumn("file", file).join(chosen, "file").drop("file")
+
+    everywhere = lambda name: f"{root.rstrip('/')}/*/{MATRIX_DIR}/{name}*"
+    matrix = of_samples(_placed_lines(spark, everywhere("matrix.mtx"))).select(
+        "sample",
         # The size line lies in the first block; later blocks only need to sort after it.
         F.when(F.col("_block") == 0, F.col("_row").bitwiseAND(F.lit((1 << 33) - 1))).otherwise(F.lit(_LATE)).alias("line"),
         "value",
     )
-    barcodes = numbered_lines(spark, _matrix_files(spark, root, samples, "barcodes.tsv")).withColumn("sample", _sample_of_path())
-    features = numbered_lines(spark, _matrix_files(spark, root, samples, "features.tsv")).withColumn("sample", _sample_of_path())
+    barcodes = of_samples(numbered_lines(spark, everywhere("barcodes.tsv")))
+    features = of_samples(numbered_lines(spark, everywhere("features.tsv")))
     counts = counts_from_lines(matrix, barcodes, features)
     cells = barcodes.select("sample", F.trim("value").alias("cell"))
     genes = _gene_lines(features).select("sample", F.col("line_no").alias("idx"), _field(0).alias("gene_id"), _field(1).alias("symbol"))

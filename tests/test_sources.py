@@ -45,6 +45,37 @@ def test_discovery_and_matrices(spark, matrices):
     assert cells.count() == 3 and genes.count() == 5
 
 
+def test_all_discovered_samples_and_packed_files_first(spark, matrices):
+    put(matrices / "SmpB" / files.MATRIX_DIR / "matrix.mtx.gz", "%%MatrixMarket matrix coordinate integer general\n2 1 1\n2 1 9\n", True)
+    counts, *_ = files.read_10x(spark, str(matrices))  # SmpC has no matrix folder
+    assert rows(counts.filter("sample = 'SmpB'")) == [("SmpB", "AA-1", "H", 9.0)] and counts.count() == 4
+    report = {r.sample: (len(r.files), r.missing) for r in files.matrix_report(spark, str(matrices), ["SmpB", "Zz"]).collect()}
+    assert report == {"SmpB": (3, []), "Zz": (0, ["matrix.mtx", "barcodes.tsv", "features.tsv"])}
+    with pytest.raises(FileNotFoundError):
+        files.read_10x(spark, str(matrices), ["SmpB", "Zz"])
+    with pytest.raises(FileNotFoundError):
+        files.read_10x(spark, str(matrices / "SmpC"))
+
+
+def test_assemblies_of_any_header_in_one_read(spark, tmp_path):
+    put(tmp_path / "SmpA_seg_assemble.csv", "cb,polylox\nAA,1_2\n\nCC,nan\n")
+    put(tmp_path / "SmpB_seg_assemble.csv.gz", 'x,"polylox",n,cb\n"a,b",3_4,7,GG\ny,5_6,8,TT\n', True)
+    put(tmp_path / "SmpB_seg_assemble.csv", "cb,polylox\nold,old\n")
+    put(tmp_path / "SmpC_seg_assemble.csv", "cb,other\nAA,1\n")
+    put(tmp_path / "SmpD_seg_assemble.csv", "cb,polylox\nZZ,9_9\n")
+    put(tmp_path / "deep" / "SmpA_seg_assemble.csv", "cb,polylox\nno,no\n")
+    found, status = files.scan_assemblies(spark, str(tmp_path), ["SmpA", "SmpB", "SmpC", "Zz"])
+    assert rows(status) == [("SmpA", "read"), ("SmpB", "read"), ("SmpC", "no cb, polylox"), ("Zz", "missing")]
+    assert [(r.sample, r.cb, r.polylox) for r in found.orderBy("sample", "row_no").collect()] == [
+        ("SmpA", "AA", "1_2"), ("SmpA", "CC", None), ("SmpB", "GG", "3_4"), ("SmpB", "TT", "5_6")]
+    table, skipped = files.read_assemblies(spark, str(tmp_path), ["Zz", "SmpC", "SmpD"])
+    assert skipped == ["Zz", "SmpC"] and rows(table, "sample", "cb") == [("SmpD", "ZZ")]
+    table, skipped = files.read_assemblies(spark, str(tmp_path), None)
+    assert skipped == ["SmpC"] and table.count() == 5
+    with pytest.raises(ValueError):
+        files.read_assemblies(spark, str(tmp_path), ["SmpC"])
+
+
 def test_other_feature_types_are_no_genes(spark, tmp_path):
     top = tmp_path / "SmpA" / files.MATRIX_DIR
     put(top / "matrix.mtx", "%%MatrixMarket matrix coordinate integer general\n%\n3 1 3\n1 1 4\n2 1 9\n3 1 5\n")
