@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from celltrace.operators import approximate, chain, doublets, graph, matrix, qc, sketch
+from celltrace.operators import approximate, chain, cycle, doublets, graph, matrix, qc, sketch
 from celltrace.plans.count_queries import UP_TO_GOOD
 from celltrace.plans.proxies import HVG_MAX_MEAN, Tables
 from celltrace.plans.registry import long, query, rounded
@@ -179,6 +179,25 @@ def _(t: Tables):
     return grid.groupBy("sample").agg(F.sum("n").alias("n")).withColumn("several_clusters", several)
 
 
+@query(
+    "annotated_chain",
+    f"""WITH {UP_TO_GOOD} SELECT sample, count(*) AS n_cells, true AS doublets_have_no_cluster, true AS others_are_annotated, true AS others_have_a_phase, true AS proportions_sum_to_one
+        FROM good GROUP BY sample""",
+)
+def _(t: Tables):
+    """Counts to annotated cells, with an invariant for every step, per sample."""
+    t.keep("filtered", "good_cells", "good_counts")
+    found = cut(chain.analyse_cells(t.good_counts, t.good_cells, t.genes, t.net, t.gene_set("SMALL"), t.gene_set("LARGE"), max_mean=HVG_MAX_MEAN))
+    shares = cycle.phase_proportions(found).groupBy("leiden").agg(F.sum("fraction").alias("f"))
+    whole = shares.agg(F.max(F.abs(F.col("f") - 1)) < 1e-9).scalar()
+    out = F.col("predicted_doublet")
+    return found.groupBy("sample").agg(
+        F.count(F.lit(1)).alias("n_cells"), F.bool_and(~out | F.col("leiden").isNull()).alias("doublets_have_no_cluster"),
+        F.bool_and(out | (F.col("ora_cell_type").isNotNull() & F.col("ora_top_celltypes").startswith(F.col("ora_cell_type")))).alias("others_are_annotated"),
+        F.bool_and(out | (F.col("phase") == cycle.phase_of("s_score", "g2m_score"))).alias("others_have_a_phase"),
+    ).withColumn("proportions_sum_to_one", whole)
+
+
 @query("pca_variance")
 def _(t: Tables):
     """Variance of the components; the tests compare with numpy on the same rows."""
