@@ -146,7 +146,7 @@ def test_twenty_thousand_genes(spark):
     x = rng.poisson(0.02, (12, 20_000)).astype(float)
     a, b = rng.normal(size=12), rng.normal(size=12)
     cov = spark.createDataFrame([("s", f"c{i:03d}", float(a[i]), float(b[i])) for i in range(12)], "sample string, cell string, a double, b double")
-    genes = spark.range(20_000).select(F.concat(F.lit("g"), F.col("id").cast("string")).alias("gene"))
+    genes = spark.range(20_000).select(F.format_string("g%03d", "id").alias("gene"))
     scaled, axis = matrix.regress_out(to_long(spark, x), cov, genes, ("a", "b"), scaled=True)
     got = np.array([r.v for r in scaled.orderBy("cell").collect()])
     design = np.column_stack([np.ones(12), a, b])
