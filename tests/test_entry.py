@@ -19,4 +19,4 @@ def test_every_sql_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
     own = {name for name in entry.queries() if not (name == "pipeline" or name.startswith("op") and name[2:3].isdigit())}
     assert own - set(entry.oracle_sql()) == {
-        "communities", "graph_layout", "pca_scores", "pca_variance", "source_rankings", "doublet_scores", "doublet_calls"}
+        "approximate_knn", "communities", "graph_layout", "pca_scores", "pca_variance", "source_rankings", "doublet_scores", "doublet_calls"}
