@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from celltrace.operators import matrix, normalize, qc, reports
-from celltrace.plans.proxies import HVG_MAX_MEAN, MARKERS, QC_LIMITS, Tables, text
+from celltrace.plans.proxies import HVG_MAX_MEAN, MARKERS, QC_LIMITS, Tables
 from celltrace.plans.registry import long, query, quick_rounded, rounded
 from celltrace.schema import CELL
 from celltrace.session import cut
