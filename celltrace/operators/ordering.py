@@ -76,6 +76,67 @@ def bounded_values(df: DataFrame, value: Column | str, limit: int = 100_000) ->
     ).scalar()
 
 
+#: Distinct values of one bracket that a task may sort; a wider bracket is narrowed first.
+BRACKET_VALUES = 1 << 16
+_BINS = 4096
+_STEPS = 256  # coarse classes per factor of e
+
+
+def _coarse(x: Column) -> Column:
+    """Class of a number, never falling as the number grows: even steps of ``log(1 + |x|)``, about 364,000 at most; NaN is the last."""
+    size = F.log1p(F.abs(x))
+    steps = F.when(size == float("inf"), F.signum(x) * 200_000).otherwise(F.signum(x) * size * _STEPS)
+    return F.when(F.isnan(x), F.lit(200_001).cast("long")).otherwise(F.floor(steps).cast("long"))
+
+
+def _same(group: list[str], *more: str) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")) for c in [*group, *more]])
+
+
+def _narrowed(targets: DataFrame, bins: DataFrame, group: list[str], within: list[str], order: str) -> DataFrame:
+    """Every target moves into the bin that holds its place. ``bins`` has, per group and bracket, bounded rows of ``_n`` values each."""
+    place = Window.partitionBy(*group, *within).orderBy(order)
+    placed = bins.withColumn("_before", F.sum("_n").over(place) - F.col("_n"))
+    hit = _same(group, *within) & (F.col("l._at") >= F.col("r._before")) & (F.col("l._at") < F.col("r._before") + F.col("r._n"))
+    kept = [F.col(f"l.{c}").alias(c) for c in [*group, "n", "_q"]]
+    return targets.alias("l").join(placed.alias("r"), hit).select(
+        *kept, (F.col("l._at") - F.col("r._before")).alias("_at"), F.col("r._lo").alias("_lo"), F.col("r._hi").alias("_hi")
+    )
+
+
+def _selected(values: DataFrame, group: list[str], targets: DataFrame, coarse: DataFrame) -> DataFrame:
+    """``_lo``: the value at place ``_at`` (0-based) of each target's group. Values are counted in classes; only those of a class
+    that holds a wanted place are looked at again, equal ones as one row. A bracket of more than ``BRACKET_VALUES`` distinct
+    values is cut into bins between its least and greatest value until no such bracket is left; each cut makes it strictly smaller."""
+    done = cut(_narrowed(targets, coarse, group, [], "_class"))
+    found, todo = done.filter("_lo <=> _hi"), done.filter("NOT _lo <=> _hi")
+    if todo.isEmpty():
+        return found
+    spans = todo.select(*group, "_lo", "_hi").distinct()
+    held = values.withColumn("_class", _coarse(F.col("_x"))).alias("l").join(
+        spans.withColumn("_class", _coarse(F.col("_lo"))).alias("r"), _same(group, "_class")
+    )
+    held = held.groupBy(*[F.col(f"l.{c}").alias(c) for c in group], F.col("r._lo").alias("_span"), F.col("l._x").alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
+    held, todo = cut(held), todo.withColumn("_span", F.col("_lo"))
+    while held.groupBy(*group, "_span").count().agg(F.max("count")).first()[0] > BRACKET_VALUES:
+        share = F.coalesce(F.try_divide(F.col("_x") - F.col("r._lo"), F.col("r._hi") - F.col("r._lo")), F.lit(0.0))
+        spans = todo.select(*group, "_span", "_lo", "_hi").distinct()
+        binned = held.alias("l").join(spans.alias("r"), _same(group, "_span")).select(
+            *[F.col(f"l.{c}").alias(c) for c in [*group, "_span", "_x", "_n"]], F.least(F.floor(share * _BINS), F.lit(_BINS - 1)).alias("_bin")
+        )
+        binned = cut(binned)
+        bins = binned.groupBy(*group, "_span", "_bin").agg(F.sum("_n").alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
+        todo = cut(_narrowed(todo, bins, group, ["_span"], "_bin"))
+        wanted = bins.alias("l").join(todo.select(*group, "_lo").distinct().alias("r"), _same(group, "_lo"), "left_semi")
+        chosen = wanted.select(*group, "_span", "_bin", "_lo")
+        held = cut(binned.alias("l").join(chosen.alias("r"), _same(group, "_span", "_bin")).select(
+            *[F.col(f"l.{c}").alias(c) for c in [*group, "_x", "_n"]], F.col("r._lo").alias("_span")
+        ))
+        todo = todo.withColumn("_span", F.col("_lo"))
+    last = held.withColumn("_lo", F.col("_x")).withColumn("_hi", F.col("_x"))
+    return found.unionByName(_narrowed(todo, last, group, ["_span"], "_x"))
+
+
 def exact_quantiles(
     values: DataFrame,
     group: list[str],
@@ -86,40 +147,38 @@ def exact_quantiles(
     """Exact linear-interpolated quantiles per group, implicit zeros included.
 
     ``totals(group..., n)`` gives the group size with zeros; stored values fill
-    the rest. No group is gathered: the wanted order statistics are looked up by
-    their place in one range sort.
+    the rest. The wanted order statistics are selected by counts in brackets that
+    get narrower: no group is gathered and the values are neither sorted nor written.
+    NaN counts as the greatest value, a null value not at all.
     """
-    ranked = global_rank(
-        values.filter(F.col(value).isNotNull()).select(*group, F.col(value).alias("_x")), [*group, "_x"], "_grank"
-    )
-    stats = ranked.groupBy(*group).agg(
-        F.min("_grank").alias("_start"), F.count(F.lit(1)).alias("_stored"), F.count_if(F.col("_x") < 0).alias("_neg")
+    values = values.filter(F.col(value).isNotNull()).select(*group, F.col(value).cast("double").alias("_x"))
+    coarse = values.groupBy(*group, _coarse(F.col("_x")).alias("_class")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_x").alias("_lo"), F.max("_x").alias("_hi")
     )
+    coarse = cut(coarse)
+    stats = coarse.groupBy(*group).agg(F.sum("_n").alias("_stored"), F.coalesce(F.sum(F.when(F.col("_class") < 0, F.col("_n"))), F.lit(0)).alias("_neg"))
     if totals is None:
         stats = stats.withColumn("n", F.col("_stored"))
     else:
-        stats = totals.select(*group, "n").join(stats, group, "left").fillna(0, ["_start", "_stored", "_neg"])
+        stats = totals.select(*group, "n").join(stats, group, "left").fillna(0, ["_stored", "_neg"])
     zeros = F.col("n") - F.col("_stored")
 
     def place(index: Column) -> Column:
-        """Global rank holding order statistic ``index`` (0-based); null means zero."""
-        return (
-            F.when(index < F.col("_neg"), F.col("_start") + index)
-            .when(index < F.col("_neg") + zeros, F.lit(None).cast("long"))
-            .otherwise(F.col("_start") + index - zeros)
-        )
+        """Place among the stored values of order statistic ``index`` (0-based); null means zero."""
+        return F.when(index < F.col("_neg"), index).when(index >= F.col("_neg") + zeros, index - zeros)
 
     wanted = []
     for name, p in probs.items():
         at = F.lit(float(p)) * (F.col("n") - 1)
-        wanted.append(F.struct(F.lit(name).alias("q"), F.lit("lo").alias("side"), place(F.floor(at)).alias("_grank"), (at - F.floor(at)).alias("w")))
-        wanted.append(F.struct(F.lit(name).alias("q"), F.lit("hi").alias("side"), place(F.ceil(at)).alias("_grank"), (at - F.floor(at)).alias("w")))
-    targets = stats.filter("n > 0").select(*group, "n", F.explode(F.array(*wanted)).alias("t")).select(*group, "n", "t.*")
-    found = targets.join(ranked.select("_grank", "_x"), "_grank", "left").withColumn("_x", F.coalesce("_x", F.lit(0.0)))
+        for side, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
+            wanted.append(F.struct(F.struct(F.lit(name).alias("q"), F.lit(side).alias("side"), (at - F.floor(at)).alias("w")).alias("_q"), place(index).alias("_at")))
+    targets = cut(stats.filter("n > 0").select(*group, "n", F.explode(F.array(*wanted)).alias("t")).select(*group, "n", "t.*"))
+    found = _selected(values, group, targets.filter("_at IS NOT NULL"), coarse).select(*group, "n", "_q", F.col("_lo").alias("_x"))
+    found = found.unionByName(targets.filter("_at IS NULL").select(*group, "n", "_q", F.lit(0.0).alias("_x"))).select(*group, "n", "_q.*", "_x")
     parts = []
     for name in probs:
         lo = F.max(F.when((F.col("q") == name) & (F.col("side") == "lo"), F.col("_x")))
         hi = F.max(F.when((F.col("q") == name) & (F.col("side") == "hi"), F.col("_x")))
         w = F.max(F.when(F.col("q") == name, F.col("w")))
-        parts.append((lo + (hi - lo) * w).alias(name))
+        parts.append((lo + F.when(lo == hi, 0.0).otherwise((hi - lo) * w)).alias(name))
     return found.groupBy(*group, "n").agg(*parts)

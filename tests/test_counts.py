@@ -229,3 +229,33 @@ def test_wide_top_is_one_range_sort(spark):
 def test_doublets_without_a_flag_stay(spark):
     obs = spark.createDataFrame([("a", True), ("b", False), ("c", None)], "cell string, predicted_doublet boolean")
     assert sorted(r.cell for r in qc.drop_predicted_doublets(obs).collect()) == ["b", "c"]
+
+
+@pytest.mark.parametrize("bracket", [1 << 16, 4])
+def test_quantiles_without_a_sort_of_the_values(spark, monkeypatch, bracket):
+    """Ties, tiny and huge numbers, a hot group; with the small limit brackets are narrowed many times."""
+    monkeypatch.setattr(ordering, "BRACKET_VALUES", bracket)
+    monkeypatch.setattr(ordering, "global_rank", None)
+    rng = np.random.default_rng(5)
+    sets = {
+        "hot": rng.normal(size=4000), "tied": np.repeat([0.0, -0.0, 2.5, 2.5, 7.0], 30), "one": np.array([3.25]),
+        "near": 1e6 + np.arange(50) * 2.0**-33, "wide": np.r_[10.0 ** rng.uniform(-300, 300, 60), -(10.0 ** rng.uniform(-300, 300, 41))],
+        "tiny": rng.normal(size=99) * 1e-310, None: rng.integers(0, 9, 40).astype(float),
+    }
+    df = spark.createDataFrame([(g, float(v)) for g, x in sets.items() for v in x] + [("hot", None)], "g string, v double")
+    got = {r.g: r for r in exact_quantiles(df.repartition(5), ["g"], "v", {"a": 0.0, "b": 0.25, "c": 0.5, "d": 0.9, "e": 1.0}).collect()}
+    assert set(got) == set(sets)
+    for g, x in sets.items():
+        assert got[g].n == len(x)
+        at = np.array([0.0, 0.25, 0.5, 0.9, 1.0]) * (len(x) - 1)
+        lo, hi = np.sort(x)[np.floor(at).astype(int)], np.sort(x)[np.ceil(at).astype(int)]
+        assert [got[g][c] for c in "abcde"] == [a + (b - a) * w if a != b else a for a, b, w in zip(lo, hi, at - np.floor(at))]
+
+
+def test_quantiles_of_infinite_values_and_of_nothing(spark):
+    inf, nan = float("inf"), float("nan")
+    df = spark.createDataFrame([("a", x) for x in (-inf, -1.0, 2.0, inf, inf)] + [("b", 1.0), ("b", nan), ("b", 5.0)], "g string, v double")
+    got = {r.g: r for r in exact_quantiles(df, ["g"], "v", {"lo": 0.0, "m": 0.5, "hi": 1.0}).collect()}
+    assert (got["a"].lo, got["a"].m, got["a"].hi) == (-inf, 2.0, inf)
+    assert (got["b"].lo, got["b"].m) == (1.0, 5.0) and math.isnan(got["b"].hi)
+    assert exact_quantiles(df.limit(0), ["g"], "v", {"m": 0.5}).collect() == []
