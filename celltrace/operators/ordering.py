@@ -100,7 +100,7 @@ def _narrowed(targets: DataFrame, bins: DataFrame, group: list[str], within: lis
     hit = _same(group, *within) & (F.col("l._at") >= F.col("r._before")) & (F.col("l._at") < F.col("r._before") + F.col("r._n"))
     kept = [F.col(f"l.{c}").alias(c) for c in [*group, "n", "_q"]]
     return targets.alias("l").join(placed.alias("r"), hit).select(
-        *kept, (F.col("l._at") - F.col("r._before")).alias("_at"), F.col("r._lo").alias("_lo"), F.col("r._hi").alias("_hi")
+        *kept, (F.col("l._at") - F.col("r._before")).alias("_at"), F.col("r._lo").alias("_lo"), F.col("r._hi").alias("_hi"), F.col("r._n").alias("_size")
     )
 
 
@@ -110,15 +110,16 @@ def _selected(values: DataFrame, group: list[str], targets: DataFrame, coarse: D
     values is cut into bins between its least and greatest value until no such bracket is left; each cut makes it strictly smaller."""
     done = cut(_narrowed(targets, coarse, group, [], "_class"))
     found, todo = done.filter("_lo <=> _hi"), done.filter("NOT _lo <=> _hi")
-    if todo.isEmpty():
+    widest = todo.agg(F.max("_size")).first()[0]
+    if widest is None:
         return found
     spans = todo.select(*group, "_lo", "_hi").distinct()
     held = values.withColumn("_class", _coarse(F.col("_x"))).alias("l").join(
         spans.withColumn("_class", _coarse(F.col("_lo"))).alias("r"), _same(group, "_class")
     )
     held = held.groupBy(*[F.col(f"l.{c}").alias(c) for c in group], F.col("r._lo").alias("_span"), F.col("l._x").alias("_x")).agg(F.count(F.lit(1)).alias("_n"))
-    held, todo = cut(held), todo.withColumn("_span", F.col("_lo"))
-    while held.groupBy(*group, "_span").count().agg(F.max("count")).first()[0] > BRACKET_VALUES:
+    held, todo = held if widest <= BRACKET_VALUES else cut(held), todo.withColumn("_span", F.col("_lo"))
+    while widest > BRACKET_VALUES and held.groupBy(*group, "_span").count().agg(F.max("count")).first()[0] > BRACKET_VALUES:
         share = F.coalesce(F.try_divide(F.col("_x") - F.col("r._lo"), F.col("r._hi") - F.col("r._lo")), F.lit(0.0))
         spans = todo.select(*group, "_span", "_lo", "_hi").distinct()
         binned = held.alias("l").join(spans.alias("r"), _same(group, "_span")).select(
@@ -172,7 +173,8 @@ def exact_quantiles(
         at = F.lit(float(p)) * (F.col("n") - 1)
         for side, index in (("lo", F.floor(at)), ("hi", F.ceil(at))):
             wanted.append(F.struct(F.struct(F.lit(name).alias("q"), F.lit(side).alias("side"), (at - F.floor(at)).alias("w")).alias("_q"), place(index).alias("_at")))
-    targets = cut(stats.filter("n > 0").select(*group, "n", F.explode(F.array(*wanted)).alias("t")).select(*group, "n", "t.*"))
+    targets = stats.filter("n > 0").select(*group, "n", F.explode(F.array(*wanted)).alias("t")).select(*group, "n", "t.*")
+    targets = targets if totals is None else cut(targets)
     found = _selected(values, group, targets.filter("_at IS NOT NULL"), coarse).select(*group, "n", "_q", F.col("_lo").alias("_x"))
     found = found.unionByName(targets.filter("_at IS NULL").select(*group, "n", "_q", F.lit(0.0).alias("_x"))).select(*group, "n", "_q.*", "_x")
     parts = []
