@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from celltrace.operators import matrix, normalize, qc, reports
 from celltrace.plans.proxies import HVG_MAX_MEAN, MARKERS, QC_LIMITS, Tables
 from celltrace.plans.registry import long, query, quick_rounded, rounded
 from celltrace.schema import CELL
-from celltrace.session import cut
+from celltrace.session import cut, ensure_checkpoint_dir, remember
+from celltrace.sources import annotated
 
 COUNTS = """
 genes_of AS (SELECT p_partkey, p_brand, p_type, CASE WHEN p_name LIKE 'red %' THEN 'mt-' ELSE 'g' END || p_partkey AS gene FROM part),
@@ -218,6 +221,23 @@ def _(t: Tables):
     return reports.group_labels(t.clusters)
 
 
+@query(
+    "annotated_columns",
+    f"""WITH {UP_TO_METRICS}, {CLUSTERS}, {LABELS}
+        SELECT m.sample, m.cell, n_genes_by_counts, round(total_counts, 6) + 0.0 AS total_counts, CASE WHEN leiden <> '7' THEN 'c' || leiden END AS leiden, group_labels
+        FROM metrics m LEFT JOIN labelled l ON l.sample = m.sample AND l.cell = m.cell""",
+)
+def _(t: Tables):
+    """Cells written with their metrics; a step adds clusters and labels, a second one replaces the clusters."""
+    folder = remember(f"{ensure_checkpoint_dir(t.spark)}/cells-{uuid.uuid4().hex}")
+    annotated.create_cells(t.metrics, folder)
+    annotated.append_columns(reports.group_labels(t.clusters), folder, "clusters")
+    again = t.clusters.filter("leiden <> '7'").withColumn("leiden", F.concat(F.lit("c"), "leiden"))
+    annotated.append_columns(again, folder, "clusters")
+    found = annotated.read_cells(t.spark, folder, ["n_genes_by_counts", "total_counts", "leiden", "group_labels"])
+    return found.withColumns({"n_genes_by_counts": long("n_genes_by_counts"), "total_counts": rounded("total_counts")})
+
+
 BOX = "round(mean, 6) + 0.0 AS mean, round(min, 6) + 0.0 AS min, round(q1, 6) + 0.0 AS q1, round(median, 6) + 0.0 AS median, round(q3, 6) + 0.0 AS q3, round(max, 6) + 0.0 AS max"
 
 
