@@ -94,17 +94,26 @@ def fit_model(x: np.ndarray, y: np.ndarray, penalty: float = 1.0, steps: int = 1
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "quality", id_column: str = "doc_id", text: str = "text", sample_rows: int = SAMPLE_ROWS) -> Model | None:
-    """Fit on at most ``sample_rows`` labelled rows; without labels of both kinds there is no model."""
-    known = labels.filter(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()).select(F.col(id_column).alias("_id"), F.col(label).cast("double").alias("_y"))
-    known = known.dropDuplicates(["_id"]).orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
-    rows = docs.join(F.broadcast(known), docs[id_column] == known["_id"]).select("_y", F.col(text).cast("string"))  # sample_rows ids at most
+    """Fit on at most ``sample_rows`` labelled ids, chosen by hash, with one row each; without labels of both kinds there is no model.
+
+    Ids that are labelled both ways do not count. Of rows that share an id the one with the smallest hash of its text is taken,
+    whatever their number, so that a run repeats.
+    """
+    known = labels.filter(F.col(label).isin(0, 1) & F.col(id_column).isNotNull()).groupBy(F.col(id_column).alias("_id"))
+    known = known.agg(F.min(label).cast("double").alias("_y"), F.max(label).cast("double").alias("_z")).filter("_y = _z").drop("_z")
+    known = known.orderBy(F.xxhash64("_id"), "_id").limit(sample_rows)
+    plain = docs.select(F.col(id_column).alias("_own"), F.col(text).cast("string").alias("_text"))
+    rows = plain.join(F.broadcast(known), F.col("_own") == F.col("_id")).select("_id", "_y", F.xxhash64("_text").alias("_hash"), "_text")  # sample_rows ids at most
+    schema = T.StructType([rows.schema["_id"], *T._parse_datatype_string("y double, hash long, x array<double>").fields])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in words.small(batches):
-            x = features(batch.column(1))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), FEATURES).cast(pa.list_(pa.float64()))], ["y", "x"])
+            x = features(batch.column(3))
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(x.ravel()), FEATURES).cast(pa.list_(pa.float64()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], lists], ["_id", "y", "hash", "x"])
 
-    found = rows.mapInArrow(run, "y double, x array<double>").limit(4 * sample_rows).toPandas()
+    one = rows.mapInArrow(run, schema).groupBy("_id").agg(F.min(F.struct("hash", "x")).alias("row"), F.first("y").alias("y"))
+    found = one.orderBy("_id").select("y", "row.x").toPandas()
     return fit_model(np.array(found["x"].tolist()).reshape(-1, FEATURES), found["y"].to_numpy(float)) if len(found) else None
 
 

@@ -63,13 +63,19 @@ def minhash_containment(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_empirical_bayes")
 def empirical_bayes(spark: SparkSession, folder: str) -> DataFrame:
     """Posterior quality of every document; its source is the site, the language its section."""
-    docs = table(spark, folder, "documents")
-    model = quality.train(docs, table(spark, folder, "labels"))
+    return judged_documents(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def judged_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``(doc_id, source, lang, evidence, host_share, path_share, posterior, kept)`` per row of ``docs``. Without labels of both kinds
+    nothing is known: no evidence, all shares one half, all documents kept."""
+    model, plain = quality.train(docs, labels), docs.select("doc_id", "source", "lang", "text")
     if model is None:
-        return docs.select("doc_id", "source", "lang", F.lit(0.0).alias("evidence"), F.lit(0.5).alias("posterior"), F.lit(True).alias("kept"))
-    scored = quality.with_evidence(docs.select("doc_id", "source", "lang", "text"), model).drop("text")
-    judged = quality.with_posterior(Scratch(spark).cut(scored, "scored"), model, "source", "lang")
-    return judged.withColumn("kept", F.col("posterior") >= 0.5)
+        unknown = [F.lit(0.0).alias("evidence"), *(F.lit(0.5).alias(c) for c in ("host_share", "path_share", "posterior"))]
+        return plain.select("doc_id", "source", "lang", *unknown, F.lit(True).alias("kept"))
+    scored = quality.with_evidence(plain, model).drop("text")
+    judged = quality.with_posterior(Scratch(docs.sparkSession).cut(scored, "scored"), model, "source", "lang")
+    return judged.select("doc_id", "source", "lang", "evidence", "host_share", "path_share", "posterior", (F.col("posterior") >= 0.5).alias("kept"))
 
 
 @query("op9_block_mix")

@@ -3,7 +3,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from celltrace.llm import quality
+from celltrace.llm import quality, queries
 from tests.llm.helpers import DOCS, nothing, random_text, with_clashes
 
 LABELS = "doc_id long, quality int, toxic int"
@@ -96,3 +96,30 @@ def test_one_site_of_one_document(spark):
     row = quality.with_posterior(frame, model, "host", "path").first()
     assert 0.5 < row.posterior < 1 and row.host_share is not None
     assert quality.with_posterior(frame.filter(F.lit(False)), model, "host", "path").collect() == []
+
+
+def test_query_has_one_schema_and_agrees_with_the_stage(spark):
+    rows, good = corpus(n=200)
+    odd = [(5, rows[6][1], None, None, 1), (None, "", "en", None, 0), (900, None, None, "s0", None)]
+    docs = with_clashes(spark.createDataFrame(rows + odd, DOCS), ["id", "host_share", "posterior", "evidence", "kept", "_id", "_y"])
+    labels = spark.createDataFrame([(i, int(g), 0) for i, g in good.items() if i % 2], LABELS)
+    judged, unknown = queries.judged_documents(docs, labels), queries.judged_documents(docs, nothing(spark, LABELS))
+    assert [(f.name, f.dataType) for f in judged.schema] == [(f.name, f.dataType) for f in unknown.schema]
+    assert unknown.count() == 203 and unknown.filter("kept AND posterior = 0.5 AND evidence = 0").count() == 203
+    kept = sorted((r.doc_id is None, r.doc_id) for r in judged.filter("kept").select("doc_id").collect())
+    assert kept == sorted((r.doc_id is None, r.doc_id) for r in quality.keep_good(docs, labels).select("doc_id").collect())
+    assert judged.count() == 203 and queries.judged_documents(nothing(spark, DOCS), labels).collect() == []
+
+
+def test_one_row_per_labelled_id(spark):
+    """Many rows of one id, and ids labelled both ways, change nothing but that one row."""
+    rows, good = corpus(n=120)
+    labels = [(i, int(g), 0) for i, g in good.items()]
+    docs = spark.createDataFrame(rows, DOCS)
+    plain = quality.train(docs.filter("doc_id <> 7"), spark.createDataFrame(labels, LABELS))
+    both = quality.train(docs, spark.createDataFrame(labels + [(7, 1 - int(good[7]), 0), (9, int(good[9]), 1)], LABELS))
+    assert np.allclose(plain.weights, both.weights)
+    first = quality.train(docs, spark.createDataFrame(labels, LABELS), sample_rows=50)
+    many = docs.unionByName(docs.filter("doc_id IN (3, 4, 8)").crossJoin(spark.range(300)).drop("id"))
+    again = quality.train(many.repartition(7), spark.createDataFrame(labels, LABELS), sample_rows=50)
+    assert np.allclose(first.weights, again.weights)
