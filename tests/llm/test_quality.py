@@ -101,7 +101,7 @@ def test_one_site_of_one_document(spark):
 def test_query_has_one_schema_and_agrees_with_the_stage(spark):
     rows, good = corpus(n=200)
     odd = [(5, rows[6][1], None, None, 1), (None, "", "en", None, 0), (900, None, None, "s0", None)]
-    docs = with_clashes(spark.createDataFrame(rows + odd, DOCS), ["id", "host_share", "posterior", "evidence", "kept", "_id", "_y"])
+    docs = with_clashes(spark.createDataFrame(rows + odd, DOCS)).withColumns({c: F.lit("extra") for c in ("_id", "_y", "_own", "host_share")})
     labels = spark.createDataFrame([(i, int(g), 0) for i, g in good.items() if i % 2], LABELS)
     judged, unknown = queries.judged_documents(docs, labels), queries.judged_documents(docs, nothing(spark, LABELS))
     assert [(f.name, f.dataType) for f in judged.schema] == [(f.name, f.dataType) for f in unknown.schema]
