@@ -10,8 +10,8 @@ The search keeps every link between different shingle sets that share a band, wi
    of near copies fall into one component here.
 3. Classes of a bucket that are still in different components are compared by their whole signatures; where these agree
    well enough for the threshold, the class of the smaller component is compared with the blocks of the larger one. A bucket of many classes is
-   split by the other bands first: a pair at the threshold shares one of the 31 others but for a chance of 8e-8, and classes that have
-   nothing but this bucket in common never meet.
+   split by the rarest shingles of each class first, as many of them as it takes for any two sets at the threshold to share one (prefix
+   filter): no link of the bucket is lost, and classes that have nothing but this bucket in common never meet.
 
 Comparisons run in sorted streams: a block holds a bounded part in memory, and the others pass by. Links are
 confirmed on full shingle sets. With 32 bands of 4 rows a pair at the threshold of 0.8 shares no band with
@@ -26,7 +26,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -39,7 +39,7 @@ BLOCK_SHINGLES = 1 << 19
 BLOCK_MEMBERS = 512
 #: Classes of one signature block, and others that pass by it.
 SKETCH_ANCHORS, SKETCH_STREAM = 1024, 1 << 16
-#: Classes of a bucket above which it is split by the other bands of its classes.
+#: Classes of a bucket above which it is split by the rarest shingles of its classes.
 LARGE_BUCKET = 2048
 #: Chance that a pair at the threshold agrees in fewer coordinates than step 3 asks for.
 MISS = 1e-7
@@ -226,6 +226,27 @@ def mixed(grouped: DataFrame) -> DataFrame:
     return grouped.join(several, "bucket").select("bucket", "cid", "component")
 
 
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """``(cid, shingle)``: of every set in ``sets(cid, items)`` the rarest shingles, so many that two sets at the threshold have one in common.
+
+    A link needs ``percent`` of the larger set in common. So of the shingles of both sets, in one order for all, the first of them are shared unless
+    more than the rest of a set comes before. Shingles of one set alone take a place but meet nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for cid, items in zip(batch.column(0), batch.column(1)):
+                found = np.frombuffer(items.as_buffer(), np.int64)
+                columns = [np.full(len(found), cid.as_py()), found, np.full(len(found), len(found))]
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["cid", "shingle", "n"])
+
+    listed = sets.select("cid", "items").mapInArrow(run, "cid long, shingle long, n long")
+    held = listed.groupBy("shingle").agg(F.count(F.lit(1)).alias("held"))
+    place = F.row_number().over(Window.partitionBy("cid").orderBy("held", "shingle"))
+    spare = F.col("n") - F.floor((F.col("n") * percent + 99) / 100)
+    return listed.join(held, "shingle").withColumn("place", place).filter((F.col("place") <= spare + 1) & (F.col("held") > 1)).select("cid", "shingle")
+
+
 def near_duplicates(
     docs: DataFrame,
     id_column: str = "doc_id",
@@ -280,8 +301,8 @@ def near_duplicates(
     grouped = members.join(first.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     grouped = mixed(grouped)
     large = scratch.cut(grouped.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE_BUCKET).select("bucket"), "large")
-    split = grouped.join(large, "bucket").join(classes.select("cid", "bands"), "cid").select("bucket", "cid", "component", F.explode("bands").alias("band"))
-    split = split.filter("band != bucket").select(F.xxhash64("bucket", "band").alias("bucket"), "cid", "component")
+    crowd = scratch.cut(grouped.join(large, "bucket").select("cid", "component").distinct(), "crowd")
+    split = rare_shingles(sets.join(crowd, "cid", "left_semi"), percent).join(crowd, "cid").select(F.col("shingle").alias("bucket"), "cid", "component")
     grouped = scratch.cut(grouped.join(large, "bucket", "left_anti").select("bucket", "cid", "component").unionByName(mixed(split)), "grouped")
     everyone = classes.select("cid", "n").join(first.withColumnRenamed("node", "cid"), "cid", "left").withColumn("component", F.coalesce("component", "cid"))
     weights = everyone.groupBy("component").agg(F.sum("n").alias("weight")).join(grouped.select("component").distinct(), "component")
@@ -316,7 +337,7 @@ def near_duplicates(
     final = final.select("cid", F.coalesce("last", "component").alias("component")).join(classes.select("cid", "set_key", "first_id"), "cid")
     names = final.groupBy("component").agg(F.min("first_id").alias("component_id"))
     final = scratch.cut(final.join(names, "component").select("set_key", "component_id"), "final")
-    scratch.drop("large", "members", "needed", "sets", "pairs", "links-1", "links-2", "first-components", "grouped", "weights", "classes")
+    scratch.drop("large", "crowd", "members", "needed", "sets", "pairs", "links-1", "links-2", "first-components", "grouped", "weights", "classes")
     out = signed.select("id", "n_shingles", "set_key").join(final, "set_key", "left")
     component = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("id"))
     return out.select(F.col("id").alias(id_column), "n_shingles", component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))

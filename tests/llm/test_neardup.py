@@ -129,3 +129,33 @@ def test_a_hot_bucket_of_unlinked_classes_stays_in_proportion(spark, monkeypatch
         found = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, DOCS), width=2).collect()}
         assert found == components({r[0]: shingle_set(r[1], 2) for r in rows}) if n == 300 else found[n] == 0 and found[n + 1] == 7
     assert counts[1] < 100 and counts[0] < 100
+
+
+def test_links_of_a_large_bucket_that_share_nothing_else(spark, monkeypatch):
+    """Linked classes whose only common band is that of a large bucket are found."""
+    monkeypatch.setattr(neardup, "LARGE_BUCKET", 64)
+    source = neardup.signatures  # everybody's first bucket is 77, all others are one's own
+    own = F.transform(F.slice("bands", 2, 31), lambda b, i: F.xxhash64("set_key", i))
+    monkeypatch.setattr(neardup, "signatures", lambda *args: source(*args).withColumn("bands", F.when(F.col("n_shingles") > 0, F.concat(F.array(F.lit(77).cast("long")), own))))
+    rnd = random.Random(6)
+    texts = [random_text(rnd, 40, 100_000) for _ in range(200)]
+    texts += [edited(rnd, t, 1) for t in texts[:12]] + [t + " more" for t in texts[20:30]]
+    rows = [(i, t, "en", "s", 0) for i, t in enumerate(texts)]
+    found = {r.doc_id: r.component_id for r in neardup.near_duplicates(spark.createDataFrame(rows, DOCS), width=2).collect()}
+    assert found == components({r[0]: shingle_set(r[1], 2) for r in rows})
+    assert len(set(found.values())) == 200
+
+
+@pytest.mark.parametrize("percent", [50, 80, 100])
+def test_sets_at_the_threshold_share_a_rare_shingle(spark, percent):
+    rnd = random.Random(percent)
+    sets = [rnd.sample(range(60), rnd.randint(1, 12)) for _ in range(150)]
+    sets += [s + [100 + i] for i, s in enumerate(sets[:50])] + [s[1:] for s in sets[50:90] if len(s) > 1]
+    table = spark.createDataFrame([(i, bytearray(np.array(s, np.uint64).tobytes())) for i, s in enumerate(sets)], "cid long, items binary")
+    rare = {}
+    for r in neardup.rare_shingles(table, percent).collect():
+        rare.setdefault(r.cid, set()).add(r.shingle)
+    for a, x in enumerate(map(set, sets)):
+        for b, y in enumerate(map(set, sets[:a])):
+            if 100 * len(x & y) >= percent * len(x | y):
+                assert rare[a] & rare[b]
