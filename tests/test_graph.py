@@ -1,4 +1,5 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -314,6 +315,43 @@ def test_sparse_components_equal_numpy(spark, monkeypatch):
             assert np.allclose(found, centred @ np.array([r.loading for r in mine]).T)
 
 
+@pytest.mark.parametrize("columns", [(400, 0), (60, 34)])
+def test_leading_components_of_stored_entries(monkeypatch, columns):
+    """Equal to the singular values of the dense rows: with repeated values, without enough rank, and begun again when few vectors are held."""
+    rng = np.random.default_rng(8)
+    x = np.where(rng.random((300, sum(columns))) < 0.05, rng.standard_normal((300, sum(columns))), 0.0)
+    x[:, columns[0] :] = x[:, :1]
+    x[150:180] = x[:30]
+    cells = pa.table({"idx": pa.array([np.flatnonzero(r).tolist() or None for r in x], pa.list_(pa.int32())), "val": pa.array([r[r != 0].tolist() or None for r in x], pa.list_(pa.float64()))})
+    centred = x - x.mean(axis=0)
+    _, singular, right = np.linalg.svd(centred, full_matrices=False)
+    for held in (40, 10_000):
+        monkeypatch.setattr(matrix, "_basis_columns", lambda n: held)
+        for count in (5, 80):
+            found = matrix._Sparse(cells, x.shape[1])
+            values, vectors = matrix._leading(found, count)
+            n = len(values)
+            assert np.allclose(values, singular[:n] ** 2, atol=1e-8 * singular[0] ** 2) and found.squares() == pytest.approx((singular**2).sum())
+            real = values > 0
+            assert np.allclose(vectors.T @ vectors, np.diag(real.astype(float)), atol=1e-6)
+            assert np.allclose(centred @ vectors @ vectors.T, centred @ right[:n].T @ right[:n], atol=1e-5) or n == 5
+
+
+def test_batches_of_many_genes_are_scored(spark, cells_matrix, monkeypatch):
+    """Batches whose dense rows do not fit one task, with more variable genes than a Gram matrix has room for."""
+    three = to_long(spark, cells_matrix).withColumn("sample", F.when(F.col("cell") < "c020", "s").otherwise("t"))
+    cells = three.select("sample", "cell").distinct()
+
+    def scores():
+        found = doublets.doublet_scores(three, cells, group=["sample"], max_mean=9.0, min_disp=-0.5, n_components=4, simulated=True)
+        return {(r.sample, r.cell): round(r.doublet_score, 9) for r in found.collect()}
+
+    whole = scores()
+    monkeypatch.setattr(matrix, "GRAM_LIMIT", 3)
+    monkeypatch.setattr(matrix.parts_of, "__defaults__", (150,))
+    assert scores() == whole and len(whole) == 120
+
+
 def test_every_batch_has_its_own_number_of_neighbours(spark):
     rng = np.random.default_rng(4)
     points = [(g, i, rng.standard_normal(3).tolist()) for g, n in (("a", 60), ("b", 25), ("c", 9)) for i in range(n)]
