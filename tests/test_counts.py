@@ -259,3 +259,19 @@ def test_quantiles_of_infinite_values_and_of_nothing(spark):
     assert (got["a"].lo, got["a"].m, got["a"].hi) == (-inf, 2.0, inf)
     assert (got["b"].lo, got["b"].m) == (1.0, 5.0) and math.isnan(got["b"].hi)
     assert exact_quantiles(df.limit(0), ["g"], "v", {"m": 0.5}).collect() == []
+
+
+@pytest.mark.parametrize("name", ["hvg_select", "top_expressed_genes"])
+def test_good_cells_are_found_once(spark, tmp_path, name):
+    """Cells that passed the filters are read from their written table, not filtered again wherever they are used."""
+    from celltrace.plans import count_queries, registry  # noqa: F401
+
+    n = 25
+    spark.createDataFrame([(c, c % 2, "BUILDING") for c in range(n)], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(c, c) for c in range(n)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(p, f"blue {p}", "b", "SMALL", 1) for p in range(n)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    lines = [(c, p, 1, 30.0 + (c * p) % 7) for c in range(n) for p in range(n)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    found = registry.QUERIES[name](spark, str(tmp_path))
+    assert found.count() == (n if name == "hvg_select" else 20)
+    assert "< 20.0" not in found._jdf.queryExecution().optimizedPlan().toString()
