@@ -27,6 +27,11 @@ FRAME_IDS = 1 << 16
 _ROWS = 1024
 
 
+def copied(column: pa.Array) -> pa.Array:
+    """The column in buffers of its own; a received batch lies in one buffer, so its ids alone would hold its texts as well."""
+    return column.take(pa.array(np.arange(len(column))))
+
+
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int | None = 1, id_column: str = "doc_id", text: str = "text") -> DataFrame:
     """Write all texts of ``docs`` below ``folder`` and return ``(file, part, documents, tokens, base)``, one row per file:
     ``base`` is the number of ids in the files before it.
@@ -56,7 +61,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
                 writer = writer or FrameWriter(path)
                 ids, offsets = tool.encode_column(part.column(1))
                 ids = ids.astype("<u4", copy=False)
-                index.append(part.column(0))
+                index.append(copied(part.column(0)))
                 for first, last in zip(offsets[:-1], offsets[1:]):
                     count = int(last - first) + len(close)
                     if size and size + count > FRAME_IDS:

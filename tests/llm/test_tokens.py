@@ -156,3 +156,29 @@ def test_copies_meet_a_filled_cache_once(spark):
     assert token_counts.read_cache(spark, cache).count() == 56
     tool = SentencePieceProcessor(model_file=PIECE)
     assert second == {r[0]: len(tool.encode(r[1])) for r in more}
+
+
+def test_a_cut_hands_workers_bounded_batches(spark, tmp_path):
+    def measure(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows]), pa.array([batch.nbytes])], ["rows", "bytes"])
+
+    docs = spark.range(0, 6000, 1, 1).selectExpr("id", "repeat('word ', 1000) AS text")
+    before = spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")
+    found = Scratch(spark, str(tmp_path)).cut(docs.mapInArrow(measure, "rows long, bytes long"), "batches").collect()
+    assert sum(r["rows"] for r in found) == 6000
+    assert max(r["bytes"] for r in found) < 10 << 20  # all 30 MB came as one
+    assert spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch") == before
+
+
+def test_the_index_of_a_file_does_not_hold_the_texts():
+    """Ids are copied out of a batch: what a file keeps until its end does not grow with the texts."""
+    sink = pa.BufferOutputStream()
+    batch = pa.RecordBatch.from_arrays([pa.array(range(50)), pa.array(["word " * 20_000] * 50)], ["id", "text"])
+    with pa.ipc.new_stream(sink, batch.schema) as writer:
+        writer.write_batch(batch)
+    read = next(iter(pa.ipc.open_stream(sink.getvalue().to_pybytes())))
+    before = pa.total_allocated_bytes()
+    ids = tokenfiles.copied(read.column(0))
+    assert ids.equals(batch.column(0)) and ids.buffers()[1].address != read.column(0).buffers()[1].address
+    assert pa.total_allocated_bytes() - before < 1 << 16
