@@ -1,4 +1,5 @@
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
@@ -45,6 +46,26 @@ def test_neighbours_stay_in_their_group(points):
     assert lists(graph.knn_graph(df, 5, ["g"], block_rows=32)) == want
 
 
+def test_points_are_sent_to_few_blocks():
+    """By default; the queries of ``knn_graph`` had blocks of 256 rows whatever the table, 2,813 copies of every point at 720,000."""
+    for n in (2_000, 120_000, 720_000):
+        assert -(-n // graph.rows_of_a_block(n)) <= 45
+
+
+def test_only_the_nearest_leave_a_unit(monkeypatch):
+    """Whatever the order of the blocks and however often the lists are cut, of equal distances the smaller ids stay."""
+    monkeypatch.setattr(graph, "_CELLS_PER_STEP", 64)
+    rng = np.random.default_rng(5)
+    x = rng.integers(0, 4, size=(90, 2)).astype(float)  # many equal distances
+    asked = pd.DataFrame({"_v": list(x[:10]), "_top": 7, "_bound": np.inf, "_near": [[] for _ in range(10)], "_far": [[] for _ in range(10)]})
+    state = graph._Nearest(asked, np.array([4, 9, 2]), np.ones((10, 3), bool))
+    for block, span in ((9, range(89, 50, -1)), (2, range(0, 30)), (4, range(30, 51))):
+        state.look(block, x[list(span)], [[i] for i in span])
+    for i, (ids, dist) in enumerate(state.lists()):
+        want = sorted((float(np.sqrt(((x[i] - x[j]) ** 2).sum())), j) for j in range(90))[:7]
+        assert sorted(zip(dist.tolist(), ids)) == want
+
+
 def test_fewer_points_than_neighbours(spark):
     df = spark.createDataFrame([("a", [0.0]), ("b", [1.0])], "id string, v array<double>")
     assert rows(graph.knn_graph(df, 5), "src", "dst", "dist", "rank") == [("a", "b", 1.0, 1), ("b", "a", 1.0, 1)]
