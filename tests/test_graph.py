@@ -224,6 +224,15 @@ def test_layout_that_does_not_settle_is_an_error(half_thousand):
         graph.graph_layout(half_thousand[1], max_rounds=1)
 
 
+def test_a_filter_of_the_layout_writes_one_table(half_thousand, monkeypatch):
+    """The multiplications of a round run in one job, not each in its own with a table after it."""
+    written = []
+    monkeypatch.setattr(graph, "cut", lambda df: written.append(1) or cut(df))
+    with pytest.raises(RuntimeError):
+        graph.graph_layout(half_thousand[1], tolerance=0.0, max_rounds=2)
+    assert len(written) <= 3, len(written)
+
+
 def test_layout_of_tiny_graphs(spark):
     two = spark.createDataFrame([("a", "b", 1.0)], "src string, dst string, weight double")
     assert sorted((r.id, round(abs(r.x), 6), r.y) for r in graph.graph_layout(two).collect()) == [("a", 10.0, 0.0), ("b", 10.0, 0.0)]
