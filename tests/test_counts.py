@@ -1,4 +1,5 @@
 import math
+import re
 
 import numpy as np
 import pytest
@@ -6,6 +7,7 @@ from pyspark.sql import functions as F
 
 from celltrace.operators import matrix, normalize, ordering, qc, reports
 from celltrace.operators.ordering import bounded_values, exact_quantiles, rank_in_group
+from celltrace.session import cut
 from tests.conftest import rows
 
 COUNTS = [("c1", "g1", 4.0), ("c1", "mt-a", 1.0), ("c2", "g1", 2.0), ("c3", "g2", 5.0), ("c3", "mt-a", 5.0)]
@@ -275,3 +277,30 @@ def test_good_cells_are_found_once(spark, tmp_path, name):
     found = registry.QUERIES[name](spark, str(tmp_path))
     assert found.count() == (n if name == "hvg_select" else 20)
     assert "< 20.0" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
+def small_tables(spark, tmp_path):
+    """25 cells with one order each and a line for each of 25 genes."""
+    n = 25
+    spark.createDataFrame([(c, c % 2, "BUILDING") for c in range(n)], "c_custkey long, c_nationkey int, c_mktsegment string").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(c, c) for c in range(n)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.createDataFrame([(p, f"blue {p}", "b", "SMALL", 1) for p in range(n)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    lines = [(c, p, 1, 30.0 + (c * p) % 7) for c in range(n) for p in range(n)]
+    spark.createDataFrame(lines, "l_orderkey long, l_partkey long, l_linenumber int, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    return n, str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["gene_set_score", "cell_cycle_phase", "phase_proportions"])
+def test_line_items_are_read_once(spark, tmp_path, monkeypatch, name):
+    from celltrace.plans import marker_queries, proxies, registry  # noqa: F401
+
+    scans = []
+
+    def counted(df):
+        scans.append(len(re.findall(r"Relation *\[[^\]]*l_quantity#", df._jdf.queryExecution().optimizedPlan().toString())))
+        return cut(df)
+
+    monkeypatch.setattr(proxies, "cut", counted)
+    n, folder = small_tables(spark, tmp_path)
+    assert registry.QUERIES[name](spark, folder).count() == (1 if name == "phase_proportions" else n)
+    assert sum(scans) == 1, scans
