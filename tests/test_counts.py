@@ -304,3 +304,14 @@ def test_line_items_are_read_once(spark, tmp_path, monkeypatch, name):
     n, folder = small_tables(spark, tmp_path)
     assert registry.QUERIES[name](spark, folder).count() == (1 if name == "phase_proportions" else n)
     assert sum(scans) == 1, scans
+
+
+def test_sizes_of_matrix_files_come_from_their_lines(spark, tmp_path):
+    """The size line of a sample takes the numbers of its cell and gene lines; counting them anew multiplied the rows to be shuffled."""
+    from celltrace.plans import registry, source_queries  # noqa: F401
+
+    n, folder = small_tables(spark, tmp_path)
+    found = registry.QUERIES["read_mtx"](spark, folder)
+    assert "Expand" not in found._jdf.queryExecution().optimizedPlan().toString()
+    want = [(str(c % 2), str(c), f"g{p}", 30.0 + (c * p) % 7) for c in range(n) for p in range(n)]
+    assert rows(found, "sample", "cell", "gene", "x") == sorted(want)
