@@ -259,6 +259,15 @@ def test_synthetic_sums(spark, cells_matrix):
     assert np.array_equal(got, want)
 
 
+def test_synthetic_sums_get_tasks_by_rows(spark, cells_matrix, monkeypatch):
+    counts, cells = to_long(spark, cells_matrix).cache(), all_cells(spark, cells_matrix)
+    few = doublets.synthetic_doublets(counts, cells, parent=parent, order=["cell"])
+    monkeypatch.setattr(doublets, "ROWS_PER_TASK", 200)
+    many = doublets.synthetic_doublets(counts, cells, parent=parent, order=["cell"])
+    assert many.rdd.getNumPartitions() == -(-counts.count() * 4 // 200) > 8
+    assert rows(many, "syn", "gene", "x") == rows(few, "syn", "gene", "x")
+
+
 def test_doublet_scores_against_brute_force(spark, cells_matrix):
     x = cells_matrix
     long, cells = to_long(spark, x).cache(), all_cells(spark, x)
