@@ -179,6 +179,15 @@ def test_communities_in_parts_and_with_hubs(half_thousand, monkeypatch, limits):
     assert len(looked) >= 4 and looked[-2] < looked[0] / 2, looked
 
 
+def test_a_single_part_settles_in_one_round(half_thousand):
+    a, edges = half_thousand
+    arcs, looked = graph.both_directions(edges).cache(), []
+    alone = arcs.select(F.col("src").alias("id"), F.col("src").alias("label")).distinct()
+    found, moved = graph._local_moves(arcs, 0.8, alone, graph.MIN_GAIN, looked)
+    labels = np.unique([r.label for r in found.orderBy("id").collect()], return_inverse=True)[1]
+    assert moved and gaining(a, labels) == [] and looked == [arcs.count()]
+
+
 def spark_labels(edges, found):
     return edges.sparkSession.createDataFrame(list(found.items()), "id string, label string")
 
