@@ -440,3 +440,29 @@ def test_valley():
     counts[8:16], counts[40:50] = 20, 30
     assert 16 <= doublets._valley(counts) < 40
     assert doublets._valley(np.full(64, 3.0)) is None
+
+
+def test_marked_neighbours_are_counted_without_lists(points, monkeypatch):
+    """As many as the lists hold, also of points with more copies than fit a list; nothing that is written grows with the number of neighbours."""
+    written = []
+    monkeypatch.setattr(graph, "cut", lambda df: written.append(df.columns) or cut(df))
+    x, df = points
+    df = df.withColumn("m", F.col("id") % 7 < 3)
+    for k, group in ((7, None), (5, ["g"]), (200, None)):
+        found = {r.src: r.n_marked for r in graph.knn_graph(df, k, group, block_rows=32, marked="m").collect()}
+        ids = [[i for i in range(len(x)) if not group or (i % 3 == 0) == flag] for flag in ((False, True) if group else (True,))]
+        want = {i: sum(j % 7 < 3 for j in near) for part in ids for i, near in brute(x, part, k).items()}
+        assert found == want
+    assert not {"_near", "_far", "dst", "_list"} & {c for columns in written for c in columns}
+
+
+def test_doublet_scores_keep_only_their_result(spark, cells_matrix):
+    """Tables of the steps are deleted when they have been read for the last time; those that others have written stay."""
+    from celltrace import session
+
+    x = cells_matrix
+    counts, cells = cut(to_long(spark, x)), cut(all_cells(spark, x))
+    before = list(session._WRITTEN)
+    scored = doublets.doublet_scores(counts, cells, n_components=5, max_mean=9.0, min_disp=-0.5)
+    assert session._WRITTEN[: len(before)] == before and len(session._WRITTEN) == len(before) + 1
+    assert scored.count() == counts.select("cell").distinct().count() == 40
